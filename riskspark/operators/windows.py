@@ -5,11 +5,16 @@ Spark runs an un-partitioned window (``OVER (ORDER BY ..)``) through an
 give the same answers with work spread over many tasks.
 
 ``running_sum`` / ``dense_position``
-    Range-partition by the order key (sampled bounds, so even a day holding
-    a third of the rows is split across partitions as long as the key is
-    unique), total each partition, take the exclusive prefix over the
-    partition totals (at most ``num_partitions`` rows, so its broadcast is
-    bounded), and finish with a window *partitioned by range segment*.
+    Split the order into contiguous *segments* whose bounds are quantiles of
+    a small sample of the sort keys (what Spark's range partitioner does,
+    done once so that every branch of the plan agrees). The segment id is a
+    pure function of the row (a binary search over the bounds), so a lost
+    executor recomputes the same ids. Each segment is totalled with a
+    partial aggregate, the exclusive prefix over the totals (at most one row
+    per segment, a bounded broadcast) gives each segment's offset, and a
+    window partitioned by segment finishes the running sum. A key holding a
+    third of the rows is spread over many segments as long as the sort key
+    is unique (append key columns as tie-breaks).
 
 ``global_rank``
     Rank depends only on the value histogram: ``rank = 1 + rows with a
@@ -25,11 +30,14 @@ give the same answers with work spread over many tasks.
 ``clamped_balance``
     s_t = max(0, s_{t-1} + x_t), s_0 = b >= 0, in closed form:
     with S_t = b + x_1 + .. + x_t, s_t = S_t - min(0, min_{k<=t} S_k).
+
+Sort keys are given as column names (ascending, nulls first) or
+``(name, "desc")`` (descending, nulls last), Spark's default null order.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,63 +47,135 @@ from riskspark.session import shuffle_partitions
 
 _SEG = "_seg"
 _OFF = "_seg_offset"
+SAMPLE_PER_SEGMENT = 64
+MAX_SAMPLE = 200_000
 
+SortKey = "str | tuple[str, str]"
 
-def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
-    return [col_of(c) for c in order]
 
+def _parse(key) -> tuple[str, bool]:
+    if isinstance(key, str):
+        return key, True
+    name, direction = key
+    return name, direction.lower() != "desc"
 
-def range_segments(df: DataFrame, order: Sequence[str | Column], num_partitions: int | None = None) -> DataFrame:
-    """Range-partition ``df`` on ``order`` and tag rows with their segment id.
 
-    Segment ids follow the sort order: every row of segment i sorts before
-    every row of segment i+1. The partition count is explicit, so AQE does
-    not coalesce it and the ids stay stable across both uses below.
-    """
-    n = num_partitions or shuffle_partitions(df.sparkSession)
-    return df.repartitionByRange(n, *_sort_cols(order)).withColumn(_SEG, F.spark_partition_id())
+def _sort_cols(order: Sequence) -> list[Column]:
+    out = []
+    for k in order:
+        name, asc = _parse(k)
+        out.append(F.col(name).asc_nulls_first() if asc else F.col(name).desc_nulls_last())
+    return out
+
+
+def _after(name: str, asc: bool, bound) -> Column:
+    """Row value sorts strictly after ``bound`` in this column's order (never null)."""
+    c = F.col(name)
+    if bound is None:
+        return c.isNotNull() if asc else F.lit(False)
+    if asc:
+        return F.coalesce(c > F.lit(bound), F.lit(False))
+    return c.isNull() | F.coalesce(c < F.lit(bound), F.lit(False))
+
+
+def _same(name: str, bound) -> Column:
+    c = F.col(name)
+    return c.isNull() if bound is None else F.coalesce(c == F.lit(bound), F.lit(False))
+
+
+def _row_after(keys: list[tuple[str, bool]], bound: tuple) -> Column:
+    """Lexicographic: the row sorts strictly after the bound tuple."""
+    expr = F.lit(False)
+    for i in range(len(keys) - 1, -1, -1):
+        name, asc = keys[i]
+        expr = _after(name, asc, bound[i]) | (_same(name, bound[i]) & expr)
+    return expr
+
+
+def segment_bounds(df: DataFrame, order: Sequence, segments: int, seed: int = 7) -> list[tuple]:
+    """Up to ``segments - 1`` sorted bound tuples from a bounded sample of the sort keys."""
+    keys = [_parse(k)[0] for k in order]
+    n = df.count()
+    if n == 0 or segments <= 1:
+        return []
+    frac = min(1.0, min(MAX_SAMPLE, SAMPLE_PER_SEGMENT * segments) / n)
+    sample = df.select(*keys).sample(False, frac, seed).orderBy(*_sort_cols(order)).collect()
+    if not sample:
+        return []
+    bounds: list[tuple] = []
+    for s in range(1, segments):
+        b = tuple(sample[min(len(sample) - 1, s * len(sample) // segments)])
+        if not bounds or bounds[-1] != b:
+            bounds.append(b)
+    return bounds
 
 
-def running_sum(df: DataFrame, value: str | Column, order: Sequence[str | Column], out: str,
-                num_partitions: int | None = None, exclusive: bool = False) -> DataFrame:
-    """Global running ``SUM(value) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)``.
+def segment_of(order: Sequence, bounds: list[tuple]) -> Column:
+    """Segment id = number of bounds the row sorts after (binary search, depth log2 of the bound count)."""
+    keys = [_parse(k) for k in order]
 
-    ``order`` must be a total order (append key columns as tie-breaks) for
-    the result to be deterministic, exactly as for the plain window.
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(_row_after(keys, bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, len(bounds))
+
+
+def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = None) -> DataFrame:
+    """Tag rows with an order-contiguous segment id (``_seg``)."""
+    n = num_segments or shuffle_partitions(df.sparkSession)
+    return df.withColumn(_SEG, segment_of(order, segment_bounds(df, order, n)))
+
+
+def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Sequence,
+                 num_segments: int | None = None, exclusive: bool = False) -> DataFrame:
+    """Global running sums ``SUM(v) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)`` for each ``out: v``.
+
+    ``order`` must be a total order for the result to be deterministic,
+    exactly as for the plain window; ``exclusive`` stops one row earlier.
     """
-    seg = range_segments(df, order, num_partitions).withColumn("_v", col_of(value))
-    totals = seg.groupBy(_SEG).agg(F.sum("_v").alias("_t"))
-    # At most num_partitions rows: the single-partition window and the
-    # broadcast below are bounded by the partition count, not by the data.
-    offsets = totals.select(
-        _SEG,
-        F.coalesce(F.sum("_t").over(Window.orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias(_OFF))
+    tmp = {out: f"_v_{i}" for i, out in enumerate(values)}
+    base = df.select("*", *[col_of(v).alias(tmp[o]) for o, v in values.items()])
+    seg = with_segments(base, order, num_segments)
+    totals = seg.groupBy(_SEG).agg(*[F.sum(t).alias(f"_t{t}") for t in tmp.values()])
+    # One row per segment: the single-partition window and the broadcast
+    # below are bounded by the segment count, not by the data.
+    prior = Window.orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(_SEG, *[F.coalesce(F.sum(f"_t{t}").over(prior), F.lit(0)).alias(f"_o{t}")
+                                    for t in tmp.values()])
     frame = (Window.partitionBy(_SEG).orderBy(*_sort_cols(order))
              .rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow))
-    local = F.sum("_v").over(frame)
-    if exclusive:
-        local = F.coalesce(local, F.lit(0))
-    return (seg.join(F.broadcast(offsets), _SEG)
-            .withColumn(out, F.col(_OFF) + local)
-            .drop(_SEG, _OFF, "_v"))
-
-
-def dense_position(df: DataFrame, order: Sequence[str | Column], out: str = "row_index",
-                   num_partitions: int | None = None, start: int = 0) -> DataFrame:
-    """Dense 0-based (or ``start``-based) row index in a total order, without a single partition."""
-    res = running_sum(df, F.lit(1).cast("bigint"), order, out, num_partitions, exclusive=True)
+    out = seg.join(F.broadcast(offsets), _SEG)
+    for o, t in tmp.items():
+        local = F.sum(t).over(frame)
+        if exclusive:
+            local = F.coalesce(local, F.lit(0))
+        out = out.withColumn(o, F.col(f"_o{t}") + local)
+    return out.drop(_SEG, *tmp.values(), *[f"_o{t}" for t in tmp.values()])
+
+
+def running_sum(df: DataFrame, value: "str | Column", order: Sequence, out: str,
+                num_segments: int | None = None, exclusive: bool = False) -> DataFrame:
+    return running_sums(df, {out: value}, order, num_segments, exclusive)
+
+
+def dense_position(df: DataFrame, order: Sequence, out: str = "row_index",
+                   num_segments: int | None = None, start: int = 0) -> DataFrame:
+    """Dense ``start``-based row index in a total order, without a single partition."""
+    res = running_sum(df, F.lit(1).cast("bigint"), order, out, num_segments, exclusive=True)
     return res.withColumn(out, F.col(out) + F.lit(start)) if start else res
 
 
 def global_rank(df: DataFrame, score: str, descending: bool = True, rank_col: str = "rank",
-                dense_col: str = "dense_rank", num_partitions: int | None = None) -> DataFrame:
+                dense_col: str = "dense_rank", num_segments: int | None = None) -> DataFrame:
     """``RANK()`` and ``DENSE_RANK()`` over the whole table, computed from the value histogram."""
     hist = df.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
     # Null scores sort last for DESC and first for ASC (Spark, SQL Server, DuckDB agree for DESC).
-    key = F.col(score).desc_nulls_last() if descending else F.col(score).asc_nulls_first()
-    ranked = running_sum(hist, "_n", [key], "_before", num_partitions, exclusive=True)
-    ranked = dense_position(ranked, [key], "_dense", num_partitions)
+    key = (score, "desc") if descending else score
+    ranked = running_sums(hist, {"_before": "_n", "_dense": F.lit(1).cast("bigint")}, [key], num_segments,
+                          exclusive=True)
     ranked = ranked.select(
         F.col(score).alias("_score"),
         (F.col("_before") + 1).cast("bigint").alias(rank_col),
@@ -103,7 +183,7 @@ def global_rank(df: DataFrame, score: str, descending: bool = True, rank_col: st
     return df.join(ranked, df[score].eqNullSafe(ranked["_score"])).drop("_score")
 
 
-def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int = 1,
+def top_n_per_group(df: DataFrame, keys: Sequence[str], order: Sequence, n: int = 1,
                     rank_col: str | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order) <= n``.
 
@@ -129,14 +209,14 @@ def latest_per_group(df: DataFrame, keys: Sequence[str], date_col: str,
     return rows.join(latest, cond, "left_semi")
 
 
-def running_total_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+def running_total_in_group(df: DataFrame, keys: Sequence[str], order: Sequence,
                            value: str | Column, out: str) -> DataFrame:
     w = (Window.partitionBy(*keys).orderBy(*_sort_cols(order))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return df.withColumn(out, F.sum(col_of(value)).over(w))
 
 
-def clamped_balance(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], delta: str | Column,
+def clamped_balance(df: DataFrame, keys: Sequence[str], order: Sequence, delta: str | Column,
                     start: str | Column, out: str) -> DataFrame:
     """s = max(0, s_prev + delta) per group in ``order``, starting from ``start`` (>= 0)."""
     w = (Window.partitionBy(*keys).orderBy(*_sort_cols(order))

@@ -1 +1,611 @@
 """Registered keys for the operators re-aimed from the generator, ingest and audits."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from riskspark.functions.calendar import explode_months, zero_fill
+from riskspark.functions.scalar import concat_strict, in_list, month_key
+from riskspark.operators import quality as DQ
+from riskspark.operators.lookups import lookup_default, lookup_monthly, monthly_max, tiered_lookup
+from riskspark.operators.sampling import exact_fraction, sample_per_group, sample_with_replacement, weighted_pick
+from riskspark.plans import queries as Q
+from riskspark.plans import scoring as S
+from riskspark.plans.catalog import register
+from riskspark.plans.registry_core import CRISIS_COUNTRY
+from riskspark.sources import ingest
+from riskspark.sources.bindings import SHIPMENT_KEY, Domain
+
+SHIP_COLS = ", ".join(SHIPMENT_KEY)
+
+# Membership weights of the binding (the reference weights named countries 5 / 3 / 1).
+HEAVY_COUNTRIES = ("NATION_0", "NATION_1", "NATION_2", "NATION_4", "NATION_7")
+MEDIUM_COUNTRIES = ("NATION_3", "NATION_6", "NATION_11", "NATION_8")
+
+
+def _sql_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def _hash_sql(*exprs: str, seed: int = 42) -> str:
+    parts = " || ':' || ".join(f"CAST({e} AS VARCHAR)" for e in exprs)
+    return f"('0x' || SUBSTR(MD5('{seed}' || ':' || {parts}), 1, 8))::BIGINT"
+
+
+def _signals(d: Domain):
+    return S.enrich_signals(d.shipments, d.ports, d.political_risk_index, d.weather_events)
+
+
+_SIGNALS_SQL = f"""
+, wx AS (SELECT country_id, CAST(DATE_TRUNC('month', event_date) AS DATE) AS month_year,
+                MAX(severity_score) AS max_severity
+         FROM weather_events GROUP BY 1, 2),
+sig AS (
+  SELECT sh.*, pt.country_id,
+         COALESCE(pt.avg_congestion_score, 30.0) AS congestion,
+         COALESCE(pri.risk_score, 30.0) AS political_risk,
+         COALESCE(wx.max_severity, 0.0) AS weather_severity
+  FROM shipments sh
+  LEFT JOIN ports pt ON sh.origin_port_id = pt.port_id
+  LEFT JOIN political_risk_index pri
+    ON pri.country_id = pt.country_id AND pri.month_year = CAST(DATE_TRUNC('month', sh.ship_date) AS DATE)
+  LEFT JOIN wx ON wx.country_id = pt.country_id AND wx.month_year = CAST(DATE_TRUNC('month', sh.ship_date) AS DATE))
+"""
+
+_ELEVATED_SQL = "(political_risk > 55 OR weather_severity > 50 OR congestion > 68)"
+_FACTOR_SQL = ("(GREATEST(0.0, political_risk - 55) * CAST(0.3 AS DOUBLE)"
+               " + GREATEST(0.0, weather_severity - 50) * CAST(0.25 AS DOUBLE)"
+               " + GREATEST(0.0, congestion - 68) * CAST(0.2 AS DOUBLE))")
+
+_RATES_SQL = """
+, rates AS (
+  SELECT po.product_id, CAST(DATE_TRUNC('month', sh.ship_date) AS DATE) AS order_month,
+         AVG(CASE WHEN sh.delay_days > 3 THEN 1 ELSE 0 END) AS delay_rate, COUNT(*) AS shipments
+  FROM shipments sh JOIN purchase_orders po ON sh.po_id = po.po_id GROUP BY 1, 2)
+"""
+
+_PANEL_SQL = _RATES_SQL + """,
+panel AS (
+  SELECT p.product_id, m.month_year, COALESCE(r.delay_rate, CAST(0.05 AS DOUBLE)) AS disruption_rate,
+         CAST(500 + p.product_id % 4500 AS INT) AS base_stock
+  FROM products p CROSS JOIN months m
+  LEFT JOIN rates r ON r.product_id = p.product_id AND r.order_month = m.month_year),
+flows AS (
+  SELECT product_id, month_year, disruption_rate, base_stock,
+         CAST(TRUNC(base_stock * CAST(0.25 AS DOUBLE)) AS INT) AS reorder_point,
+         CAST(TRUNC(base_stock * CAST(0.12 AS DOUBLE)) AS INT) AS demand_draw,
+         CAST(TRUNC(base_stock * CAST(0.12 AS DOUBLE)
+                    * (1.0 - disruption_rate * CAST(0.6 AS DOUBLE))) AS INT) AS incoming
+  FROM panel)
+"""
+
+
+# -- S: sources and sinks ---------------------------------------------------------------
+@register("s_csv_roundtrip", f"SELECT {SHIP_COLS}, delay_days, delay_reason FROM shipments")
+def s_csv_roundtrip(d: Domain):
+    return ingest.csv_roundtrip(d.shipments)
+
+
+@register("s_defaults", f"SELECT {SHIP_COLS}, delay_days, delay_reason FROM shipments")
+def s_defaults(d: Domain):
+    # Zero delays are written as empty fields; the load restores the column default.
+    blanked = d.shipments.withColumn("delay_days", F.when(F.col("delay_days") != 0, F.col("delay_days")))
+    return ingest.csv_roundtrip(blanked, defaults={"delay_days": 0})
+
+
+@register("s_values", """
+, reason_codes(delay_reason, reason_code) AS (
+  VALUES ('None', 0), ('Weather', 1), ('Port Congestion', 2), ('Political', 3), ('Operational', 4))
+SELECT r.delay_reason, r.reason_code, COUNT(*) AS num_shipments
+FROM shipments sh JOIN reason_codes r ON sh.delay_reason = r.delay_reason
+GROUP BY r.delay_reason, r.reason_code""")
+def s_values(d: Domain):
+    codes = ingest.values(d.spark, [("None", 0), ("Weather", 1), ("Port Congestion", 2), ("Political", 3),
+                                    ("Operational", 4)], "delay_reason string, reason_code int")
+    return (d.shipments.groupBy("delay_reason").agg(F.count(F.lit(1)).alias("num_shipments"))
+            .join(F.broadcast(codes), "delay_reason")
+            .select("delay_reason", "reason_code", "num_shipments"))
+
+
+@register("s_catalog_explode", """
+, variants(variant, variant_pos) AS (VALUES ('Standard', 0), ('Pro', 1), ('Compact', 2))
+SELECT category, product_id, variant,
+       product_name || ' - ' || variant AS variant_name,
+       ROW_NUMBER() OVER (ORDER BY category, product_id, variant_pos) AS catalog_id
+FROM products CROSS JOIN variants""")
+def s_catalog_explode(d: Domain):
+    return ingest.explode_variants(d.products, "category", "product_id", "product_name",
+                                   ["Standard", "Pro", "Compact"])
+
+
+# -- P: predicates ----------------------------------------------------------------------
+@register("p_isin_weight", f"""
+, w AS (SELECT country_id, country_name,
+               CASE WHEN country_name IN ({_sql_list(HEAVY_COUNTRIES)}) THEN 5
+                    WHEN country_name IN ({_sql_list(MEDIUM_COUNTRIES)}) THEN 3 ELSE 1 END AS weight
+        FROM countries)
+SELECT country_id, country_name, weight, ROUND(weight / (SELECT SUM(weight) FROM w), 6) AS share FROM w""")
+def p_isin_weight(d: Domain):
+    w = country_weights(d)
+    total = w.select(F.sum("weight")).scalar()
+    return w.withColumn("share", F.round(F.col("weight") / total, 6))
+
+
+def country_weights(d: Domain):
+    name = F.col("country_name")
+    weight = (F.when(in_list(name, HEAVY_COUNTRIES), 5).when(in_list(name, MEDIUM_COUNTRIES), 3).otherwise(1))
+    return d.countries.select("country_id", "country_name", weight.alias("weight"))
+
+
+@register("p_in_subquery", f"""
+SELECT supplier_id, supplier_name, reliability_score FROM suppliers
+WHERE supplier_id IN (SELECT supplier_id FROM suppliers
+                      WHERE country_id = (SELECT country_id FROM countries WHERE country_name = '{CRISIS_COUNTRY}'))""")
+def p_in_subquery(d: Domain):
+    s = d.suppliers
+    inner = s.where(F.col("country_id") == Q.country_id_of(d.countries, CRISIS_COUNTRY)).select("supplier_id")
+    return s.join(inner, "supplier_id", "left_semi").select("supplier_id", "supplier_name", "reliability_score")
+
+
+@register("p_scalar_subquery", f"""
+SELECT supplier_id, supplier_name FROM suppliers
+WHERE country_id = (SELECT country_id FROM countries WHERE country_name = '{CRISIS_COUNTRY}')""")
+def p_scalar_subquery(d: Domain):
+    return (d.suppliers.where(F.col("country_id") == Q.country_id_of(d.countries, CRISIS_COUNTRY))
+            .select("supplier_id", "supplier_name"))
+
+
+# -- E: risk derivations --------------------------------------------------------------------
+@register("e01_risk_adjusted_score", """
+SELECT 'supplier' AS entity_type, s.supplier_id AS entity_id, s.country_id, s.reliability_score AS raw_score,
+       CAST(ROUND(CAST(LEAST(99.0, GREATEST(25.0, s.reliability_score + c.base_risk_score * CAST(-0.15 AS DOUBLE)))
+                  AS DECIMAL(38,9)), 1) AS DOUBLE) AS adjusted_score
+FROM suppliers s LEFT JOIN countries c ON s.country_id = c.country_id
+UNION ALL
+SELECT 'port', p.port_id, p.country_id, p.avg_congestion_score,
+       CAST(ROUND(CAST(LEAST(95.0, GREATEST(5.0, p.avg_congestion_score + c.base_risk_score * CAST(0.25 AS DOUBLE)))
+                  AS DECIMAL(38,9)), 1) AS DOUBLE)
+FROM ports p LEFT JOIN countries c ON p.country_id = c.country_id""")
+def e01(d: Domain):
+    sup = S.risk_adjusted(d.suppliers, d.countries, "reliability_score", S.SUPPLIER_RISK_WEIGHT,
+                          *S.SUPPLIER_CLIP, "adjusted_score")
+    port = S.risk_adjusted(d.ports, d.countries, "avg_congestion_score", S.PORT_RISK_WEIGHT,
+                           *S.PORT_CLIP, "adjusted_score")
+    return (sup.select(F.lit("supplier").alias("entity_type"), F.col("supplier_id").alias("entity_id"),
+                       "country_id", F.col("reliability_score").alias("raw_score"), "adjusted_score")
+            .unionByName(port.select(F.lit("port").alias("entity_type"), F.col("port_id").alias("entity_id"),
+                                     "country_id", F.col("avg_congestion_score").alias("raw_score"),
+                                     "adjusted_score")))
+
+
+@register("e02_event_window_adjust", """
+, k AS (SELECT *, CAST(DATE_DIFF('month', DATE '1997-06-01', month_year) AS INT) AS k FROM political_risk_index)
+SELECT country_id, month_year, risk_score,
+       CASE WHEN country_id = 9 AND k BETWEEN 0 AND 5
+            THEN CASE k WHEN 0 THEN 10 WHEN 1 THEN 22 WHEN 2 THEN 35 WHEN 3 THEN 30 WHEN 4 THEN 18 ELSE 8 END
+            ELSE 0 END AS bump,
+       LEAST(99.0, GREATEST(2.0, risk_score + CASE WHEN country_id = 9 AND k BETWEEN 0 AND 5
+            THEN CASE k WHEN 0 THEN 10 WHEN 1 THEN 22 WHEN 2 THEN 35 WHEN 3 THEN 30 WHEN 4 THEN 18 ELSE 8 END
+            ELSE 0 END)) AS adjusted_risk_score
+FROM k""")
+def e02(d: Domain):
+    return S.event_window_adjust(d.political_risk_index, 9, S.CRISIS_START)
+
+
+@register("e03_signal_enrichment", _SIGNALS_SQL + f"""
+SELECT {SHIP_COLS}, delay_days, country_id, political_risk, weather_severity, congestion FROM sig""")
+def e03(d: Domain):
+    return _signals(d).select(*SHIPMENT_KEY, "delay_days", "country_id", "political_risk", "weather_severity",
+                              "congestion")
+
+
+@register("e04_elevated_flag", _SIGNALS_SQL + f"""
+SELECT {_ELEVATED_SQL} AS elevated, COUNT(*) AS num_shipments FROM sig GROUP BY 1""")
+def e04(d: Domain):
+    return (_signals(d).groupBy(S.elevated().alias("elevated"))
+            .agg(F.count(F.lit(1)).alias("num_shipments")))
+
+
+@register("e05_severity_factor", _SIGNALS_SQL + f"""
+SELECT {SHIP_COLS}, ROUND({_FACTOR_SQL}, 6) AS severity_factor,
+       ROUND(CASE WHEN {_ELEVATED_SQL} THEN GREATEST(1.0, {_FACTOR_SQL}) * CAST(0.7 AS DOUBLE)
+                  ELSE CAST(0.04 AS DOUBLE) * CAST(1.2 AS DOUBLE) END, 6) AS expected_delay
+FROM sig""")
+def e05(d: Domain):
+    return _signals(d).select(*SHIPMENT_KEY, F.round(S.severity_factor(), 6).alias("severity_factor"),
+                              F.round(S.expected_delay(), 6).alias("expected_delay"))
+
+
+@register("e06_delay_reason", _SIGNALS_SQL + """
+SELECT CASE WHEN delay_days = 0 THEN 'None'
+            WHEN weather_severity > 50 AND weather_severity >= political_risk THEN 'Weather'
+            WHEN congestion > 55 THEN 'Port Congestion'
+            WHEN political_risk > 50 THEN 'Political'
+            ELSE 'Operational' END AS derived_reason,
+       COUNT(*) AS num_shipments
+FROM sig GROUP BY 1""")
+def e06(d: Domain):
+    return (_signals(d).groupBy(S.delay_reason().alias("derived_reason"))
+            .agg(F.count(F.lit(1)).alias("num_shipments")))
+
+
+@register("e07_delay_rate_product_month", _RATES_SQL + """
+SELECT product_id, order_month, ROUND(delay_rate, 6) AS delay_rate, shipments FROM rates""")
+def e07(d: Domain):
+    return (S.disruption_rate(d.shipments, d.purchase_orders)
+            .withColumn("delay_rate", F.round("delay_rate", 6)))
+
+
+@register("e08_expected_date_status", """
+SELECT po_id, product_id, order_date, CAST(7 + (product_id % 6) * 7 AS INT) AS lead_days,
+       order_date + CAST(7 + (product_id % 6) * 7 AS INT) AS expected_date,
+       CASE WHEN order_date + CAST(7 + (product_id % 6) * 7 AS INT) > DATE '2000-12-31'
+            THEN 'open' ELSE 'closed' END AS horizon_status
+FROM purchase_orders""")
+def e08(d: Domain):
+    return S.expected_dates(d.purchase_orders)
+
+
+@register("e09_fulfilment_probability", _RATES_SQL + """
+SELECT co.order_id, co.product_id, co.warehouse_id, co.order_date, co.quantity, co.fulfilled,
+       COALESCE(r.delay_rate, CAST(0.05 AS DOUBLE)) AS disruption_rate,
+       ROUND(GREATEST(CAST(0.55 AS DOUBLE), 1.0 - COALESCE(r.delay_rate, CAST(0.05 AS DOUBLE)) * CAST(0.8 AS DOUBLE)), 6)
+         AS fulfilled_prob
+FROM customer_orders co LEFT JOIN rates r
+  ON r.product_id = co.product_id AND r.order_month = CAST(DATE_TRUNC('month', co.order_date) AS DATE)""")
+def e09(d: Domain):
+    rates = S.disruption_rate(d.shipments, d.purchase_orders)
+    return (S.fulfilment_probability(d.customer_orders, rates)
+            .withColumn("disruption_rate", F.round("disruption_rate", 9))
+            .withColumn("fulfilled_prob", F.round("fulfilled_prob", 6)))
+
+
+def _stock_panel(d: Domain):
+    rates = S.disruption_rate(d.shipments, d.purchase_orders)
+    lo, hi = d.month_bounds()
+    return S.stock_panel(d.products, rates, lo, hi)
+
+
+@register("e10_reorder_point", _PANEL_SQL + """
+SELECT product_id, month_year, ROUND(disruption_rate, 9) AS disruption_rate, base_stock, reorder_point,
+       demand_draw, incoming FROM flows""")
+def e10(d: Domain):
+    return _stock_panel(d).withColumn("disruption_rate", F.round("disruption_rate", 9))
+
+
+@register("w06_clamped_stock", _PANEL_SQL + """
+, numbered AS (
+  SELECT product_id, month_year, base_stock, incoming - demand_draw AS delta,
+         ROW_NUMBER() OVER (PARTITION BY product_id ORDER BY month_year) AS rn FROM flows)
+SELECT product_id, month_year, stock FROM (
+  WITH RECURSIVE bal(product_id, rn, month_year, stock) AS (
+    SELECT product_id, rn, month_year, GREATEST(0, base_stock + delta) FROM numbered WHERE rn = 1
+    UNION ALL
+    SELECT n.product_id, n.rn, n.month_year, GREATEST(0, b.stock + n.delta)
+    FROM bal b JOIN numbered n ON n.product_id = b.product_id AND n.rn = b.rn + 1)
+  SELECT product_id, month_year, CAST(stock AS BIGINT) AS stock FROM bal)""")
+def w06(d: Domain):
+    return (S.clamped_stock(_stock_panel(d))
+            .select("product_id", "month_year", F.col("stock").cast("bigint").alias("stock")))
+
+
+_TREND_SQL = """
+, regions AS (SELECT DISTINCT region FROM countries),
+cal AS (SELECT month_year, CAST(DATE_DIFF('month', (SELECT MIN(month_year) FROM months), month_year) AS INT) AS i,
+               YEAR(month_year) = YEAR((SELECT MIN(month_year) FROM months)) AS first_year
+        FROM months),
+fuel AS (
+  SELECT r.region, c.month_year,
+         ROUND(LEAST(140.0, GREATEST(55.0, 90.0 + SIN(c.i / 6) * 25
+                                          + CASE WHEN c.first_year THEN 15 ELSE 0 END)), 6) AS price_per_barrel
+  FROM regions r CROSS JOIN cal c)
+"""
+
+
+@register("e11_seasonal_trend", _TREND_SQL + "SELECT region, month_year, price_per_barrel FROM fuel")
+def e11(d: Domain):
+    lo, hi = d.month_bounds()
+    return S.seasonal_trend(d.countries.select("region").distinct(), lo, hi)
+
+
+@register("e12_arrival_dates", f"""
+SELECT {SHIP_COLS}, delay_days,
+       ship_date + CAST(10 + product_id % 31 AS INT) AS expected_arrival_date,
+       CASE WHEN ship_date <= DATE '2000-12-31'
+            THEN ship_date + CAST(10 + product_id % 31 AS INT) + delay_days END AS actual_arrival_date
+FROM shipments""")
+def e12(d: Domain):
+    return S.arrival_dates(d.shipments).select(*SHIPMENT_KEY, "delay_days", "expected_arrival_date",
+                                               "actual_arrival_date")
+
+
+# -- J: lookups and joins -------------------------------------------------------------------
+@register("j06_lookup_default", """
+SELECT sh.po_id, sh.line_no, sh.origin_port_id, COALESCE(pt.avg_congestion_score, 30.0) AS congestion
+FROM shipments sh LEFT JOIN ports pt ON sh.origin_port_id = pt.port_id""")
+def j06(d: Domain):
+    return lookup_default(d.shipments.select("po_id", "line_no", "origin_port_id"), d.ports,
+                          {"origin_port_id": "port_id"}, "avg_congestion_score", "congestion",
+                          float(S.CONGESTION_DEFAULT))
+
+
+@register("j07_monthly_risk_lookup", """
+, wx AS (SELECT country_id, CAST(DATE_TRUNC('month', event_date) AS DATE) AS month_year,
+                MAX(severity_score) AS max_severity FROM weather_events GROUP BY 1, 2),
+cm AS (SELECT DISTINCT pt.country_id, CAST(DATE_TRUNC('month', sh.ship_date) AS DATE) AS month_year
+       FROM shipments sh JOIN ports pt ON sh.origin_port_id = pt.port_id)
+SELECT cm.country_id, cm.month_year, COALESCE(pri.risk_score, 30.0) AS political_risk,
+       COALESCE(wx.max_severity, 0.0) AS weather_severity
+FROM cm LEFT JOIN political_risk_index pri ON pri.country_id = cm.country_id AND pri.month_year = cm.month_year
+LEFT JOIN wx ON wx.country_id = cm.country_id AND wx.month_year = cm.month_year""")
+def j07(d: Domain):
+    cm = (d.shipments.join(d.ports.select("port_id", "country_id"), F.col("origin_port_id") == F.col("port_id"))
+          .select("country_id", month_key("ship_date").alias("month_year")).distinct())
+    res = lookup_monthly(cm, d.political_risk_index, {"country_id": "country_id"}, "month_year", "month_year",
+                         "risk_score", "political_risk", float(S.POLITICAL_DEFAULT))
+    wx = monthly_max(d.weather_events, ["country_id"], "event_date", "severity_score", "max_severity")
+    return lookup_monthly(res, wx, {"country_id": "country_id"}, "month_year", "month_year", "max_severity",
+                          "weather_severity", float(S.WEATHER_DEFAULT))
+
+
+@register("j09_dense_panel", """
+, counts AS (SELECT product_id, CAST(DATE_TRUNC('month', ship_date) AS DATE) AS month_year, COUNT(*) AS n
+             FROM shipments GROUP BY 1, 2)
+SELECT p.product_id, m.month_year, COALESCE(c.n, 0) AS shipments
+FROM products p CROSS JOIN months m
+LEFT JOIN counts c ON c.product_id = p.product_id AND c.month_year = m.month_year""")
+def j09(d: Domain):
+    lo, hi = d.month_bounds()
+    panel = explode_months(d.products.select("product_id"), lo, hi, "month_year")
+    counts = (d.shipments.groupBy("product_id", month_key("ship_date").alias("month_year"))
+              .agg(F.count(F.lit(1)).alias("shipments")))
+    return zero_fill(panel, counts, ["product_id", "month_year"], ["shipments"], 0)
+
+
+@register("j10_fallback_region", f"""
+, cand AS (SELECT pt.port_id, pt.country_id, c.region FROM ports pt JOIN countries c ON pt.country_id = c.country_id
+           WHERE pt.port_id % 3 = 0),
+by_country AS (SELECT country_id, port_id, ROW_NUMBER() OVER (PARTITION BY country_id ORDER BY port_id) - 1 AS idx,
+                      COUNT(*) OVER (PARTITION BY country_id) AS n FROM cand),
+by_region AS (SELECT region, port_id, ROW_NUMBER() OVER (PARTITION BY region ORDER BY port_id) - 1 AS idx,
+                     COUNT(*) OVER (PARTITION BY region) AS n FROM cand),
+any_port AS (SELECT port_id, ROW_NUMBER() OVER (ORDER BY port_id) - 1 AS idx, COUNT(*) OVER () AS n FROM cand),
+s AS (SELECT s.supplier_id, s.country_id, c.region, {_hash_sql('s.supplier_id')} AS h
+      FROM suppliers s JOIN countries c ON s.country_id = c.country_id),
+picks AS (
+  SELECT s.supplier_id,
+         (SELECT port_id FROM by_country b WHERE b.country_id = s.country_id AND b.idx = s.h % b.n) AS p1,
+         (SELECT port_id FROM by_region b WHERE b.region = s.region AND b.idx = s.h % b.n) AS p2,
+         (SELECT port_id FROM any_port b WHERE b.idx = s.h % b.n) AS p3
+  FROM s)
+SELECT supplier_id, COALESCE(p1, p2, p3) AS origin_port_id,
+       CASE WHEN p1 IS NOT NULL THEN 'country' WHEN p2 IS NOT NULL THEN 'region'
+            WHEN p3 IS NOT NULL THEN 'any' END AS tier
+FROM picks""")
+def j10(d: Domain):
+    c = d.countries.select("country_id", "region")
+    cand = d.ports.where(F.col("port_id") % 3 == 0).select("port_id", "country_id").join(F.broadcast(c), "country_id")
+    sup = d.suppliers.select("supplier_id", "country_id").join(F.broadcast(c), "country_id")
+    res = tiered_lookup(sup, "supplier_id",
+                        [("country", "country_id", cand), ("region", "region", cand), ("any", "", cand)],
+                        "port_id", "origin_port_id")
+    return res.select("supplier_id", "origin_port_id", "tier")
+
+
+@register("j11_region_text_join", _TREND_SQL + """
+SELECT c.country_id, c.region, f.month_year, f.price_per_barrel
+FROM countries c JOIN fuel f ON c.region = f.region""")
+def j11(d: Domain):
+    lo, hi = d.month_bounds()
+    fuel = S.seasonal_trend(d.countries.select("region").distinct(), lo, hi)
+    # Text key, many countries per region: the fuel side is unique per (region, month),
+    # so the join yields exactly one row per country and month.
+    return (d.countries.select("country_id", "region").join(F.broadcast(fuel), "region")
+            .select("country_id", "region", "month_year", "price_per_barrel"))
+
+
+# -- A: aggregates ---------------------------------------------------------------------------
+@register("a06_monthly_max_severity", """
+SELECT country_id, CAST(DATE_TRUNC('month', event_date) AS DATE) AS month_year,
+       MAX(severity_score) AS max_severity, COUNT(*) AS events
+FROM weather_events GROUP BY 1, 2""")
+def a06(d: Domain):
+    return monthly_max(d.weather_events, ["country_id"], "event_date", "severity_score", "max_severity")
+
+
+@register("a10_delay_summary", """
+SELECT ROUND(AVG(delay_days), 6) AS avg_delay_days,
+       ROUND(AVG(CASE WHEN delay_days > 0 THEN 1 ELSE 0 END) * 100, 6) AS pct_delayed
+FROM shipments""")
+def a10(d: Domain):
+    return d.shipments.agg(
+        F.round(F.avg("delay_days"), 6).alias("avg_delay_days"),
+        F.round(F.avg(F.when(F.col("delay_days") > 0, 1).otherwise(0)) * 100, 6).alias("pct_delayed"))
+
+
+@register("a11_ids_by_region", """
+SELECT region, STRING_AGG(CAST(country_id AS VARCHAR), ',' ORDER BY country_id) AS country_ids,
+       COUNT(*) AS n_countries
+FROM countries GROUP BY region""")
+def a11(d: Domain):
+    # Bounded groups only (countries per region): the list is collected per region.
+    return (d.countries.groupBy("region")
+            .agg(F.concat_ws(",", F.sort_array(F.collect_list("country_id")).cast("array<string>"))
+                 .alias("country_ids"), F.count(F.lit(1)).alias("n_countries")))
+
+
+@register("a12_distinct_regions", "SELECT DISTINCT region FROM countries")
+def a12(d: Domain):
+    return d.countries.select("region").distinct()
+
+
+@register("a13_share_of_total", """
+SELECT country_id, COUNT(*) AS suppliers, ROUND(COUNT(*) / (SELECT COUNT(*) FROM suppliers), 6) AS share
+FROM suppliers GROUP BY country_id""")
+def a13(d: Domain):
+    total = d.suppliers.select(F.count(F.lit(1))).scalar()
+    return (d.suppliers.groupBy("country_id").agg(F.count(F.lit(1)).alias("suppliers"))
+            .withColumn("share", F.round(F.col("suppliers") / total, 6)))
+
+
+# -- U: unions and calendars -------------------------------------------------------------------
+_COUNTED = ("countries", "suppliers", "ports", "products", "purchase_orders", "shipments", "customer_orders",
+            "inventory", "weather_events", "political_risk_index")
+
+
+@register("u01_row_counts", "\n, counts AS (\n" + "\n  UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in _COUNTED) + """)
+SELECT table_name, row_count FROM counts
+UNION ALL SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM counts""")
+def u01(d: Domain):
+    return DQ.row_counts({t: getattr(d, t) for t in _COUNTED})
+
+
+@register("u04_zero_filled_trend", """
+, hits AS (SELECT CAST(DATE_TRUNC('month', ship_date) AS DATE) AS month_year, COUNT(*) AS shipments,
+                  CAST(SUM(delay_days) AS BIGINT) AS total_delay_days
+           FROM shipments WHERE delay_reason = 'Weather' AND delay_days >= 19 GROUP BY 1)
+SELECT m.month_year, COALESCE(h.shipments, 0) AS shipments, COALESCE(h.total_delay_days, 0) AS total_delay_days
+FROM months m LEFT JOIN hits h ON m.month_year = h.month_year""")
+def u04(d: Domain):
+    hits = (d.shipments.where((F.col("delay_reason") == "Weather") & (F.col("delay_days") >= 19))
+            .groupBy(month_key("ship_date").alias("month_year"))
+            .agg(F.count(F.lit(1)).alias("shipments"), F.sum("delay_days").cast("bigint").alias("total_delay_days")))
+    return zero_fill(d.months, hits, "month_year", ["shipments", "total_delay_days"], 0)
+
+
+# -- F: string building ------------------------------------------------------------------------
+@register("f12_label_template", """
+SELECT s.supplier_id, s.supplier_name || ' (' || c.country_name || ')' AS supplier_label,
+       printf('%s | reliability %s', s.supplier_name, CAST(s.reliability_score AS VARCHAR)) AS score_label
+FROM suppliers s JOIN countries c ON s.country_id = c.country_id""")
+def f12(d: Domain):
+    s = d.suppliers.join(F.broadcast(d.countries.select("country_id", "country_name")), "country_id")
+    return s.select("supplier_id",
+                    concat_strict("supplier_name", F.lit(" ("), "country_name", F.lit(")")).alias("supplier_label"),
+                    F.format_string("%s | reliability %s", F.col("supplier_name"),
+                                    F.col("reliability_score").cast("string")).alias("score_label"))
+
+
+# -- D: data-quality audits -------------------------------------------------------------------
+_PKS = {"countries": ("country_id",), "suppliers": ("supplier_id",), "products": ("product_id",),
+        "purchase_orders": ("po_id",), "shipments": ("po_id", "line_no")}
+
+
+@register("d01_pk_duplicates", "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, CONCAT_WS('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in ks)}) AS key_value, "
+    f"COUNT(*) AS occurrences FROM {t} GROUP BY {', '.join(ks)} HAVING COUNT(*) > 1"
+    for t, ks in _PKS.items()))
+def d01(d: Domain):
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b), [DQ.pk_duplicates(getattr(d, t), ks, t) for t, ks in _PKS.items()])
+
+
+_FKS = (
+    DQ.ForeignKey("shipments", ("po_id",), "purchase_orders", ("po_id",)),
+    DQ.ForeignKey("shipments", ("origin_port_id",), "ports", ("port_id",)),
+    DQ.ForeignKey("suppliers", ("country_id",), "countries", ("country_id",)),
+    DQ.ForeignKey("ports", ("country_id",), "countries", ("country_id",)),
+    DQ.ForeignKey("purchase_orders", ("supplier_id",), "suppliers", ("supplier_id",)),
+    DQ.ForeignKey("purchase_orders", ("product_id",), "products", ("product_id",)),
+    DQ.ForeignKey("inventory", ("product_id",), "products", ("product_id",)),
+    DQ.ForeignKey("customer_orders", ("product_id",), "products", ("product_id",)),
+    DQ.ForeignKey("weather_events", ("country_id",), "countries", ("country_id",)),
+    DQ.ForeignKey("political_risk_index", ("country_id",), "countries", ("country_id",)),
+)
+
+
+@register("d02_fk_orphans", "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{f.child}' AS child_table, '{','.join(f.columns)}' AS fk_columns, '{f.parent}' AS parent_table, "
+    f"COUNT(*) AS orphan_rows FROM {f.child} ch WHERE ch.{f.columns[0]} IS NOT NULL AND NOT EXISTS "
+    f"(SELECT 1 FROM {f.parent} pa WHERE pa.{f.parent_columns[0]} = ch.{f.columns[0]})"
+    for f in _FKS))
+def d02(d: Domain):
+    tables = {t: getattr(d, t) for t in {f.child for f in _FKS} | {f.parent for f in _FKS}}
+    return DQ.fk_audit(tables, _FKS)
+
+
+_NULL_AUDIT = {"shipments": ("po_id", "line_no", "product_id", "origin_port_id", "line_price", "ship_date",
+                             "delay_days", "delay_reason"),
+               "purchase_orders": ("po_id", "supplier_id", "product_id", "order_date", "quantity", "status")}
+
+
+@register("d03_null_audit", "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_rows FROM {t}"
+    for t, cs in _NULL_AUDIT.items() for c in cs))
+def d03(d: Domain):
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b),
+                  [DQ.null_audit(getattr(d, t), t, cs) for t, cs in _NULL_AUDIT.items()])
+
+
+_REASONS = ("None", "Weather", "Port Congestion", "Political", "Operational")
+_RULES_SQL = (
+    ("reliability_0_100", "suppliers", "reliability_score BETWEEN 0 AND 100"),
+    ("base_risk_0_100", "countries", "base_risk_score BETWEEN 0 AND 100"),
+    ("congestion_0_100", "ports", "avg_congestion_score BETWEEN 0 AND 100"),
+    ("political_risk_0_100", "political_risk_index", "risk_score BETWEEN 0 AND 100"),
+    ("political_first_of_month", "political_risk_index", "DAY(month_year) = 1"),
+    ("severity_0_100", "weather_events", "severity_score BETWEEN 0 AND 100"),
+    ("delay_reason_enum", "shipments", f"delay_reason IN ({_sql_list(_REASONS)})"),
+    ("delay_days_non_negative", "shipments", "delay_days >= 0"),
+    ("po_quantity_positive", "purchase_orders", "quantity > 0"),
+)
+
+
+@register("d04_domain_rules", "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS rule_name, '{t}' AS table_name, COUNT(CASE WHEN NOT COALESCE({cond}, TRUE) THEN 1 END) "
+    f"AS violations FROM {t}" for n, t, cond in _RULES_SQL))
+def d04(d: Domain):
+    rules = [DQ.Rule(n, t, F.expr(cond)) for n, t, cond in _RULES_SQL]
+    return DQ.domain_audit({t: getattr(d, t) for _, t, _ in _RULES_SQL}, rules)
+
+
+# -- G: sampling ----------------------------------------------------------------------------
+@register("g01_sample_per_group", f"""
+SELECT supplier_id, supplier_name, country_id FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY country_id ORDER BY {_hash_sql('supplier_id')}, supplier_id) AS rn
+  FROM suppliers) WHERE rn <= 2""")
+def g01(d: Domain):
+    return sample_per_group(d.suppliers, ["country_id"], ["supplier_id"], 2).select(
+        "supplier_id", "supplier_name", "country_id")
+
+
+@register("g02_sample_with_replacement", f"""
+, pop AS (SELECT product_id, product_name, ROW_NUMBER() OVER (ORDER BY product_id) - 1 AS idx FROM products),
+n AS (SELECT COUNT(*) AS n FROM products)
+SELECT o.o_orderkey AS po_id, pop.product_id, pop.product_name
+FROM orders o CROSS JOIN n JOIN pop ON pop.idx = {_hash_sql('o.o_orderkey')} % n.n""")
+def g02(d: Domain):
+    draws = d.t.orders.select(F.col("o_orderkey").alias("po_id"))
+    return sample_with_replacement(draws, "po_id", d.products.select("product_id", "product_name"),
+                                   ["product_id"]).select("po_id", "product_id", "product_name")
+
+
+@register("g03_fraction_sample", f"""
+, f AS (SELECT *, {_hash_sql('order_id', 'product_id', 'warehouse_id', 'quantity')} AS h
+        FROM customer_orders WHERE fulfilled = 1),
+k AS (SELECT CAST(ROUND(0.04 * COUNT(*)) AS BIGINT) AS k FROM f)
+SELECT order_id, product_id, warehouse_id, order_date, quantity FROM (
+  SELECT f.*, ROW_NUMBER() OVER (ORDER BY h, order_id, product_id, warehouse_id, quantity) AS rn FROM f) x
+JOIN k ON x.rn <= k.k""")
+def g03(d: Domain):
+    fulfilled = d.customer_orders.where(F.col("fulfilled") == 1)
+    return exact_fraction(fulfilled, 0.04, ["order_id", "product_id", "warehouse_id", "quantity"]).select(
+        "order_id", "product_id", "warehouse_id", "order_date", "quantity")
+
+
+@register("g04_weighted_pick", f"""
+, w AS (SELECT country_id,
+               CASE WHEN country_name IN ({_sql_list(HEAVY_COUNTRIES)}) THEN 5
+                    WHEN country_name IN ({_sql_list(MEDIUM_COUNTRIES)}) THEN 3 ELSE 1 END AS weight
+        FROM countries),
+slots AS (SELECT country_id, ROW_NUMBER() OVER (ORDER BY country_id, u) - 1 AS slot
+          FROM w, UNNEST(GENERATE_SERIES(1, weight)) AS t(u)),
+total AS (SELECT SUM(weight) AS total FROM w)
+SELECT p.product_id, s.country_id
+FROM products p CROSS JOIN total JOIN slots s ON s.slot = {_hash_sql('p.product_id')} % total.total""")
+def g04(d: Domain):
+    w = country_weights(d).select("country_id", "weight")
+    return weighted_pick(d.products.select("product_id"), "product_id", w, "country_id", "weight").select(
+        "product_id", "country_id")
