@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 
 from riskspark.functions.scalar import col_of
 
-MONTH = F.expr("INTERVAL 1 MONTH")
+
+def one_month() -> Column:
+    return F.expr("INTERVAL 1 MONTH")
 
 
 def months_between_inclusive(lo: Column, hi: Column) -> Column:
-    return F.sequence(lo, hi, MONTH)
+    return F.sequence(lo, hi, one_month())
 
 
 def month_series(bounds: DataFrame, lo: str = "lo", hi: str = "hi", out: str = "month_start",

@@ -76,9 +76,15 @@ def publish(df: DataFrame, table_path: str, checks: Sequence[Check] = (),
     """
     spark = df.sparkSession
     fs, root, jvm = _fs(spark, table_path)
-    prev = current_version(spark, table_path)
-    n = 1 + (int(prev.split("=")[1]) if prev else 0)
-    version = f"v={n:06d}"
+    # Number after every version folder on disk, including ones a failed
+    # publish left behind (they are never current, and never reused).
+    taken = [0]
+    if fs.exists(root):
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
+                taken.append(int(name[2:]))
+    version = f"v={max(taken) + 1:06d}"
     target = f"{table_path.rstrip('/')}/{version}"
     writer = df.write.mode("errorifexists")
     if partition_by:
