@@ -49,6 +49,10 @@ _SEG = "_seg"
 _OFF = "_seg_offset"
 SAMPLE_PER_SEGMENT = 64
 MAX_SAMPLE = 200_000
+# Segment ids come from a binary search over literal bounds, so the
+# expression grows with the segment count; beyond this many segments each
+# segment simply holds more rows (its window task sorts with spill).
+MAX_SEGMENTS = 2048
 
 SortKey = "str | tuple[str, str]"
 
@@ -99,7 +103,9 @@ def segment_bounds(df: DataFrame, order: Sequence, segments: int, seed: int = 7)
     if n == 0 or segments <= 1:
         return []
     frac = min(1.0, min(MAX_SAMPLE, SAMPLE_PER_SEGMENT * segments) / n)
-    sample = df.select(*keys).sample(False, frac, seed).orderBy(*_sort_cols(order)).collect()
+    # The sample is bounded (at most MAX_SAMPLE rows): one task sorts it; the scan stays parallel.
+    sample = (df.select(*keys).sample(False, frac, seed).repartition(1)
+              .sortWithinPartitions(*_sort_cols(order)).collect())
     if not sample:
         return []
     bounds: list[tuple] = []
@@ -110,35 +116,56 @@ def segment_bounds(df: DataFrame, order: Sequence, segments: int, seed: int = 7)
     return bounds
 
 
-def segment_of(order: Sequence, bounds: list[tuple]) -> Column:
-    """Segment id = number of bounds the row sorts after (binary search, depth log2 of the bound count)."""
+def segment_of(order: Sequence, bounds: list[tuple], schema=None) -> Column:
+    """Segment id = number of bounds the row sorts after (binary search, depth log2 of the bound count).
+
+    When every key is ascending the comparison is one struct comparison
+    (Spark orders structs field by field with nulls first, which is the
+    ascending sort order); otherwise it is spelled out column by column.
+    """
     keys = [_parse(k) for k in order]
+    if schema is not None and all(asc for _, asc in keys):
+        row = F.struct(*[F.col(n) for n, _ in keys])
+
+        def after(bound: tuple) -> Column:
+            lit = F.struct(*[F.lit(v).cast(schema[n].dataType).alias(n) for (n, _), v in zip(keys, bound)])
+            return row > lit
+    else:
+        def after(bound: tuple) -> Column:
+            return _row_after(keys, bound)
 
     def search(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(_row_after(keys, bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+        return F.when(after(bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
 
     return search(0, len(bounds))
 
 
 def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = None) -> DataFrame:
     """Tag rows with an order-contiguous segment id (``_seg``)."""
-    n = num_segments or shuffle_partitions(df.sparkSession)
-    return df.withColumn(_SEG, segment_of(order, segment_bounds(df, order, n)))
+    n = min(MAX_SEGMENTS, num_segments or shuffle_partitions(df.sparkSession))
+    return df.withColumn(_SEG, segment_of(order, segment_bounds(df, order, n), df.schema))
 
 
 def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Sequence,
-                 num_segments: int | None = None, exclusive: bool = False) -> DataFrame:
+                 num_segments: int | None = None, exclusive: bool = False, ordered: bool = False) -> DataFrame:
     """Global running sums ``SUM(v) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)`` for each ``out: v``.
 
     ``order`` must be a total order for the result to be deterministic,
     exactly as for the plain window; ``exclusive`` stops one row earlier.
+
+    ``ordered=True`` range-partitions by segment id instead of hashing it:
+    partitions then hold consecutive segments, each sorted by the window,
+    so the result is already in ``order`` (no second global sort needed)
+    and is written or collected in that order.
     """
     tmp = {out: f"_v_{i}" for i, out in enumerate(values)}
     base = df.select("*", *[col_of(v).alias(tmp[o]) for o, v in values.items()])
-    seg = with_segments(base, order, num_segments)
+    n = min(MAX_SEGMENTS, num_segments or shuffle_partitions(df.sparkSession))
+    bounds = segment_bounds(base, order, n)
+    seg = base.withColumn(_SEG, segment_of(order, bounds, base.schema))
     totals = seg.groupBy(_SEG).agg(*[F.sum(t).alias(f"_t{t}") for t in tmp.values()])
     # One row per segment: the single-partition window and the broadcast
     # below are bounded by the segment count, not by the data.
@@ -148,6 +175,8 @@ def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Seq
     frame = (Window.partitionBy(_SEG).orderBy(*_sort_cols(order))
              .rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow))
     out = seg.join(F.broadcast(offsets), _SEG)
+    if ordered:
+        out = out.repartitionByRange(len(bounds) + 1, _SEG)
     for o, t in tmp.items():
         local = F.sum(t).over(frame)
         if exclusive:
@@ -157,8 +186,8 @@ def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Seq
 
 
 def running_sum(df: DataFrame, value: "str | Column", order: Sequence, out: str,
-                num_segments: int | None = None, exclusive: bool = False) -> DataFrame:
-    return running_sums(df, {out: value}, order, num_segments, exclusive)
+                num_segments: int | None = None, exclusive: bool = False, ordered: bool = False) -> DataFrame:
+    return running_sums(df, {out: value}, order, num_segments, exclusive, ordered)
 
 
 def dense_position(df: DataFrame, order: Sequence, out: str = "row_index",

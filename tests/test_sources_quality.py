@@ -179,3 +179,19 @@ def test_date_range_prunes_partitions(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(ship_month" in plan
     want = sh.where(F.col("ship_date").between(D(2023, 6, 1), D(2023, 9, 1))).count()
     assert q.count() == want
+
+
+def test_incremental_ingest_stream(spark, tmp_dir):
+    from riskspark.sources.schema import BY_NAME
+    from riskspark.streaming import ingest_stream
+
+    land = f"{tmp_dir}/landing"
+    header = ("shipment_id,po_id,origin_port_id,destination_warehouse_id,ship_date,expected_arrival_date,"
+              "actual_arrival_date,delay_days,delay_reason\n")
+    _write(f"{land}/a.csv", header + "1,10,3,4,2023-06-01,2023-06-20,,2,Weather\n2,11,3,4,2023-07-01,,,,None\n")
+    _write(f"{land}/b.csv", header + "3,12,3,4,2023-13-01,,,1,Political\n")
+    q = ingest_stream(spark, land, BY_NAME["shipments"], f"{tmp_dir}/out", f"{tmp_dir}/bad", f"{tmp_dir}/ckpt")
+    q.awaitTermination(120)
+    good = spark.read.parquet(f"{tmp_dir}/out")
+    assert sorted((r.shipment_id, r.delay_days) for r in good.collect()) == [(1, 2), (2, 0)]
+    assert spark.read.parquet(f"{tmp_dir}/bad").count() == 1
