@@ -1,8 +1,10 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare.
 
-Comparison is order-insensitive: both results are normalised (floats
-rounded to 6 places, dates/timestamps to ISO text, arrays to tuples) and
+Comparison is order-insensitive and exact: both results are normalised
+(dates/timestamps to ISO text, decimals to float, arrays to tuples) and
 compared as sorted row lists, after checking column names and row counts.
+Queries round their own float outputs where the engines could differ in
+summation order, so no tolerance is applied here.
 
 CLI: ``python tests/oracle_harness.py [sf_dir] [key ...]``
 """
@@ -33,9 +35,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return round(v, 6) + 0.0
+        return v + 0.0
     if isinstance(v, decimal.Decimal):
-        return round(float(v), 6) + 0.0
+        return float(v)
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     if isinstance(v, (list, tuple)):
