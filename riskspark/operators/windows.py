@@ -49,10 +49,11 @@ _SEG = "_seg"
 _OFF = "_seg_offset"
 SAMPLE_PER_SEGMENT = 64
 MAX_SAMPLE = 200_000
-# Segment ids come from a binary search over literal bounds, so the
-# expression grows with the segment count; beyond this many segments each
-# segment simply holds more rows (its window task sorts with spill).
-MAX_SEGMENTS = 2048
+# Up to FLAT_SEGMENTS, segment ids are one binary search over literal bounds
+# sampled to the driver. Beyond that (all-ascending keys) a second level is
+# sampled on the executors per coarse segment, up to MAX_SEGMENTS in total.
+FLAT_SEGMENTS = 1024
+MAX_SEGMENTS = 1 << 16
 
 SortKey = "str | tuple[str, str]"
 
@@ -96,10 +97,11 @@ def _row_after(keys: list[tuple[str, bool]], bound: tuple) -> Column:
     return expr
 
 
-def segment_bounds(df: DataFrame, order: Sequence, segments: int, seed: int = 7) -> list[tuple]:
+def segment_bounds(df: DataFrame, order: Sequence, segments: int, seed: int = 7,
+                   n: int | None = None) -> list[tuple]:
     """Up to ``segments - 1`` sorted bound tuples from a bounded sample of the sort keys."""
     keys = [_parse(k)[0] for k in order]
-    n = df.count()
+    n = df.count() if n is None else n
     if n == 0 or segments <= 1:
         return []
     frac = min(1.0, min(MAX_SAMPLE, SAMPLE_PER_SEGMENT * segments) / n)
@@ -143,14 +145,56 @@ def segment_of(order: Sequence, bounds: list[tuple], schema=None) -> Column:
     return search(0, len(bounds))
 
 
-def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = None) -> DataFrame:
-    """Tag rows with an order-contiguous segment id (``_seg``)."""
-    n = min(MAX_SEGMENTS, num_segments or shuffle_partitions(df.sparkSession))
-    return df.withColumn(_SEG, segment_of(order, segment_bounds(df, order, n), df.schema))
+def _fine_search(row: Column, bounds: str, width: int) -> Column:
+    """Binary search of ``row`` over the array column ``bounds`` (``width`` sorted structs)."""
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(row > F.element_at(bounds, mid + 1), search(mid + 1, hi)).otherwise(search(lo, mid))
+
+    return search(0, width)
+
+
+def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = None,
+                  flat_limit: int = FLAT_SEGMENTS, seed: int = 7) -> tuple[DataFrame, int]:
+    """Tag rows with an order-contiguous segment id ``_seg``; returns (frame, segment count).
+
+    Flat: one binary search over at most ``flat_limit`` driver-sampled
+    bounds. Two-level (more segments, all keys ascending): coarse ids as in
+    the flat case; then each coarse segment's sample (bounded: about
+    64 x fine width rows per segment) is sorted on the executors with
+    ``array_sort`` and cut into fine bounds, a table of one row per coarse
+    segment that is broadcast; a row's fine id is a binary search over its
+    coarse segment's bounds. Ids stay a pure function of the row.
+    """
+    want = max(1, min(MAX_SEGMENTS, num_segments or shuffle_partitions(df.sparkSession)))
+    keys = [_parse(k) for k in order]
+    n = df.count()
+    if want <= flat_limit or not all(asc for _, asc in keys):
+        bounds = segment_bounds(df, order, min(want, flat_limit), seed, n)
+        return df.withColumn(_SEG, segment_of(order, bounds, df.schema)), len(bounds) + 1
+    coarse_bounds = segment_bounds(df, order, flat_limit, seed, n)
+    coarse = len(coarse_bounds) + 1
+    width = -(-want // coarse)                         # fine segments per coarse segment
+    tagged = df.withColumn("_c", segment_of(order, coarse_bounds, df.schema))
+    row = F.struct(*[F.col(k) for k, _ in keys])
+    frac = min(1.0, SAMPLE_PER_SEGMENT * width * coarse / max(n, 1))
+    sample = (tagged.select("_c", row.alias("_k")).sample(False, frac, seed + 1)
+              .groupBy("_c").agg(F.array_sort(F.collect_list("_k")).alias("_s")))
+    picks = [F.element_at("_s", (F.size("_s") * j / width).cast("int") + 1) for j in range(1, width)]
+    fine = sample.select("_c", F.array(*picks).alias("_fb"))
+    # One row per coarse segment holding width-1 bounds: bounded by the segment count.
+    seg = (tagged.join(F.broadcast(fine), "_c", "left")
+           .withColumn(_SEG, F.col("_c") * width
+                       + F.when(F.col("_fb").isNull(), F.lit(0)).otherwise(_fine_search(row, "_fb", width - 1)))
+           .drop("_c", "_fb"))
+    return seg, coarse * width
 
 
 def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Sequence,
-                 num_segments: int | None = None, exclusive: bool = False, ordered: bool = False) -> DataFrame:
+                 num_segments: int | None = None, exclusive: bool = False, ordered: bool = False,
+                 flat_limit: int = FLAT_SEGMENTS) -> DataFrame:
     """Global running sums ``SUM(v) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)`` for each ``out: v``.
 
     ``order`` must be a total order for the result to be deterministic,
@@ -163,12 +207,10 @@ def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Seq
     """
     tmp = {out: f"_v_{i}" for i, out in enumerate(values)}
     base = df.select("*", *[col_of(v).alias(tmp[o]) for o, v in values.items()])
-    n = min(MAX_SEGMENTS, num_segments or shuffle_partitions(df.sparkSession))
-    bounds = segment_bounds(base, order, n)
-    seg = base.withColumn(_SEG, segment_of(order, bounds, base.schema))
+    seg, segments = with_segments(base, order, num_segments, flat_limit)
     totals = seg.groupBy(_SEG).agg(*[F.sum(t).alias(f"_t{t}") for t in tmp.values()])
     # One row per segment: the single-partition window and the broadcast
-    # below are bounded by the segment count, not by the data.
+    # below are bounded by the segment count (at most MAX_SEGMENTS), not by the data.
     prior = Window.orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(_SEG, *[F.coalesce(F.sum(f"_t{t}").over(prior), F.lit(0)).alias(f"_o{t}")
                                     for t in tmp.values()])
@@ -176,7 +218,7 @@ def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Seq
              .rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow))
     out = seg.join(F.broadcast(offsets), _SEG)
     if ordered:
-        out = out.repartitionByRange(len(bounds) + 1, _SEG)
+        out = out.repartitionByRange(segments, _SEG)
     for o, t in tmp.items():
         local = F.sum(t).over(frame)
         if exclusive:
@@ -186,8 +228,9 @@ def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Seq
 
 
 def running_sum(df: DataFrame, value: "str | Column", order: Sequence, out: str,
-                num_segments: int | None = None, exclusive: bool = False, ordered: bool = False) -> DataFrame:
-    return running_sums(df, {out: value}, order, num_segments, exclusive, ordered)
+                num_segments: int | None = None, exclusive: bool = False, ordered: bool = False,
+                flat_limit: int = FLAT_SEGMENTS) -> DataFrame:
+    return running_sums(df, {out: value}, order, num_segments, exclusive, ordered, flat_limit)
 
 
 def dense_position(df: DataFrame, order: Sequence, out: str = "row_index",

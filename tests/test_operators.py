@@ -225,3 +225,19 @@ def test_portable_hash_matches_duckdb(spark):
     want = duckdb.sql("SELECT ('0x' || SUBSTR(MD5('42:' || CAST(range AS VARCHAR)), 1, 8))::BIGINT AS h "
                       "FROM range(5) ORDER BY range").fetchall()
     assert [r.h for r in got] == [w[0] for w in want]
+
+
+def test_two_level_segments_match_window(spark):
+    # a hot day with a third of the rows, more segments than the flat limit
+    data = [(D(2020, 1, 1) if i % 3 == 0 else D(2020, 1, 2) + dt.timedelta(days=i % 40), i, (i * 5) % 13)
+            for i in range(5000)]
+    df = spark.createDataFrame(data, "d date, k int, v int")
+    seg, count = W.with_segments(df, ["d", "k"], num_segments=40, flat_limit=4)
+    assert count > 4
+    sizes = [r["count"] for r in seg.groupBy("_seg").count().collect()]
+    assert max(sizes) < 5000 / 3          # the hot day is split over several segments
+    ours = W.running_sum(df, "v", ["d", "k"], "run", num_segments=40, flat_limit=4, ordered=True)
+    plain = df.withColumn("run", F.sum("v").over(Window.orderBy("d", "k").rowsBetween(Window.unboundedPreceding, 0)))
+    assert rows(ours, "k", "run") == rows(plain, "k", "run")
+    got = [(r.d, r.k) for r in ours.collect()]
+    assert got == sorted(got)                 # ordered layout is globally sorted

@@ -17,10 +17,10 @@ rows_st = st.lists(st.tuples(st.integers(0, 5) | st.none(), st.integers(-20, 20)
 
 
 @SETTINGS
-@given(data=rows_st, segments=st.integers(1, 9))
-def test_running_sum_equals_window(spark, data, segments):
+@given(data=rows_st, segments=st.integers(1, 9), flat_limit=st.integers(1, 8))
+def test_running_sum_equals_window(spark, data, segments, flat_limit):
     df = spark.createDataFrame([(g, i, v) for i, (g, v) in enumerate(data)], "g int, k int, v int")
-    ours = W.running_sum(df, "v", ["g", "k"], "run", num_segments=segments)
+    ours = W.running_sum(df, "v", ["g", "k"], "run", num_segments=segments, flat_limit=flat_limit)
     plain = df.withColumn("run", F.sum("v").over(Window.orderBy(F.col("g").asc_nulls_first(), "k")
                                                   .rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted((r.k, r.run) for r in ours.collect()) == sorted((r.k, r.run) for r in plain.collect())
