@@ -195,3 +195,23 @@ def test_incremental_ingest_stream(spark, tmp_dir):
     good = spark.read.parquet(f"{tmp_dir}/out")
     assert sorted((r.shipment_id, r.delay_days) for r in good.collect()) == [(1, 2), (2, 0)]
     assert spark.read.parquet(f"{tmp_dir}/bad").count() == 1
+
+
+def test_load_all_writes_typed_parquet(spark, tmp_dir):
+    from riskspark.sources.schema import BY_NAME
+
+    csv = f"{tmp_dir}/csv"
+    _write(f"{csv}/countries.csv", "country_id,country_name,region,currency_code,base_risk_score\n"
+                                   "1,China,East Asia,CNY,42\n2,Taiwan,East Asia,TWD,48.5\n3,,Europe,EUR,10\n")
+    _write(f"{csv}/shipments.csv", "shipment_id,po_id,origin_port_id,destination_warehouse_id,ship_date,"
+                                   "expected_arrival_date,actual_arrival_date,delay_days,delay_reason\n"
+                                   "1,10,3,4,2023-06-01,2023-06-20,,2,Weather\n"
+                                   "2,11,3,4,2023-07-15,2023-07-30,,,None\n")
+    out = f"{tmp_dir}/out"
+    loaded = ingest.load_all(spark, csv, out, tables=[BY_NAME["countries"], BY_NAME["shipments"]])
+    c = {r.country_id: r.base_risk_score for r in loaded["countries"].collect()}
+    assert set(c) == {1, 2} and float(c[2]) == 48.5                  # NOT NULL name missing -> quarantined
+    assert spark.read.parquet(f"{out}/_quarantine/countries").count() == 1
+    parts = sorted(p for p in os.listdir(f"{out}/shipments") if p.startswith("ship_month="))
+    assert parts == ["ship_month=2023-06-01", "ship_month=2023-07-01"]
+    assert sorted((r.shipment_id, r.delay_days) for r in loaded["shipments"].collect()) == [(1, 2), (2, 0)]
