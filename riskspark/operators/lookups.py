@@ -70,29 +70,39 @@ def dense_pick(candidates: DataFrame, group: Sequence[str], order: Sequence,
             .select(*candidates.columns, (F.col("_pos") - F.col("_first")).alias(index_col), size_col))
 
 
-def tiered_lookup(df: DataFrame, entity_key: str, tiers: Sequence[tuple[str, str, DataFrame]],
-                  value: str, out: str, seed: int | str = 42, tier_col: str = "tier") -> DataFrame:
-    """First tier that has a candidate wins; within a tier pick one candidate by hash.
-
-    ``tiers`` is a list of ``(name, df_group_col, candidates)`` where
-    ``candidates`` has the group column and ``value``; a tier with
-    ``df_group_col == ''`` is the "any" tier (one global group). The pick is
-    ``hash(seed, entity) % group size`` into the densely numbered group, so
-    it is an equi-join: no entity is paired with every candidate.
+def tiered_lookup(df: DataFrame, entity_key: str, candidates: DataFrame, value: str,
+                  tiers: Sequence[tuple[str, str]], out: str, seed: int | str = 42,
+                  tier_col: str = "tier") -> DataFrame:
+    """First tier with a candidate wins; within the tier one candidate is picked by hash.
+
+    ``tiers`` lists ``(name, group column)`` from the most specific to the
+    least, ``""`` meaning "any candidate" (e.g. country, region, any). Each
+    group column must be determined by the one before it (a country lies in
+    one region), so ordering candidates by (coarsest .. finest group, value)
+    keeps every group of every tier contiguous: one dense position numbers
+    all tiers. An entity picks ``first + hash(seed:entity) % size`` of its
+    group, an equi-join on the position: no entity is paired with every
+    candidate, and a group holding a third of the candidates is numbered
+    by many tasks.
     """
+    groups = [g for _, g in tiers if g]
+    order = [*reversed(groups), value]
+    pos = dense_position(candidates.select(*groups, value), order, "_pos")
+    by_pos = pos.select(F.col("_pos"), F.col(value).alias("_val"))
+    h = portable_hash(F.col(entity_key), seed=seed)
     res = df
     picks = []
-    for i, (name, group_col, cand) in enumerate(tiers):
-        g = f"_g{i}"
-        cand_g = cand.select((F.col(group_col) if group_col else F.lit(0)).alias(g), F.col(value).alias(f"_v{i}"))
-        numbered = dense_pick(cand_g, [g], [f"_v{i}"], f"_i{i}", f"_n{i}")
-        sizes = numbered.select(g, f"_n{i}").distinct()
-        left_g = F.col(group_col) if group_col else F.lit(0)
-        res = (res.withColumn(g, left_g)
-               .join(sizes, g, "left")
-               .withColumn(f"_i{i}", F.pmod(portable_hash(F.col(entity_key), seed=seed), F.col(f"_n{i}")))
-               .join(numbered.select(g, f"_i{i}", f"_v{i}"), [g, f"_i{i}"], "left")
-               .drop(g, f"_i{i}", f"_n{i}"))
+    for i, (name, g) in enumerate(tiers):
+        if g:   # first position and size of each group: one row per group
+            stats = pos.groupBy(g).agg(F.min("_pos").alias(f"_f{i}"), F.count(F.lit(1)).alias(f"_n{i}"))
+            res = res.join(stats, g, "left")
+        else:   # the "any" tier is one group starting at 0; its size is a scalar subquery
+            res = (res.withColumn(f"_f{i}", F.lit(0).cast("bigint"))
+                   .withColumn(f"_n{i}", candidates.select(F.count(F.lit(1))).scalar()))
+        res = res.withColumn(f"_i{i}", F.col(f"_f{i}") + F.pmod(h, F.col(f"_n{i}")))
+        res = (res.join(by_pos.withColumnRenamed("_pos", f"_i{i}").withColumnRenamed("_val", f"_v{i}"),
+                        f"_i{i}", "left")
+               .drop(f"_i{i}", f"_f{i}", f"_n{i}"))
         picks.append((name, f"_v{i}"))
     chosen = F.coalesce(*[F.col(v) for _, v in picks])
     which = F.lit(None).cast("string")

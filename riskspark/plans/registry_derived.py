@@ -365,9 +365,11 @@ def j09(d: Domain):
            WHERE pt.port_id % 3 = 0),
 by_country AS (SELECT country_id, port_id, ROW_NUMBER() OVER (PARTITION BY country_id ORDER BY port_id) - 1 AS idx,
                       COUNT(*) OVER (PARTITION BY country_id) AS n FROM cand),
-by_region AS (SELECT region, port_id, ROW_NUMBER() OVER (PARTITION BY region ORDER BY port_id) - 1 AS idx,
+by_region AS (SELECT region, port_id,
+                     ROW_NUMBER() OVER (PARTITION BY region ORDER BY country_id, port_id) - 1 AS idx,
                      COUNT(*) OVER (PARTITION BY region) AS n FROM cand),
-any_port AS (SELECT port_id, ROW_NUMBER() OVER (ORDER BY port_id) - 1 AS idx, COUNT(*) OVER () AS n FROM cand),
+any_port AS (SELECT port_id, ROW_NUMBER() OVER (ORDER BY region, country_id, port_id) - 1 AS idx,
+                    COUNT(*) OVER () AS n FROM cand),
 s AS (SELECT s.supplier_id, s.country_id, c.region, {_hash_sql('s.supplier_id')} AS h
       FROM suppliers s JOIN countries c ON s.country_id = c.country_id),
 picks AS (
@@ -384,9 +386,8 @@ def j10(d: Domain):
     c = d.countries.select("country_id", "region")
     cand = d.ports.where(F.col("port_id") % 3 == 0).select("port_id", "country_id").join(F.broadcast(c), "country_id")
     sup = d.suppliers.select("supplier_id", "country_id").join(F.broadcast(c), "country_id")
-    res = tiered_lookup(sup, "supplier_id",
-                        [("country", "country_id", cand), ("region", "region", cand), ("any", "", cand)],
-                        "port_id", "origin_port_id")
+    res = tiered_lookup(sup, "supplier_id", cand, "port_id",
+                        [("country", "country_id"), ("region", "region"), ("any", "")], "origin_port_id")
     return res.select("supplier_id", "origin_port_id", "tier")
 
 

@@ -109,8 +109,8 @@ def test_lookup_strict_raises(spark):
 def test_tier_any(spark):
     ents = spark.createDataFrame([(1, 1, "A"), (2, 2, "B"), (3, 9, "Z")], "eid int, country_id int, region string")
     ports = spark.createDataFrame([(100, 1, "A"), (200, 3, "B")], "port_id int, country_id int, region string")
-    res = tiered_lookup(ents, "eid", [("country", "country_id", ports), ("region", "region", ports), ("any", "", ports)],
-                        "port_id", "port")
+    res = tiered_lookup(ents, "eid", ports, "port_id", [("country", "country_id"), ("region", "region"), ("any", "")],
+                        "port")
     got = {r.eid: (r.port, r.tier) for r in res.collect()}
     assert got[1] == (100, "country") and got[2] == (200, "region") and got[3][1] == "any"
     assert got[3][0] in (100, 200)
