@@ -57,19 +57,6 @@ def lookup_monthly(df: DataFrame, signal: DataFrame, keys: Mapping[str, str], da
     return res.drop(tmp)
 
 
-def dense_pick(candidates: DataFrame, group: Sequence[str], order: Sequence,
-               index_col: str = "_pick_idx", size_col: str = "_pick_n") -> DataFrame:
-    """Number candidates 0..n-1 within each group, with the group size n on every row.
-
-    Built on the range-segmented position, so a group holding a third of
-    the candidates is numbered by many tasks, not one.
-    """
-    pos = dense_position(candidates, [*group, *order], "_pos")
-    first = pos.groupBy(*group).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias(size_col))
-    return (pos.join(first, list(group))
-            .select(*candidates.columns, (F.col("_pos") - F.col("_first")).alias(index_col), size_col))
-
-
 def tiered_lookup(df: DataFrame, entity_key: str, candidates: DataFrame, value: str,
                   tiers: Sequence[tuple[str, str]], out: str, seed: int | str = 42,
                   tier_col: str = "tier") -> DataFrame:
