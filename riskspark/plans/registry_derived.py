@@ -18,6 +18,8 @@ from riskspark.sources.bindings import SHIPMENT_KEY, Domain
 
 SHIP_COLS = ", ".join(SHIPMENT_KEY)
 
+HUB_CONGESTION_BELOW = 30     # J10: origin ports are picked among low-congestion hubs [ours]
+
 # Membership weights of the binding (the reference weights named countries 5 / 3 / 1).
 HEAVY_COUNTRIES = ("NATION_0", "NATION_1", "NATION_2", "NATION_4", "NATION_7")
 MEDIUM_COUNTRIES = ("NATION_3", "NATION_6", "NATION_11", "NATION_8")
@@ -362,7 +364,7 @@ def j09(d: Domain):
 
 @register("j10_fallback_region", f"""
 , cand AS (SELECT pt.port_id, pt.country_id, c.region FROM ports pt JOIN countries c ON pt.country_id = c.country_id
-           WHERE pt.port_id % 3 = 0),
+           WHERE pt.avg_congestion_score < 30),
 by_country AS (SELECT country_id, port_id, ROW_NUMBER() OVER (PARTITION BY country_id ORDER BY port_id) - 1 AS idx,
                       COUNT(*) OVER (PARTITION BY country_id) AS n FROM cand),
 by_region AS (SELECT region, port_id,
@@ -384,7 +386,9 @@ SELECT supplier_id, COALESCE(p1, p2, p3) AS origin_port_id,
 FROM picks""")
 def j10(d: Domain):
     c = d.countries.select("country_id", "region")
-    cand = d.ports.where(F.col("port_id") % 3 == 0).select("port_id", "country_id").join(F.broadcast(c), "country_id")
+    # Candidates are low-congestion hubs; countries without one fall back to their region, then to any hub.
+    cand = (d.ports.where(F.col("avg_congestion_score") < HUB_CONGESTION_BELOW).select("port_id", "country_id")
+            .join(F.broadcast(c), "country_id"))
     sup = d.suppliers.select("supplier_id", "country_id").join(F.broadcast(c), "country_id")
     res = tiered_lookup(sup, "supplier_id", cand, "port_id",
                         [("country", "country_id"), ("region", "region"), ("any", "")], "origin_port_id")

@@ -67,19 +67,6 @@ def test_running_sum_descending_with_nulls(spark):
     assert rows(ours, "k", "pos") == rows(plain, "k", "pos")
 
 
-def test_no_single_partition_exchange_over_fact(spark):
-    from conftest import SF01
-    from riskspark.plans import catalog
-
-    for key in ("q12_running_delay", "q13_rank_dense_rank"):
-        plan = catalog.run(key, spark, SF01)._jdf.queryExecution().executedPlan().toString()
-        # The only single-partition exchange is over the per-segment totals (a HashAggregate).
-        lines = plan.splitlines()
-        for i, line in enumerate(lines):
-            if "SinglePartition" in line:
-                assert "HashAggregate" in lines[i + 1], plan
-
-
 # -- W6 clamped balance --------------------------------------------------------------------------
 def test_stock_clamp(spark):
     df = spark.createDataFrame([(1, 1, -15, 10), (1, 2, 4, 10), (1, 3, -1, 10)],
