@@ -55,7 +55,6 @@ MAX_SAMPLE = 200_000
 FLAT_SEGMENTS = 1024
 MAX_SEGMENTS = 1 << 16
 
-SortKey = "str | tuple[str, str]"
 
 
 def _parse(key) -> tuple[str, bool]:
@@ -281,13 +280,6 @@ def latest_per_group(df: DataFrame, keys: Sequence[str], date_col: str,
     return rows.join(latest, cond, "left_semi")
 
 
-def running_total_in_group(df: DataFrame, keys: Sequence[str], order: Sequence,
-                           value: str | Column, out: str) -> DataFrame:
-    w = (Window.partitionBy(*keys).orderBy(*_sort_cols(order))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return df.withColumn(out, F.sum(col_of(value)).over(w))
-
-
 def clamped_balance(df: DataFrame, keys: Sequence[str], order: Sequence, delta: str | Column,
                     start: str | Column, out: str) -> DataFrame:
     """s = max(0, s_prev + delta) per group in ``order``, starting from ``start`` (>= 0)."""

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -228,3 +227,14 @@ def test_two_level_segments_match_window(spark):
     assert rows(ours, "k", "run") == rows(plain, "k", "run")
     got = [(r.d, r.k) for r in ours.collect()]
     assert got == sorted(got)                 # ordered layout is globally sorted
+
+
+def test_top_delays_dataframe_form_equals_sql_over_view(spark):
+    from conftest import SF001
+    from riskspark.plans import catalog
+    from riskspark.plans.registry_core import summary
+
+    d = catalog.domain(spark, SF001)
+    via_df = [tuple(r) for r in Q.top_delays(summary(d), 20).collect()]
+    via_sql = [tuple(r) for r in catalog.run("o04_top20_delays", spark, SF001).collect()]
+    assert via_df == via_sql and len(via_df) == 20
