@@ -24,7 +24,6 @@ class Entry:
 
 
 REGISTRY: dict[str, Entry] = {}
-_DOMAINS: dict[tuple[int, str], Domain] = {}
 
 
 def register(key: str, sql: str | None):
@@ -37,10 +36,9 @@ def register(key: str, sql: str | None):
 
 
 def domain(spark: SparkSession, sf_dir: str) -> Domain:
-    k = (id(spark), sf_dir)
-    if k not in _DOMAINS:
-        _DOMAINS[k] = Domain(spark, sf_dir)
-    return _DOMAINS[k]
+    # Built per call (it is lazy and cheap), so a stopped and recreated
+    # session never sees DataFrames bound to the old one.
+    return Domain(spark, sf_dir)
 
 
 def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,13 +48,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder is set by the deployment and lives on shared
     storage. Only when it is unset (local runs, tests) do we create one.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a SparkContext handle (Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="riskspark-ckpt-")
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
