@@ -7,6 +7,7 @@ check; ``riskspark.plans.oracle.BINDING_SQL`` is prefixed to each.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,6 +25,9 @@ class Entry:
 
 
 REGISTRY: dict[str, Entry] = {}
+# Domains per live session object: a stopped and recreated session is a new
+# key, and entries vanish with their session.
+_DOMAINS: "weakref.WeakKeyDictionary[SparkSession, dict[str, Domain]]" = weakref.WeakKeyDictionary()
 
 
 def register(key: str, sql: str | None):
@@ -36,9 +40,11 @@ def register(key: str, sql: str | None):
 
 
 def domain(spark: SparkSession, sf_dir: str) -> Domain:
-    # Built per call (it is lazy and cheap), so a stopped and recreated
-    # session never sees DataFrames bound to the old one.
-    return Domain(spark, sf_dir)
+    """The session's Domain for ``sf_dir`` (reused, so table schemas are read once per session)."""
+    per_session = _DOMAINS.setdefault(spark, {})
+    if sf_dir not in per_session:
+        per_session[sf_dir] = Domain(spark, sf_dir)
+    return per_session[sf_dir]
 
 
 def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,6 +33,9 @@ def local_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
+    event_log = os.environ.get("RISKSPARK_EVENT_LOG_DIR")
+    if event_log:   # stage and task times for offline reading (the UI stays off)
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     builder = (builder
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", os.environ.get("RISKSPARK_DRIVER_MEMORY", "16g")))
