@@ -156,7 +156,7 @@ def _fine_search(row: Column, bounds: str, width: int) -> Column:
 
 
 def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = None,
-                  flat_limit: int = FLAT_SEGMENTS, seed: int = 7) -> tuple[DataFrame, int]:
+                  flat_limit: int = FLAT_SEGMENTS, seed: int = 7, row_count: int | None = None) -> tuple[DataFrame, int]:
     """Tag rows with an order-contiguous segment id ``_seg``; returns (frame, segment count).
 
     Flat: one binary search over at most ``flat_limit`` driver-sampled
@@ -169,7 +169,7 @@ def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = Non
     """
     want = max(1, min(MAX_SEGMENTS, num_segments or shuffle_partitions(df.sparkSession)))
     keys = [_parse(k) for k in order]
-    n = df.count()
+    n = df.count() if row_count is None else row_count
     if want <= flat_limit or not all(asc for _, asc in keys):
         bounds = segment_bounds(df, order, min(want, flat_limit), seed, n)
         return df.withColumn(_SEG, segment_of(order, bounds, df.schema)), len(bounds) + 1
@@ -193,7 +193,7 @@ def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = Non
 
 def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Sequence,
                  num_segments: int | None = None, exclusive: bool = False, ordered: bool = False,
-                 flat_limit: int = FLAT_SEGMENTS) -> DataFrame:
+                 flat_limit: int = FLAT_SEGMENTS, row_count: int | None = None) -> DataFrame:
     """Global running sums ``SUM(v) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)`` for each ``out: v``.
 
     ``order`` must be a total order for the result to be deterministic,
@@ -206,7 +206,7 @@ def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Seq
     """
     tmp = {out: f"_v_{i}" for i, out in enumerate(values)}
     base = df.select("*", *[col_of(v).alias(tmp[o]) for o, v in values.items()])
-    seg, segments = with_segments(base, order, num_segments, flat_limit)
+    seg, segments = with_segments(base, order, num_segments, flat_limit, row_count=row_count)
     totals = seg.groupBy(_SEG).agg(*[F.sum(t).alias(f"_t{t}") for t in tmp.values()])
     # One row per segment: the single-partition window and the broadcast
     # below are bounded by the segment count (at most MAX_SEGMENTS), not by the data.
@@ -233,9 +233,13 @@ def running_sum(df: DataFrame, value: "str | Column", order: Sequence, out: str,
 
 
 def dense_position(df: DataFrame, order: Sequence, out: str = "row_index",
-                   num_segments: int | None = None, start: int = 0) -> DataFrame:
-    """Dense ``start``-based row index in a total order, without a single partition."""
-    res = running_sum(df, F.lit(1).cast("bigint"), order, out, num_segments, exclusive=True)
+                   num_segments: int | None = None, start: int = 0, row_count: int | None = None) -> DataFrame:
+    """Dense ``start``-based row index in a total order, without a single partition.
+
+    ``row_count`` (the row count of ``df``, if the caller has it) saves a pass.
+    """
+    res = running_sums(df, {out: F.lit(1).cast("bigint")}, order, num_segments, exclusive=True,
+                       row_count=row_count)
     return res.withColumn(out, F.col(out) + F.lit(start)) if start else res
 
 
