@@ -74,7 +74,8 @@ def tiered_lookup(df: DataFrame, entity_key: str, candidates: DataFrame, value:
     """
     groups = [g for _, g in tiers if g]
     order = [*reversed(groups), value]
-    pos = dense_position(candidates.select(*groups, value), order, "_pos")
+    n = candidates.count()                           # one pass; the any tier and the positions share it
+    pos = dense_position(candidates.select(*groups, value), order, "_pos", row_count=n)
     by_pos = pos.select(F.col("_pos"), F.col(value).alias("_val"))
     h = portable_hash(F.col(entity_key), seed=seed)
     res = df
@@ -83,9 +84,9 @@ def tiered_lookup(df: DataFrame, entity_key: str, candidates: DataFrame, value:
         if g:   # first position and size of each group: one row per group
             stats = pos.groupBy(g).agg(F.min("_pos").alias(f"_f{i}"), F.count(F.lit(1)).alias(f"_n{i}"))
             res = res.join(stats, g, "left")
-        else:   # the "any" tier is one group starting at 0; its size is a scalar subquery
+        else:   # the "any" tier is one group: positions 0 .. n-1 (no candidates: no pick)
             res = (res.withColumn(f"_f{i}", F.lit(0).cast("bigint"))
-                   .withColumn(f"_n{i}", candidates.select(F.count(F.lit(1))).scalar()))
+                   .withColumn(f"_n{i}", F.lit(n).cast("bigint") if n else F.lit(None).cast("bigint")))
         res = res.withColumn(f"_i{i}", F.col(f"_f{i}") + F.pmod(h, F.col(f"_n{i}")))
         res = (res.join(by_pos.withColumnRenamed("_pos", f"_i{i}").withColumnRenamed("_val", f"_v{i}"),
                         f"_i{i}", "left")
