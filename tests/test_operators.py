@@ -238,3 +238,19 @@ def test_top_delays_dataframe_form_equals_sql_over_view(spark):
     via_df = [tuple(r) for r in Q.top_delays(summary(d), 20).collect()]
     via_sql = [tuple(r) for r in catalog.run("o04_top20_delays", spark, SF001).collect()]
     assert via_df == via_sql and len(via_df) == 20
+
+
+def test_decimal_widening_reference_types(spark):
+    """T6: DECIMAL(10,2) price x INT quantity stays exact (Spark types it DECIMAL(21,2))."""
+    from decimal import Decimal
+
+    sh = spark.createDataFrame([(1, 1, 1, 5.0, D(2020, 1, 1), 5, "Weather")],
+                               "po_id int, line_no int, origin_port_id int, line_price double, ship_date date, "
+                               "delay_days int, delay_reason string")
+    po = spark.createDataFrame([(1, 7, 2500)], "po_id int, product_id int, quantity int")
+    prod = spark.sql("SELECT 7 AS product_id, 'x' AS product_name, CAST(449.99 AS DECIMAL(10,2)) AS unit_price")
+    ports = spark.createDataFrame([(1, 0)], "port_id int, country_id int")
+    countries = spark.createDataFrame([(0, "X", 10)], "country_id int, country_name string, base_risk_score int")
+    summary = Q.shipment_risk_summary(sh, po, prod, ports, countries)
+    assert summary.schema["order_value"].dataType.simpleString() == "decimal(21,2)"
+    assert summary.first().order_value == Decimal("1124975.00")
