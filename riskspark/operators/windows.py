@@ -14,7 +14,9 @@ give the same answers with work spread over many tasks.
     per segment, a bounded broadcast) gives each segment's offset, and a
     window partitioned by segment finishes the running sum. A key holding a
     third of the rows is spread over many segments as long as the sort key
-    is unique (append key columns as tie-breaks).
+    is unique (append key columns as tie-breaks). Past ``FLAT_SEGMENTS``
+    a second level of bounds is sampled per coarse segment on the
+    executors, so segment counts grow with the cluster, not the driver.
 
 ``global_rank``
     Rank depends only on the value histogram: ``rank = 1 + rows with a
@@ -46,7 +48,6 @@ from riskspark.functions.scalar import col_of
 from riskspark.session import shuffle_partitions
 
 _SEG = "_seg"
-_OFF = "_seg_offset"
 SAMPLE_PER_SEGMENT = 64
 MAX_SAMPLE = 200_000
 # Up to FLAT_SEGMENTS, segment ids are one binary search over literal bounds
@@ -56,7 +57,6 @@ FLAT_SEGMENTS = 1024
 MAX_SEGMENTS = 1 << 16
 
 
-
 def _parse(key) -> tuple[str, bool]:
     if isinstance(key, str):
         return key, True
