@@ -51,8 +51,9 @@ _SEG = "_seg"
 SAMPLE_PER_SEGMENT = 64
 MAX_SAMPLE = 200_000
 # Up to FLAT_SEGMENTS, segment ids are one binary search over literal bounds
-# sampled to the driver. Beyond that (all-ascending keys) a second level is
-# sampled on the executors per coarse segment, up to MAX_SEGMENTS in total.
+# sampled to the driver. Beyond that a second level is sampled on the
+# executors per coarse segment, up to MAX_SEGMENTS in total (a descending
+# text key is the one case kept to the flat level).
 FLAT_SEGMENTS = 1024
 MAX_SEGMENTS = 1 << 16
 
@@ -144,6 +145,44 @@ def segment_of(order: Sequence, bounds: list[tuple], schema=None) -> Column:
     return search(0, len(bounds))
 
 
+def _ascending_keys(df: DataFrame, order: Sequence) -> tuple[DataFrame, list[str], list[str]] | None:
+    """Re-express the order with ascending-only columns, or None if a descending key is not numeric.
+
+    A descending key becomes (is null, [not NaN,] reversed value): nulls last,
+    NaN first (Spark sorts NaN above every number), then larger values
+    first. Integers are reversed with bitwise NOT (no overflow), dates by
+    negated day number, other numbers by negation.
+    """
+    types = dict((f.name, f.dataType) for f in df.schema.fields)
+    added: list[str] = []
+    names: list[str] = []
+    out = df
+    for i, k in enumerate(order):
+        name, asc = _parse(k)
+        if asc:
+            names.append(name)
+            continue
+        t = types[name].simpleString()
+        c = F.col(name)
+        if t in ("tinyint", "smallint", "int", "bigint"):
+            rev = F.bitwise_not(c)
+        elif t in ("float", "double") or t.startswith("decimal"):
+            rev = -c
+        elif t == "date":
+            rev = -F.datediff(c, F.lit("1970-01-01").cast("date"))
+        else:
+            return None
+        parts = [(f"_k{i}_null", c.isNull())]
+        if t in ("float", "double"):
+            parts.append((f"_k{i}_num", ~F.isnan(c)))
+        parts.append((f"_k{i}_rev", rev))
+        for col_name, expr in parts:
+            out = out.withColumn(col_name, expr)
+            added.append(col_name)
+            names.append(col_name)
+    return out, names, added
+
+
 def _fine_search(row: Column, bounds: str, width: int) -> Column:
     """Binary search of ``row`` over the array column ``bounds`` (``width`` sorted structs)."""
     def search(lo: int, hi: int) -> Column:
@@ -160,7 +199,8 @@ def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = Non
     """Tag rows with an order-contiguous segment id ``_seg``; returns (frame, segment count).
 
     Flat: one binary search over at most ``flat_limit`` driver-sampled
-    bounds. Two-level (more segments, all keys ascending): coarse ids as in
+    bounds. Two-level (more segments; descending numeric and date keys are
+    first re-expressed as ascending ones): coarse ids as in
     the flat case; then each coarse segment's sample (bounded: about
     64 x fine width rows per segment) is sorted on the executors with
     ``array_sort`` and cut into fine bounds, a table of one row per coarse
@@ -168,11 +208,22 @@ def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = Non
     coarse segment's bounds. Ids stay a pure function of the row.
     """
     want = max(1, min(MAX_SEGMENTS, num_segments or shuffle_partitions(df.sparkSession)))
-    keys = [_parse(k) for k in order]
     n = df.count() if row_count is None else row_count
-    if want <= flat_limit or not all(asc for _, asc in keys):
+    encoded = _ascending_keys(df, order)
+    if encoded is None:        # a descending text key: flat search, column by column
         bounds = segment_bounds(df, order, min(want, flat_limit), seed, n)
         return df.withColumn(_SEG, segment_of(order, bounds, df.schema)), len(bounds) + 1
+    enc, enc_order, added = encoded
+    seg, count = _ascending_segments(enc, enc_order, want, flat_limit, seed, n)
+    return seg.drop(*added), count
+
+
+def _ascending_segments(df: DataFrame, order: list[str], want: int, flat_limit: int, seed: int,
+                        n: int) -> tuple[DataFrame, int]:
+    keys = [(k, True) for k in order]
+    if want <= flat_limit:
+        bounds = segment_bounds(df, order, want, seed, n)
+        return df.withColumn(_SEG, segment_of(order, bounds, df.schema)), len(bounds) + 1
     coarse_bounds = segment_bounds(df, order, flat_limit, seed, n)
     coarse = len(coarse_bounds) + 1
     width = -(-want // coarse)                         # fine segments per coarse segment

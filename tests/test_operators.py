@@ -254,3 +254,20 @@ def test_decimal_widening_reference_types(spark):
     summary = Q.shipment_risk_summary(sh, po, prod, ports, countries)
     assert summary.schema["order_value"].dataType.simpleString() == "decimal(21,2)"
     assert summary.first().order_value == Decimal("1124975.00")
+
+
+def test_descending_keys_two_level_with_nulls_and_nan(spark):
+    import math
+
+    vals = [None, float("nan"), 3.5, -1.0, 0.0, 2.25, None, 3.5, float("nan"), 10.0]
+    data = [(vals[i % len(vals)], i, D(2020, 1, 1) + dt.timedelta(days=i % 17), i % 7) for i in range(600)]
+    df = spark.createDataFrame(data, "x double, k int, d date, v int")
+    order = [("x", "desc"), ("d", "desc"), "k"]
+    ours = W.running_sum(df, "v", order, "run", num_segments=24, flat_limit=3, ordered=True)
+    plain = df.withColumn("run", F.sum("v").over(
+        Window.orderBy(F.col("x").desc_nulls_last(), F.col("d").desc_nulls_last(), "k")
+        .rowsBetween(Window.unboundedPreceding, 0)))
+    assert rows(ours, "k", "run") == rows(plain, "k", "run")
+    runs = [r.run for r in ours.collect()]
+    assert runs == sorted(runs)                      # ordered layout follows the descending order
+    assert math.isnan(ours.first().x)                # NaN sorts first when descending
