@@ -68,30 +68,47 @@ def load_table(spark: SparkSession, path: str, spec: TableSpec) -> tuple[DataFra
 
 def load_all(spark: SparkSession, csv_dir: str, out_dir: str | None = None,
              tables: Iterable[TableSpec] = TABLES) -> dict[str, DataFrame]:
-    """Load every table of the manifest in parent-first order; optionally write parquet."""
+    """Load every table of the manifest in parent-first order; optionally write parquet.
+
+    With ``out_dir`` each CSV is read once: typed rows are written in one
+    pass partitioned by the quarantine flag, so ``{out}/{table}/_bad=false``
+    is the table (shipments further partitioned by ship month) and
+    ``{out}/{table}/_bad=true`` holds the quarantined rows with their raw line.
+    """
     loaded = {}
     for spec in tables:
-        good, bad = load_table(spark, f"{csv_dir.rstrip('/')}/{spec.name}.csv", spec)
-        if out_dir:
-            if spec.name == "shipments":
-                write_shipments(good, f"{out_dir}/shipments")
-            else:
-                good.write.mode("overwrite").parquet(f"{out_dir}/{spec.name}")
-            bad.write.mode("overwrite").parquet(f"{out_dir}/_quarantine/{spec.name}")
-            good = spark.read.parquet(f"{out_dir}/{spec.name}")
-        loaded[spec.name] = good
+        path = f"{csv_dir.rstrip('/')}/{spec.name}.csv"
+        if not out_dir:
+            loaded[spec.name] = load_table(spark, path, spec)[0]
+            continue
+        typed = type_rows(read_staged(spark, path, spec), spec)
+        parts = ["_bad"]
+        if spec.name == "shipments":
+            typed = typed.withColumn("ship_month", F.trunc(F.col("ship_date"), "MM"))
+            parts.append("ship_month")
+            # rebalance: one shuffle (no sampling pass over the CSV); AQE splits a hot month
+            typed = typed.hint("rebalance", "_bad", "ship_month").sortWithinPartitions(*parts, "ship_date")
+        typed.write.mode("overwrite").partitionBy(*parts).parquet(f"{out_dir}/{spec.name}")
+        loaded[spec.name] = spark.read.parquet(f"{out_dir}/{spec.name}/_bad=false").drop(CORRUPT)
     return loaded
 
 
+def quarantined(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
+    """Rows of ``table`` that ``load_all`` set aside (typed columns as far as they parsed, raw line)."""
+    return spark.read.parquet(f"{out_dir}/{table}/_bad=true")
+
+
 def write_shipments(shipments: DataFrame, path: str, date_col: str = "ship_date", mode: str = "overwrite") -> None:
     """Shipments laid out by ship month: the replacement of the reference's date index.
 
-    Rows are clustered by month before the write so each task writes few
-    partition folders; within a month they are sorted by date, so parquet
-    row-group statistics also skip data for ranges inside one month.
+    Rows are clustered by month before the write (a ``rebalance`` shuffle:
+    AQE splits a month holding a large share of rows and merges small
+    ones), so each task writes few partition folders; within a month they
+    are sorted by date, so parquet row-group statistics also skip data for
+    ranges inside one month.
     """
     (shipments.withColumn("ship_month", F.trunc(F.col(date_col), "MM"))
-     .repartitionByRange("ship_month", date_col)
+     .hint("rebalance", "ship_month")
      .sortWithinPartitions("ship_month", date_col)
      .write.mode(mode).partitionBy("ship_month").parquet(path))
 

@@ -211,7 +211,7 @@ def test_load_all_writes_typed_parquet(spark, tmp_dir):
     loaded = ingest.load_all(spark, csv, out, tables=[BY_NAME["countries"], BY_NAME["shipments"]])
     c = {r.country_id: r.base_risk_score for r in loaded["countries"].collect()}
     assert set(c) == {1, 2} and float(c[2]) == 48.5                  # NOT NULL name missing -> quarantined
-    assert spark.read.parquet(f"{out}/_quarantine/countries").count() == 1
-    parts = sorted(p for p in os.listdir(f"{out}/shipments") if p.startswith("ship_month="))
+    assert ingest.quarantined(spark, out, "countries").count() == 1
+    parts = sorted(p for p in os.listdir(f"{out}/shipments/_bad=false") if p.startswith("ship_month="))
     assert parts == ["ship_month=2023-06-01", "ship_month=2023-07-01"]
     assert sorted((r.shipment_id, r.delay_days) for r in loaded["shipments"].collect()) == [(1, 2), (2, 0)]
