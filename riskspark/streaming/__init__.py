@@ -35,12 +35,17 @@ def ingest_stream(spark: SparkSession, folder: str, spec: TableSpec, out_path: s
     typed = type_rows(read_csv_stream(spark, folder, spec), spec)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        good = batch.where(~F.col("_bad")).drop("_bad", CORRUPT)
-        if spec.name == "shipments":
-            write_shipments(good, out_path, mode="append")
-        else:
-            good.write.mode("append").parquet(out_path)
-        batch.where(F.col("_bad")).drop("_bad").write.mode("append").parquet(quarantine_path)
+        # Two sinks per micro-batch: keep the (bounded) batch so its files are read once.
+        batch.persist()
+        try:
+            good = batch.where(~F.col("_bad")).drop("_bad", CORRUPT)
+            if spec.name == "shipments":
+                write_shipments(good, out_path, mode="append")
+            else:
+                good.write.mode("append").parquet(out_path)
+            batch.where(F.col("_bad")).drop("_bad").write.mode("append").parquet(quarantine_path)
+        finally:
+            batch.unpersist()
 
     writer = typed.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
