@@ -1,7 +1,8 @@
-"""DuckDB oracle SQL for every registered query.
+"""The binding CTEs that start every DuckDB oracle.
 
 Each oracle is ``BINDING_SQL`` (the domain tables as CTEs over the driver
-views) followed by a query written in plain SQL. Where possible the oracle
+views) followed by the query body registered next to its Spark code in
+``registry_core`` / ``registry_derived``. Where possible the oracle
 uses a different method from the Spark plan: plain ``OVER (ORDER BY ..)``
 windows instead of range-segmented prefix sums, a max self-join instead of
 a semi-join, a recursive CTE instead of a closed-form balance.
@@ -63,14 +64,3 @@ political_risk_index AS (
   FROM countries CROSS JOIN months
   WHERE (country_id + MONTH(month_year)) % 4 <> 0)
 """
-
-# Query bodies keyed like ``queries()``; ``oracle_sql()`` prefixes BINDING_SQL.
-BODIES: dict[str, str] = {}
-
-
-def oracle(key: str) -> str:
-    return BINDING_SQL + BODIES[key]
-
-
-def all_oracles() -> dict[str, str]:
-    return {k: oracle(k) for k in BODIES}
