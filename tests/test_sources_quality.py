@@ -215,3 +215,16 @@ def test_load_all_writes_typed_parquet(spark, tmp_dir):
     parts = sorted(p for p in os.listdir(f"{out}/shipments/_bad=false") if p.startswith("ship_month="))
     assert parts == ["ship_month=2023-06-01", "ship_month=2023-07-01"]
     assert sorted((r.shipment_id, r.delay_days) for r in loaded["shipments"].collect()) == [(1, 2), (2, 0)]
+
+
+def test_dynamic_sort_allow_list(spark):
+    from conftest import SF001
+    from riskspark.plans import catalog
+
+    catalog.domain(spark, SF001).suppliers.createOrReplaceTempView("suppliers")
+    out = Q.suppliers_sorted_by(spark, "supplier_name")
+    assert out.columns == ["supplier_name", "supplier_name"] or out.columns[0] == "supplier_name"
+    names = [r[0] for r in out.collect()]
+    assert names == sorted(names, reverse=True)
+    with pytest.raises(ValueError):
+        Q.suppliers_sorted_by(spark, "reliability_score DESC; DROP TABLE suppliers")
