@@ -76,10 +76,9 @@ def tiered_lookup(df: DataFrame, entity_key: str, candidates: DataFrame, value:
     order = [*reversed(groups), value]
     n = candidates.count()                           # one pass; the any tier and the positions share it
     pos = dense_position(candidates.select(*groups, value), order, "_pos", row_count=n)
-    by_pos = pos.select(F.col("_pos"), F.col(value).alias("_val"))
     h = portable_hash(F.col(entity_key), seed=seed)
     res = df
-    picks = []
+    idx = []
     for i, (name, g) in enumerate(tiers):
         if g:   # first position and size of each group: one row per group
             stats = pos.groupBy(g).agg(F.min("_pos").alias(f"_f{i}"), F.count(F.lit(1)).alias(f"_n{i}"))
@@ -87,13 +86,15 @@ def tiered_lookup(df: DataFrame, entity_key: str, candidates: DataFrame, value:
         else:   # the "any" tier is one group: positions 0 .. n-1 (no candidates: no pick)
             res = (res.withColumn(f"_f{i}", F.lit(0).cast("bigint"))
                    .withColumn(f"_n{i}", F.lit(n).cast("bigint") if n else F.lit(None).cast("bigint")))
-        res = res.withColumn(f"_i{i}", F.col(f"_f{i}") + F.pmod(h, F.col(f"_n{i}")))
-        res = (res.join(by_pos.withColumnRenamed("_pos", f"_i{i}").withColumnRenamed("_val", f"_v{i}"),
-                        f"_i{i}", "left")
-               .drop(f"_i{i}", f"_f{i}", f"_n{i}"))
-        picks.append((name, f"_v{i}"))
-    chosen = F.coalesce(*[F.col(v) for _, v in picks])
+        # null exactly when the entity's group has no candidate
+        res = res.withColumn(f"_i{i}", F.col(f"_f{i}") + F.pmod(h, F.col(f"_n{i}"))).drop(f"_f{i}", f"_n{i}")
+        idx.append((name, f"_i{i}"))
     which = F.lit(None).cast("string")
-    for name, v in reversed(picks):
-        which = F.when(F.col(v).isNotNull(), F.lit(name)).otherwise(which)
-    return res.withColumn(out, chosen).withColumn(tier_col, which).drop(*[v for _, v in picks])
+    for name, c in reversed(idx):
+        which = F.when(F.col(c).isNotNull(), F.lit(name)).otherwise(which)
+    res = (res.withColumn(tier_col, which)
+           .withColumn("_pos", F.coalesce(*[F.col(c) for _, c in idx]))
+           .drop(*[c for _, c in idx]))
+    # one join from the chosen position to the candidate value
+    picked = res.join(pos.select("_pos", F.col(value).alias(out)), "_pos", "left").drop("_pos")
+    return picked.select(*df.columns, out, tier_col)

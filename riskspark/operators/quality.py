@@ -87,10 +87,11 @@ def row_counts(tables: Mapping[str, DataFrame], with_total: bool = True) -> Data
     parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
              for name, df in tables.items()]
     counts = reduce(DataFrame.unionByName, parts)
-    if with_total:
-        counts = counts.unionByName(counts.agg(F.sum("row_count").cast("bigint").alias("row_count"))
-                                    .select(F.lit("TOTAL").alias("table_name"), "row_count"))
-    return counts
+    if not with_total:
+        return counts
+    # ROLLUP adds the grand total in the same aggregation, so each table is counted once.
+    return (counts.rollup("table_name").agg(F.sum("row_count").cast("bigint").alias("row_count"))
+            .select(F.coalesce(F.col("table_name"), F.lit("TOTAL")).alias("table_name"), "row_count"))
 
 
 def reconcile(counts: DataFrame, expected: Mapping[str, int]) -> DataFrame:
