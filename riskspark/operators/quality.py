@@ -42,12 +42,30 @@ class ForeignKey:
 
 
 def fk_audit(tables: Mapping[str, DataFrame], fks: Sequence[ForeignKey]) -> DataFrame:
-    """One row per foreign key: (child_table, fk_columns, parent_table, orphan_rows)."""
-    parts = [fk_orphans(tables[f.child], f.columns, tables[f.parent], f.parent_columns)
-             .agg(F.count(F.lit(1)).alias("orphan_rows"))
-             .select(F.lit(f.child).alias("child_table"), F.lit(",".join(f.columns)).alias("fk_columns"),
-                     F.lit(f.parent).alias("parent_table"), "orphan_rows")
-             for f in fks]
+    """One row per foreign key: (child_table, fk_columns, parent_table, orphan_rows).
+
+    Foreign keys are grouped by child table, so each child is read once: every
+    FK left-joins the parent's *distinct* keys as a hit flag (no row can be
+    multiplied), and one aggregate counts the orphans of all of them.
+    """
+    by_child: dict[str, list[ForeignKey]] = {}
+    for f in fks:
+        by_child.setdefault(f.child, []).append(f)
+    parts = []
+    for child, child_fks in by_child.items():
+        rows = tables[child]
+        counts = []
+        for i, f in enumerate(child_fks):
+            keys = (tables[f.parent].select(*[F.col(p).alias(f"_p{i}_{j}") for j, p in enumerate(f.parent_columns)])
+                    .distinct().withColumn(f"_hit{i}", F.lit(True)))
+            cond = [rows[c] == keys[f"_p{i}_{j}"] for j, c in enumerate(f.columns)]
+            rows = rows.join(keys, cond, "left")
+            present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in f.columns])
+            counts.append(F.count(F.when(present & F.col(f"_hit{i}").isNull(), 1)).alias(f"_o{i}"))
+        agg = rows.agg(*counts)
+        for i, f in enumerate(child_fks):
+            parts.append(agg.select(F.lit(child).alias("child_table"), F.lit(",".join(f.columns)).alias("fk_columns"),
+                                    F.lit(f.parent).alias("parent_table"), F.col(f"_o{i}").alias("orphan_rows")))
     return reduce(DataFrame.unionByName, parts)
 
 

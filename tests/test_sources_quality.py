@@ -228,3 +228,14 @@ def test_dynamic_sort_allow_list(spark):
     assert names == sorted(names, reverse=True)
     with pytest.raises(ValueError):
         Q.suppliers_sorted_by(spark, "reliability_score DESC; DROP TABLE suppliers")
+
+
+def test_fk_audit_two_keys_one_child(spark):
+    countries = spark.createDataFrame([(1,), (2,), (2,)], "country_id int")          # duplicate parent key
+    ports = spark.createDataFrame([(10,), (11,)], "port_id int")
+    ships = spark.createDataFrame([(1, 10), (3, 10), (None, 12), (2, None), (2, 11)], "country_id int, port_id int")
+    fks = [DQ.ForeignKey("ships", ("country_id",), "countries", ("country_id",)),
+           DQ.ForeignKey("ships", ("port_id",), "ports", ("port_id",))]
+    got = {r.fk_columns: r.orphan_rows for r in DQ.fk_audit({"ships": ships, "countries": countries, "ports": ports},
+                                                            fks).collect()}
+    assert got == {"country_id": 1, "port_id": 1}
