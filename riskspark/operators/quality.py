@@ -62,10 +62,10 @@ def fk_audit(tables: Mapping[str, DataFrame], fks: Sequence[ForeignKey]) -> Data
             rows = rows.join(keys, cond, "left")
             present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in f.columns])
             counts.append(F.count(F.when(present & F.col(f"_hit{i}").isNull(), 1)).alias(f"_o{i}"))
-        agg = rows.agg(*counts)
-        for i, f in enumerate(child_fks):
-            parts.append(agg.select(F.lit(child).alias("child_table"), F.lit(",".join(f.columns)).alias("fk_columns"),
-                                    F.lit(f.parent).alias("parent_table"), F.col(f"_o{i}").alias("orphan_rows")))
+        entries = ", ".join(f"'{child}', '{','.join(f.columns)}', '{f.parent}', `_o{i}`"
+                            for i, f in enumerate(child_fks))
+        parts.append(rows.agg(*counts).select(F.expr(
+            f"stack({len(child_fks)}, {entries}) AS (child_table, fk_columns, parent_table, orphan_rows)")))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -19,6 +19,8 @@ Scale notes
   and the join then reuses the aggregate's hash partitioning.
 * The month calendar is generated (``sequence`` + ``explode``) from a
   one-row min/max aggregate: no join and no collect.
+* ``ports`` and ``suppliers`` are both views of ``supplier`` (one port per
+  supplier), so a shipment's supplier country is its origin port's country.
 """
 
 from __future__ import annotations
