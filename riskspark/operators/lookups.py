@@ -74,8 +74,8 @@ def tiered_lookup(df: DataFrame, entity_key: str, candidates: DataFrame, value:
     """
     groups = [g for _, g in tiers if g]
     order = [*reversed(groups), value]
-    n = candidates.count()                           # one pass; the any tier and the positions share it
-    pos = dense_position(candidates.select(*groups, value), order, "_pos", row_count=n)
+    n = candidates.select(F.count(F.lit(1))).scalar()
+    pos = dense_position(candidates.select(*groups, value), order, "_pos")
     h = portable_hash(F.col(entity_key), seed=seed)
     res = df
     idx = []
@@ -85,7 +85,7 @@ def tiered_lookup(df: DataFrame, entity_key: str, candidates: DataFrame, value:
             res = res.join(stats, g, "left")
         else:   # the "any" tier is one group: positions 0 .. n-1 (no candidates: no pick)
             res = (res.withColumn(f"_f{i}", F.lit(0).cast("bigint"))
-                   .withColumn(f"_n{i}", F.lit(n).cast("bigint") if n else F.lit(None).cast("bigint")))
+                   .withColumn(f"_n{i}", F.when(n > 0, n)))
         # null exactly when the entity's group has no candidate
         res = res.withColumn(f"_i{i}", F.col(f"_f{i}") + F.pmod(h, F.col(f"_n{i}"))).drop(f"_f{i}", f"_n{i}")
         idx.append((name, f"_i{i}"))

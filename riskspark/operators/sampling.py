@@ -9,7 +9,6 @@ out whatever the cluster size, and DuckDB can recompute the hash.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +32,9 @@ def sample_with_replacement(draws: DataFrame, draw_key: str, population: DataFra
     partition); each draw maps to ``hash(seed:draw) % N``. The draw count
     is exact, unlike ``DataFrame.sample(True, f)`` which only approximates it.
     """
-    n = population.count()                           # one pass; the index and the modulus share it
-    indexed = dense_position(population, list(order), index_col, row_count=n)
-    picks = draws.withColumn(index_col, F.pmod(portable_hash(draw_key, seed=seed), F.lit(max(n, 1))))
+    n = population.select(F.count(F.lit(1))).scalar()
+    indexed = dense_position(population, list(order), index_col)
+    picks = draws.withColumn(index_col, F.pmod(portable_hash(draw_key, seed=seed), F.greatest(n, F.lit(1))))
     return picks.join(indexed, index_col).drop(index_col)
 
 
@@ -46,11 +45,10 @@ def exact_fraction(df: DataFrame, fraction: float, key: Sequence[str], seed: int
     than its share of rows; ``df.sample(fraction)`` is Bernoulli and only
     approximates the count.
     """
-    n = df.count()                                   # one pass; k and the segment bounds share it
-    # SQL ROUND (half away from zero) of the double fraction * n, as Spark's round() computes it
-    k = int(Decimal(repr(fraction * n)).quantize(Decimal(1), rounding=ROUND_HALF_UP))
+    # SQL ROUND (half away from zero) of fraction x count, evaluated once as a scalar subquery
+    k = df.select(F.round(F.lit(fraction) * F.count(F.lit(1))).cast("bigint")).scalar()
     h = df.withColumn("_h", portable_hash(*key, seed=seed))
-    ranked = dense_position(h, ["_h", *key], "_pos", row_count=n)
+    ranked = dense_position(h, ["_h", *key], "_pos")
     return ranked.where(F.col("_pos") < k).drop("_h", "_pos")
 
 

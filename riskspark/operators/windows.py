@@ -50,12 +50,16 @@ from riskspark.session import shuffle_partitions
 _SEG = "_seg"
 SAMPLE_PER_SEGMENT = 64
 MAX_SAMPLE = 200_000
-# Up to FLAT_SEGMENTS, segment ids are one binary search over literal bounds
-# sampled to the driver. Beyond that a second level is sampled on the
-# executors per coarse segment, up to MAX_SEGMENTS in total (a descending
-# text key is the one case kept to the flat level).
+# Up to FLAT_SEGMENTS, segment ids come from one array of sampled bounds (a
+# scalar subquery). Beyond that a second level is sampled per coarse
+# segment, up to MAX_SEGMENTS in total. Either way a row's id is a
+# branchless binary search: log2(bounds) small projections, so the
+# generated code does not grow with the bound count.
 FLAT_SEGMENTS = 1024
 MAX_SEGMENTS = 1 << 16
+# A descending text key cannot be re-expressed as an ascending one; its
+# bounds are compared column by column in one expression, so keep them few.
+TEXT_DESC_SEGMENTS = 128
 
 
 def _parse(key) -> tuple[str, bool]:
@@ -118,29 +122,16 @@ def segment_bounds(df: DataFrame, order: Sequence, segments: int, seed: int = 7,
     return bounds
 
 
-def segment_of(order: Sequence, bounds: list[tuple], schema=None) -> Column:
-    """Segment id = number of bounds the row sorts after (binary search, depth log2 of the bound count).
-
-    When every key is ascending the comparison is one struct comparison
-    (Spark orders structs field by field with nulls first, which is the
-    ascending sort order); otherwise it is spelled out column by column.
-    """
+def segment_of(order: Sequence, bounds: list[tuple]) -> Column:
+    """Segment id for keys that cannot be compared as one ascending struct (a descending text key):
+    a binary search over the bounds, compared column by column. Used with few bounds only."""
     keys = [_parse(k) for k in order]
-    if schema is not None and all(asc for _, asc in keys):
-        row = F.struct(*[F.col(n) for n, _ in keys])
-
-        def after(bound: tuple) -> Column:
-            lit = F.struct(*[F.lit(v).cast(schema[n].dataType).alias(n) for (n, _), v in zip(keys, bound)])
-            return row > lit
-    else:
-        def after(bound: tuple) -> Column:
-            return _row_after(keys, bound)
 
     def search(lo: int, hi: int) -> Column:
         if lo == hi:
             return F.lit(lo)
         mid = (lo + hi) // 2
-        return F.when(after(bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
+        return F.when(_row_after(keys, bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
 
     return search(0, len(bounds))
 
@@ -183,24 +174,35 @@ def _ascending_keys(df: DataFrame, order: Sequence) -> tuple[DataFrame, list[str
     return out, names, added
 
 
-def _fine_search(row: Column, bounds: str, width: int) -> Column:
-    """Binary search of ``row`` over the array column ``bounds`` (``width`` sorted structs)."""
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(row > F.element_at(bounds, mid + 1), search(mid + 1, hi)).otherwise(search(lo, mid))
+def _locate(df: DataFrame, row: Column, bounds: Column, size: int, out: str) -> DataFrame:
+    """``out`` = how many of the ``size`` sorted ``bounds`` the row sorts after.
 
-    return search(0, width)
+    Branchless binary search: one projection per power of two. Each step
+    reads the previous position twice, so Catalyst keeps the steps apart
+    and the plan stays O(log size) however many bounds there are.
+    """
+    res = df.withColumn(out, F.lit(0))
+    if size <= 0:
+        return res
+    step = 1
+    while step * 2 <= size:
+        step *= 2
+    while step >= 1:
+        nxt = F.col(out) + step
+        probe = F.when(nxt <= size, row > F.element_at(bounds, nxt))
+        res = res.withColumn(out, F.col(out) + F.when(F.coalesce(probe, F.lit(False)), F.lit(step)).otherwise(0))
+        step //= 2
+    return res
 
 
 def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = None,
                   flat_limit: int = FLAT_SEGMENTS, seed: int = 7, row_count: int | None = None) -> tuple[DataFrame, int]:
     """Tag rows with an order-contiguous segment id ``_seg``; returns (frame, segment count).
 
-    Flat: one binary search over at most ``flat_limit`` driver-sampled
-    bounds. Two-level (more segments; descending numeric and date keys are
-    first re-expressed as ascending ones): coarse ids as in
+    Flat: a branchless binary search over at most ``flat_limit`` bounds
+    sampled on the executors (a scalar subquery; nothing runs before the
+    query does). Two-level (more segments; descending numeric and date keys
+    are first re-expressed as ascending ones): coarse ids as in
     the flat case; then each coarse segment's sample (bounded: about
     64 x fine width rows per segment) is sorted on the executors with
     ``array_sort`` and cut into fine bounds, a table of one row per coarse
@@ -208,37 +210,54 @@ def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = Non
     coarse segment's bounds. Ids stay a pure function of the row.
     """
     want = max(1, min(MAX_SEGMENTS, num_segments or shuffle_partitions(df.sparkSession)))
-    n = df.count() if row_count is None else row_count
     encoded = _ascending_keys(df, order)
-    if encoded is None:        # a descending text key: flat search, column by column
-        bounds = segment_bounds(df, order, min(want, flat_limit), seed, n)
-        return df.withColumn(_SEG, segment_of(order, bounds, df.schema)), len(bounds) + 1
+    if encoded is None:        # a descending text key: few bounds, compared column by column
+        bounds = segment_bounds(df, order, min(want, TEXT_DESC_SEGMENTS), seed, row_count)
+        return df.withColumn(_SEG, segment_of(order, bounds)), len(bounds) + 1
     enc, enc_order, added = encoded
-    seg, count = _ascending_segments(enc, enc_order, want, flat_limit, seed, n)
+    seg, count = _ascending_segments(enc, enc_order, want, flat_limit, seed)
     return seg.drop(*added), count
 
 
-def _ascending_segments(df: DataFrame, order: list[str], want: int, flat_limit: int, seed: int,
-                        n: int) -> tuple[DataFrame, int]:
-    keys = [(k, True) for k in order]
+def _sampled_bounds(df: DataFrame, names: list[str], segments: int, seed: int) -> Column:
+    """Scalar subquery: ``segments - 1`` sorted bound structs, quantiles of a bounded sample.
+
+    Runs on the executors when the query runs: a seeded Bernoulli sample of
+    about ``SAMPLE_PER_SEGMENT`` rows per segment (capped at ``MAX_SAMPLE``),
+    sorted in one bounded aggregate, then evenly spaced picks. Nothing is
+    collected to the driver, and a query execution computes it once.
+    """
+    row = F.struct(*[F.col(k) for k in names])
+    n = df.select(F.count(F.lit(1))).scalar()
+    target = float(min(MAX_SAMPLE, SAMPLE_PER_SEGMENT * segments))
+    frac = F.least(F.lit(1.0), F.lit(target) / F.greatest(n, F.lit(1)))
+    sample = df.select(row.alias("_k")).where(F.rand(seed) < frac)
+    picks = F.transform(F.sequence(F.lit(1), F.lit(segments - 1)),
+                        lambda j: F.element_at("_s", F.floor(j * F.size("_s") / segments).cast("int") + 1))
+    return (sample.agg(F.array_sort(F.collect_list("_k")).alias("_s"))
+            .select(F.when(F.size("_s") > 0, picks).alias("_b")).scalar())
+
+
+def _ascending_segments(df: DataFrame, order: list[str], want: int, flat_limit: int, seed: int) -> tuple[DataFrame, int]:
+    row = F.struct(*[F.col(k) for k in order])
+    coarse = min(want, flat_limit)
+    if coarse <= 1:
+        return df.withColumn(_SEG, F.lit(0)), 1
+    tagged = _locate(df, row, _sampled_bounds(df, order, coarse, seed), coarse - 1, "_c")
     if want <= flat_limit:
-        bounds = segment_bounds(df, order, want, seed, n)
-        return df.withColumn(_SEG, segment_of(order, bounds, df.schema)), len(bounds) + 1
-    coarse_bounds = segment_bounds(df, order, flat_limit, seed, n)
-    coarse = len(coarse_bounds) + 1
+        return tagged.withColumnRenamed("_c", _SEG), coarse
     width = -(-want // coarse)                         # fine segments per coarse segment
-    tagged = df.withColumn("_c", segment_of(order, coarse_bounds, df.schema))
-    row = F.struct(*[F.col(k) for k, _ in keys])
-    frac = min(1.0, SAMPLE_PER_SEGMENT * width * coarse / max(n, 1))
-    sample = (tagged.select("_c", row.alias("_k")).sample(False, frac, seed + 1)
+    n = df.select(F.count(F.lit(1))).scalar()
+    frac = F.least(F.lit(1.0), F.lit(float(SAMPLE_PER_SEGMENT * width * coarse)) / F.greatest(n, F.lit(1)))
+    sample = (tagged.select("_c", row.alias("_k")).where(F.rand(seed + 1) < frac)
               .groupBy("_c").agg(F.array_sort(F.collect_list("_k")).alias("_s")))
     picks = [F.element_at("_s", (F.size("_s") * j / width).cast("int") + 1) for j in range(1, width)]
     fine = sample.select("_c", F.array(*picks).alias("_fb"))
     # One row per coarse segment holding width-1 bounds: bounded by the segment count.
-    seg = (tagged.join(F.broadcast(fine), "_c", "left")
-           .withColumn(_SEG, F.col("_c") * width
-                       + F.when(F.col("_fb").isNull(), F.lit(0)).otherwise(_fine_search(row, "_fb", width - 1)))
-           .drop("_c", "_fb"))
+    located = _locate(tagged.join(F.broadcast(fine), "_c", "left"), row, F.col("_fb"), width - 1, "_f")
+    seg = (located.withColumn(_SEG, F.col("_c") * width + F.when(F.col("_fb").isNull(), F.lit(0))
+                              .otherwise(F.col("_f")))
+           .drop("_c", "_fb", "_f"))
     return seg, coarse * width
 
 
