@@ -7,9 +7,9 @@ give the same answers with work spread over many tasks.
 ``running_sum`` / ``dense_position``
     Split the order into contiguous *segments* whose bounds are quantiles of
     a small sample of the sort keys (what Spark's range partitioner does,
-    done once so that every branch of the plan agrees). The segment id is a
-    pure function of the row (a binary search over the bounds), so a lost
-    executor recomputes the same ids. Each segment is totalled with a
+    done once per query as a scalar subquery so that every branch of the
+    plan agrees). The segment id is a function of the row and those bounds
+    (a branchless binary search), so a retried task recomputes the same ids. Each segment is totalled with a
     partial aggregate, the exclusive prefix over the totals (at most one row
     per segment, a bounded broadcast) gives each segment's offset, and a
     window partitioned by segment finishes the running sum. A key holding a
