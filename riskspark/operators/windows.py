@@ -103,7 +103,12 @@ def _row_after(keys: list[tuple[str, bool]], bound: tuple) -> Column:
 
 def segment_bounds(df: DataFrame, order: Sequence, segments: int, seed: int = 7,
                    n: int | None = None) -> list[tuple]:
-    """Up to ``segments - 1`` sorted bound tuples from a bounded sample of the sort keys."""
+    """Up to ``segments - 1`` sorted bound tuples from a bounded sample, collected to the driver.
+
+    Only for orders with a descending text key (see ``segment_of``), with at
+    most ``TEXT_DESC_SEGMENTS`` bounds; every other order samples its bounds
+    on the executors (``_sampled_bounds``).
+    """
     keys = [_parse(k)[0] for k in order]
     n = df.count() if n is None else n
     if n == 0 or segments <= 1:
