@@ -268,7 +268,7 @@ def _ascending_segments(df: DataFrame, order: list[str], want: int, flat_limit:
 
 def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Sequence,
                  num_segments: int | None = None, exclusive: bool = False, ordered: bool = False,
-                 flat_limit: int = FLAT_SEGMENTS, row_count: int | None = None) -> DataFrame:
+                 flat_limit: int = FLAT_SEGMENTS, row_count: int | None = None, seed: int = 7) -> DataFrame:
     """Global running sums ``SUM(v) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)`` for each ``out: v``.
 
     ``order`` must be a total order for the result to be deterministic,
@@ -281,7 +281,7 @@ def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Seq
     """
     tmp = {out: f"_v_{i}" for i, out in enumerate(values)}
     base = df.select("*", *[col_of(v).alias(tmp[o]) for o, v in values.items()])
-    seg, segments = with_segments(base, order, num_segments, flat_limit, row_count=row_count)
+    seg, segments = with_segments(base, order, num_segments, flat_limit, seed=seed, row_count=row_count)
     totals = seg.groupBy(_SEG).agg(*[F.sum(t).alias(f"_t{t}") for t in tmp.values()])
     # One row per segment: the single-partition window and the broadcast
     # below are bounded by the segment count (at most MAX_SEGMENTS), not by the data.

@@ -271,3 +271,11 @@ def test_descending_keys_two_level_with_nulls_and_nan(spark):
     runs = [r.run for r in ours.collect()]
     assert runs == sorted(runs)                      # ordered layout follows the descending order
     assert math.isnan(ours.first().x)                # NaN sorts first when descending
+
+
+def test_results_do_not_depend_on_segment_bounds(spark):
+    data = [(D(2020, 1, 1) + dt.timedelta(days=i % 9), i, (i * 11) % 5) for i in range(3000)]
+    df = spark.createDataFrame(data, "d date, k int, v int")
+    outs = [rows(W.running_sums(df, {"run": "v"}, ["d", "k"], num_segments=segs, flat_limit=4, seed=seed), "k", "run")
+            for seed, segs in ((1, 3), (99, 12), (12345, 30))]
+    assert outs[0] == outs[1] == outs[2]
