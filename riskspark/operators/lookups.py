@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.functions.scalar import col_of, month_key, portable_hash
+from riskspark.functions.scalar import month_key, portable_hash
 from riskspark.operators.windows import dense_position
 
 
