@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalar import portable_hash
+from riskspark.session import materialize
 from riskspark.operators.windows import dense_position, top_n_per_group
 
 
@@ -38,13 +39,16 @@ def sample_with_replacement(draws: DataFrame, draw_key: str, population: DataFra
     return picks.join(indexed, index_col).drop(index_col)
 
 
-def exact_fraction(df: DataFrame, fraction: float, key: Sequence[str], seed: int | str = 42) -> DataFrame:
+def exact_fraction(df: DataFrame, fraction: float, key: Sequence[str], seed: int | str = 42,
+                   materialize_input: bool = False) -> DataFrame:
     """Exactly ``round(fraction * count)`` rows: those with the smallest ``hash(seed:key)``.
 
     The rank comes from the range-segmented position, so no task holds more
     than its share of rows; ``df.sample(fraction)`` is Bernoulli and only
     approximates the count.
     """
+    if materialize_input:   # the count, the bound sample and the ranking then read it, not its lineage
+        df = materialize(df, "exact-fraction-input")
     # SQL ROUND (half away from zero) of fraction x count, evaluated once as a scalar subquery
     k = df.select(F.round(F.lit(fraction) * F.count(F.lit(1))).cast("bigint")).scalar()
     h = df.withColumn("_h", portable_hash(*key, seed=seed))
