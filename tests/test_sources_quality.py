@@ -239,3 +239,13 @@ def test_fk_audit_two_keys_one_child(spark):
     got = {r.fk_columns: r.orphan_rows for r in DQ.fk_audit({"ships": ships, "countries": countries, "ports": ports},
                                                             fks).collect()}
     assert got == {"country_id": 1, "port_id": 1}
+
+
+def test_scratch_output_goes_under_the_checkpoint_dir(spark):
+    from riskspark.session import ensure_checkpoint_dir, materialize, scratch_path
+
+    base = ensure_checkpoint_dir(spark)
+    assert base == spark.sparkContext.getCheckpointDir()
+    assert scratch_path(spark, "x").startswith(base.rstrip("/") + "/riskspark-scratch/x-")
+    df = materialize(spark.range(10), "t")
+    assert df.count() == 10 and all(base.rstrip("/").split(":")[-1] in f for f in df.inputFiles())
