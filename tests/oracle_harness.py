@@ -19,7 +19,8 @@ import time
 
 import duckdb
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+          "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
 def duck(sf_dir: str):
