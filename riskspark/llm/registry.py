@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import host_rules
+from riskspark.llm import host_rules, line_dedup
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,22 @@ FROM f JOIN o ON f.source IS NOT DISTINCT FROM o.source
 def op4(spark, sf_dir):
     judged = host_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), carry=["doc_id"])
     return judged.select("row.doc_id", *host_rules.MEASURES, "base_failed", "kept")
+
+
+_OP3_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                  generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT doc_id, i, line, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''),
+             '[\x20\x09-\x0D]+$', ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+s AS (SELECT k, min(doc_id) AS owner FROM k WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
+j AS (SELECT k.doc_id, i, line, s.owner IS NOT NULL AND s.owner <> k.doc_id AS lost FROM k LEFT JOIN s ON s.k = k.k)
+SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(lost AS INT)) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM j GROUP BY doc_id
+"""
+
+
+@query("op3_line_dedup", _OP3_SQL)
+def op3(spark, sf_dir):
+    out = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
