@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import host_rules, line_dedup
+from riskspark.llm import host_rules, line_dedup, simhash
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,9 @@ FROM j GROUP BY doc_id
 def op3(spark, sf_dir):
     out = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op5_simhash_gray")
+def op5(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, max_bits=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
