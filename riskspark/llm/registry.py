@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import host_rules, line_dedup, simhash
+from riskspark.llm import decontaminate, host_rules, line_dedup, simhash
 from riskspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,31 @@ def op3(spark, sf_dir):
 def op5(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+_OP6_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+      FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+s AS (SELECT DISTINCT n FROM g),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, s WHERE len(w) >= n)),
+h AS (SELECT doc_id, item_id, i, dw.n FROM dw JOIN g ON g.gram = dw.gram AND g.n = dw.n),
+hw AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw ON hw.doc_id = d.doc_id LEFT JOIN hi ON hi.doc_id = d.doc_id
+"""
+
+
+@query("op6_decontamination", _OP6_SQL)
+def op6(spark, sf_dir):
+    found = decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
