@@ -31,7 +31,7 @@ class Scratch:
         before = self.spark.conf.get(_FREE_SHUFFLES, None)
         self.spark.conf.set(_FREE_SHUFFLES, "true")
         try:
-            df.write.parquet(path)
+            df.write.option("compression", "zstd").parquet(path)
         finally:
             if before is None:
                 self.spark.conf.unset(_FREE_SHUFFLES)

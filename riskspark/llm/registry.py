@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import decontaminate, host_rules, line_dedup, simhash
+from riskspark.llm import curve_packing, decontaminate, host_rules, line_dedup, ring_sharding, simhash
 from riskspark.llm.common import table
 
+#: Folder of the tokenizers' files on every machine.
+TOKENIZERS = os.environ.get("RISKSPARK_TOKENIZERS") or os.path.dirname(public_tokenizers.path("x"))
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -107,3 +112,16 @@ def op6(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op1_curve_packing")
+def op1(spark, sf_dir):
+    pieces = curve_packing.pack(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json", 4096, end_id=2)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("op8_ring_sharding")
+def op8(spark, sf_dir):
+    rows = ring_sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), n_shards=16)
+    return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"))
