@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import curve_packing, decontaminate, host_rules, line_dedup, ring_sharding, simhash
+from riskspark.llm import curve_packing, decontaminate, host_rules, line_dedup, pair_ranking, ring_sharding, simhash, unigram_counts
 from riskspark.llm.common import table
 
 #: Folder of the tokenizers' files on every machine.
@@ -125,3 +125,18 @@ def op8(spark, sf_dir):
     rows = ring_sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"), n_shards=16)
     return rows.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op2_pair_ranking")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pair_ranking.score(docs, table(spark, sf_dir, "labels"), cut=0.3)
+    found = found.select("row.doc_id", "score", "predicted")
+    return found.select("doc_id", pair_ranking.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op7_unigram_counts")
+def op7(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = unigram_counts.count_tokens(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+    return found.select("row.doc_id", "n_tokens", "score")
