@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import curve_packing, decontaminate, host_rules, line_dedup, pair_ranking, ring_sharding, secret_forest, simhash, unigram_counts
+from riskspark.llm import compact_windows, curve_packing, decontaminate, host_rules, line_dedup, pair_ranking, ring_sharding, secret_forest, simhash, unigram_counts
 from riskspark.llm.common import table
 
 #: Folder of the tokenizers' files on every machine.
@@ -147,3 +147,8 @@ def op9(spark, sf_dir):
     found = secret_forest.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("row.doc_id", "start", "length", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
                         F.col("label").alias("format_label"), "p_secret", "is_secret")
+
+
+@query("op10_compact_windows")
+def op10(spark, sf_dir):
+    return compact_windows.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
