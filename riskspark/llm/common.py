@@ -41,7 +41,8 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *tables: str) -> None:
-        """Delete tables that no later plan reads."""
+        """Delete tables that no later plan reads (all, if none are named)."""
+        tables = tables or tuple(self.paths)
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for table in tables:

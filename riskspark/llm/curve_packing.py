@@ -117,14 +117,14 @@ def global_starts(rows: DataFrame, order: list[str], scratch: Scratch) -> DataFr
     return local.join(F.broadcast(parts), "part").select("row", (F.col("base") + F.col("local")).alias("at"))
 
 
-def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2, scratch: Scratch | None = None) -> DataFrame:
     """Pieces: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
     ``docs``: doc_id, text. ``ids`` are the piece's ids as unsigned
     little-endian 32-bit integers; ``start`` counts the document's ids before
     the piece; ``offset`` counts the ids before it in its sequence.
     """
-    scratch = Scratch(docs.sparkSession, "curve-packing")
+    scratch = scratch or Scratch(docs.sparkSession, "curve-packing")
     rows = tokenized(docs.select("doc_id", "text"), tokenizer, end_id).withColumn("row", F.monotonically_increasing_id())
     rows = scratch.save(rows, "tokens")          # row numbers hold from here on
     starts = global_starts(rows, ["key", "doc_id"], scratch)

@@ -71,12 +71,12 @@ def _probes(sizes: list[int]) -> Column:
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", doc_id: str = "doc_id",
-              broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+              broadcast_rows: int = BROADCAST_ROWS, scratch: Scratch | None = None) -> DataFrame:
     """One row per distinct (doc_id, text): doc_id, text_key, n_words, n_hit, items (sorted), spans.
 
     ``spans``: the hit word ranges (first, end), merged and in order.
     """
-    scratch = Scratch(docs.sparkSession, "decontaminate")
+    scratch = scratch or Scratch(docs.sparkSession, "decontaminate")
     grams = scratch.save(windows(benchmark, n), "windows")
     sizes = sorted(r.size for r in grams.select("size").distinct().collect())      # at most n values
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
@@ -125,13 +125,13 @@ def _merged(ranges: str) -> Column:
     return F.aggregate(F.col(ranges).cast(kind), F.array().cast(kind), step)
 
 
-def remove(docs: DataFrame, benchmark: DataFrame, n: int = 10, mode: str = "document") -> DataFrame:
+def remove(docs: DataFrame, benchmark: DataFrame, n: int = 10, mode: str = "document", scratch: Scratch | None = None) -> DataFrame:
     """``docs`` (all columns) without its contaminated documents, or (``mode="span"``) without the hit words.
 
     In span mode a contaminated text is its remaining words, joined by
     single spaces; other texts are left as they are.
     """
-    hits = find_hits(docs, benchmark, n).where("n_hit > 0").select(
+    hits = find_hits(docs, benchmark, n, scratch=scratch).where("n_hit > 0").select(
         F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key"), F.col("spans").alias("_hit_spans"))
     rows = docs.select(F.struct("*").alias("row"))
     on = F.col("row.doc_id").eqNullSafe(F.col("_hit_id")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("_hit_key"))

@@ -110,7 +110,7 @@ def host_verdicts(measured: DataFrame, host: str, rules: HostRules, scratch: Scr
 
 
 def judge(docs: DataFrame, rules: HostRules = HostRules(), text: str = "text", host: str = "source",
-          carry: list[str] | None = None) -> DataFrame:
+          carry: list[str] | None = None, scratch: Scratch | None = None) -> DataFrame:
     """One row per document: ``row`` (a struct of the carried columns, all by default), the
     measures, ``base_failed``, ``host_rate``, ``kept``.
 
@@ -118,7 +118,7 @@ def judge(docs: DataFrame, rules: HostRules = HostRules(), text: str = "text", h
     verdicts read them; carry only what is needed. Carried columns sit in
     a struct, so their names cannot clash with the measures.
     """
-    scratch = Scratch(docs.sparkSession, "host-rules")
+    scratch = scratch or Scratch(docs.sparkSession, "host-rules")
     carried = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)])
     rows = docs.select(carried.alias("row"), F.col(f"`{host}`").alias("host"), F.col(f"`{text}`").alias("text"))
     measured = measure(rows.withColumn("n_lines", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")))
@@ -131,6 +131,7 @@ def judge(docs: DataFrame, rules: HostRules = HostRules(), text: str = "text", h
                          (~F.col("base_failed") & F.col("host_ok")).alias("kept"))
 
 
-def keep_good(docs: DataFrame, rules: HostRules = HostRules(), text: str = "text", host: str = "source") -> DataFrame:
+def keep_good(docs: DataFrame, rules: HostRules = HostRules(), text: str = "text", host: str = "source",
+              scratch: Scratch | None = None) -> DataFrame:
     """The documents that pass, with their columns."""
-    return judge(docs, rules, text, host).where("kept").select("row.*")
+    return judge(docs, rules, text, host, scratch=scratch).where("kept").select("row.*")

@@ -322,9 +322,9 @@ def apply(index: LineIndex, docs: DataFrame, refs: DataFrame | None = None) -> D
     return joined.withColumn("keys", F.coalesce("keys", done)).mapInArrow(run, schema)
 
 
-def dedup(docs: DataFrame, min_chars: int = 10) -> DataFrame:
+def dedup(docs: DataFrame, min_chars: int = 10, scratch: Scratch | None = None) -> DataFrame:
     """Index ``docs`` and apply the index to them."""
-    index = build(docs.select("doc_id", "text"), min_chars)
+    index = build(docs.select("doc_id", "text"), min_chars, scratch=scratch)
     return apply(index, docs, index.refs)
 
 

@@ -235,9 +235,10 @@ def _search(members: DataFrame, max_bits: int) -> DataFrame:
 
 # ---------------------------------------------------------------- the operator
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_node: int = 4096) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_node: int = 4096,
+                    scratch: Scratch | None = None) -> DataFrame:
     """(doc_id, fp, component_id) per row of ``docs`` (doc_id, text): component_id is the smallest doc_id reachable by links."""
-    scratch = Scratch(docs.sparkSession, "simhash")
+    scratch = scratch or Scratch(docs.sparkSession, "simhash")
     prints = scratch.save(fingerprints(docs.select("doc_id", "text"), shingle), "fingerprints")
     one = scratch.save(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "members")
     named = one.where("id IS NOT NULL")
@@ -251,8 +252,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, max_no
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, scratch: Scratch | None = None) -> DataFrame:
     """The documents that are the smallest of their component, with all columns (rows without a doc_id stay)."""
-    found = near_duplicates(docs, shingle, max_bits)
+    found = near_duplicates(docs, shingle, max_bits, scratch=scratch)
     lost = found.where("doc_id != component_id").select("doc_id").distinct()
     return docs.join(lost, "doc_id", "left_anti").select(docs.columns)
