@@ -91,10 +91,10 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "t
     places = found.groupBy("doc_id", "text_key").agg(
         F.collect_set(F.struct("size", (F.col("at") - F.col("back")).alias("first"))).alias("places"))
     places = scratch.save(places, "places")
-    # The texts of documents with a place worth comparing, each split once.
+    # The texts of documents with a place worth comparing, each split once. These documents grow with the input: never broadcast.
     again = rows.withColumn("text_key", F.xxhash64("text"))
     same = again["doc_id"].eqNullSafe(places["doc_id"]) & (again["text_key"] == places["text_key"])
-    again = again.join(small_side(places, places.count(), 5_000), same).select(
+    again = again.join(places.hint("merge"), same).select(
         again["doc_id"], again["text_key"], item_words(F.col("text")).alias("w"), "places").distinct()
     taken = F.transform(F.filter("places", lambda x: (x["first"] >= 0) & (x["first"] + x["size"] <= F.size("w"))), lambda x: F.struct(
         x["size"].alias("size"), x["first"].alias("first"), F.array_join(F.slice("w", x["first"] + 1, x["size"]), " ").alias("gram")))
