@@ -142,5 +142,6 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id: int = 2,
             kinds = {"ids": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items()], names=list(out))
 
-    return rows.join(starts, "row").select("doc_id", "at", "ids").mapInArrow(
+    # Starts grow with the documents: never broadcast.
+    return rows.join(starts.hint("merge"), "row").select("doc_id", "at", "ids").mapInArrow(
         cut, "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
