@@ -10,41 +10,70 @@ import numpy as np
 
 #: Characters that Python's ``str.split`` takes for blanks and tokenizers do not.
 _ODD_BLANKS = re.compile("[\x1c-\x1f]")
-CACHED_WORDS = 300_000
-CHUNK = 400
+#: Letters that lower-casing maps one to one and normalization leaves alone, then ASCII signs without an apostrophe.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
+_PROBES = ("a", "The", "thention", "Éeuxè.", "STRASSE!!", "straße,", "x***", "of%%%", "ÑAñÿ", "word#$&|<>", "Über-", "niño;", "lower_", "z(~)")
+CACHED_WORDS = 400_000
+
+
+class _Known(dict):
+    """Values by key, made by ``make`` when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
 
 
 class WordEncoder:
     """Ids under a tokenizer whose pre-tokens never contain white space, so that words can be encoded apart.
 
     ``encode`` gives each text's ids as little-endian bytes of ``dtype``.
-    Words met before come from a cache, which is emptied when full.
+    Words met before come from a cache, which is emptied when full. A word of
+    plain letters and signs goes to the tokenizer's model in those two parts,
+    without its normalizer, where that gives what the whole tokenizer gives
+    for some probe words; other words go through the whole tokenizer.
+    Strings of special tokens in a text are ordinary text.
     """
 
     def __init__(self, path: str, dtype: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer, self.dtype, self.cache = Tokenizer.from_file(path), np.dtype(dtype), {}
-        self.tokenizer.encode_special_tokens = True     # strings of special tokens in a text are ordinary text
+        self.tokenizer, self.dtype = Tokenizer.from_file(path), np.dtype(dtype)
+        self.tokenizer.encode_special_tokens = True
         if self.tokenizer.get_vocab_size() > np.iinfo(self.dtype).max + 1:
             raise ValueError(f"{dtype} does not hold every id of {path}")
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
+        self.model = self.tokenizer.model
+        self.words, self.parts = _Known(self._word), _Known(self._part)
+        self.plain = True
+        self.plain = all(self._word(w) == self._whole(w) for w in _PROBES)
+        self.words.clear()
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(part.translate(self.letters))], self.dtype).tobytes()
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+    def _word(self, word: str) -> bytes:
+        if self.plain and (m := _PLAIN.fullmatch(word)):
+            return self.parts[m[1].lower()] + (self.parts[m[2]] if m[2] else b"")
+        return self._whole(word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
-        for at in range(0, len(texts), CHUNK):
-            part = texts[at:at + CHUNK]
-            if len(self.cache) > CACHED_WORDS:
-                self.cache.clear()
-            cache = self.cache
-            split = [None if _ODD_BLANKS.search(t) else t.split() for t in part]
-            new = list({w for words in split if words for w in words} - cache.keys())
-            cache.update(zip(new, self._bytes(new)))
-            out += [self._bytes([t])[0] if words is None else b"".join([cache[w] for w in words]) for t, words in zip(part, split)]
+        for t in texts:
+            if len(self.words) > CACHED_WORDS:
+                self.words.clear()
+            if len(self.parts) > CACHED_WORDS:
+                self.parts.clear()
+            out.append(self._whole(t) if _ODD_BLANKS.search(t) else b"".join(map(self.words.__getitem__, t.split())))
         return out
 
 
