@@ -8,6 +8,10 @@ are freed when the write ends.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +23,32 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, so that tasks import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="riskspark-"), "riskspark.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(root):
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.join("riskspark", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 class Scratch:
     """Tables under the shared checkpoint folder, dropped once nothing reads them."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name, self.paths = spark, name, {}
+        ship_package(spark)
 
     def save(self, df: DataFrame, table: str) -> DataFrame:
         """Write ``df`` once and return the written table."""

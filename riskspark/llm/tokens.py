@@ -13,26 +13,32 @@ _ODD_BLANKS = re.compile("[\x1c-\x1f]")
 #: Letters that lower-casing maps one to one and normalization leaves alone, then ASCII signs without an apostrophe.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 _PROBES = ("a", "The", "thention", "Éeuxè.", "STRASSE!!", "straße,", "x***", "of%%%", "ÑAñÿ", "word#$&|<>", "Über-", "niño;", "lower_", "z(~)")
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 
 
 class _Known(dict):
-    """Values by key, made by ``make`` when first asked for."""
+    """Values by key, made by ``make`` when first asked for. Of what is full, the last ``limit`` keys stay at hand."""
 
-    def __init__(self, make):
+    def __init__(self, make, limit: int):
         super().__init__()
-        self.make = make
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        self[key] = value = self.make(key) if value is None else value
         return value
 
+    def trim(self):
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
+
 
 class WordEncoder:
     """Ids under a tokenizer whose pre-tokens never contain white space, so that words can be encoded apart.
 
     ``encode`` gives each text's ids as little-endian bytes of ``dtype``.
-    Words met before come from a cache, which is emptied when full. A word of
+    Words met before come from a bounded cache. A word of
     plain letters and signs goes to the tokenizer's model in those two parts,
     without its normalizer, where that gives what the whole tokenizer gives
     for some probe words; other words go through the whole tokenizer.
@@ -50,7 +56,9 @@ class WordEncoder:
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: byte_level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100)}
         self.model = self.tokenizer.model
-        self.words, self.parts = _Known(self._word), _Known(self._part)
+        ids = np.arange(np.iinfo(self.dtype).max + 1 if self.dtype.itemsize <= 2 else self.tokenizer.get_vocab_size())
+        self.bytes_of = [x.tobytes() for x in ids.astype(self.dtype)]
+        self.words, self.parts = _Known(self._word, CACHED_WORDS), _Known(self._part, CACHED_WORDS)
         self.plain = True
         self.plain = all(self._word(w) == self._whole(w) for w in _PROBES)
         self.words.clear()
@@ -59,7 +67,8 @@ class WordEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _part(self, part: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(part.translate(self.letters))], self.dtype).tobytes()
+        mapped = part if part.isascii() else part.translate(self.letters)
+        return b"".join([self.bytes_of[t.id] for t in self.model.tokenize(mapped)])
 
     def _word(self, word: str) -> bytes:
         if self.plain and (m := _PLAIN.fullmatch(word)):
@@ -69,10 +78,8 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
         for t in texts:
-            if len(self.words) > CACHED_WORDS:
-                self.words.clear()
-            if len(self.parts) > CACHED_WORDS:
-                self.parts.clear()
+            self.words.trim()
+            self.parts.trim()
             out.append(self._whole(t) if _ODD_BLANKS.search(t) else b"".join(map(self.words.__getitem__, t.split())))
         return out
 

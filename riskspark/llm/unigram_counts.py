@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskspark.llm.common import ship_package
+
 MARK = "▁"
 UNK_PENALTY = 10.0
 CACHED_WORDS = 400_000
@@ -125,6 +127,7 @@ def counter(model_file: str) -> Counter:
 
 def count_tokens(docs: DataFrame, model_file: str, text: str = "text") -> DataFrame:
     """(row, n_tokens, score): ``row`` holds the columns of ``docs`` other than the text; the path to the vocabulary is as on the workers."""
+    ship_package(docs.sparkSession)
     carried = [F.col(f"`{c}`") for c in docs.columns if c != text]
     rows = docs.select(F.struct(*carried).alias("row"), F.col(f"`{text}`").cast("string").alias("text"))
     schema = rows.select("row").schema.add("n_tokens", "long").add("score", "double")
