@@ -56,6 +56,7 @@ def test_word_encoder_equals_the_tokenizer():
     assert enc.plain
     plain = [chr(c) for r in (range(33, 127), range(0xC0, 0x100)) for c in r]
     texts += [" ".join("".join(rnd.choice(plain) for _ in range(rnd.randint(1, 8))) for _ in range(9)) for _ in range(3000)]
+    texts += [" ".join("".join(rnd.choice("ab.,'é!1") for _ in range(rnd.randint(1, 6))) for _ in range(9)) for _ in range(3000)]
     texts += [w + p for w in plain for p in ("", ",", "'s", "a!", "\u0301")]
     for t, got in zip(texts, enc.encode(texts)):
         assert np.frombuffer(got, "<u2").tolist() == tok.encode(t, add_special_tokens=False).ids, repr(t)
