@@ -38,15 +38,19 @@ def int_trunc(x: str | Column) -> Column:
     return col_of(x).cast("int")
 
 
+#: Hashes are below this: 15 hex digits, the most that a signed 64-bit integer holds.
+HASH_RANGE = 1 << 60
+
+
 def portable_hash(*parts: str | Column, seed: int | str = 42) -> Column:
-    """Deterministic 32-bit hash of ``seed:part1:part2..`` from md5.
+    """Deterministic 60-bit hash of ``seed:part1:part2..`` from md5, below ``HASH_RANGE``.
 
     Chosen because DuckDB computes the same value
-    (``('0x' || substr(md5(s), 1, 8))::BIGINT``), so sampling and picking
+    (``('0x' || substr(md5(s), 1, 15))::BIGINT``), so sampling and picking
     operators can be checked against an independent engine.
     """
     text = F.concat_ws(":", F.lit(str(seed)), *[col_of(p).cast("string") for p in parts])
-    return F.conv(F.substr(F.md5(text), F.lit(1), F.lit(8)), 16, 10).cast("bigint")
+    return F.conv(F.substr(F.md5(text), F.lit(1), F.lit(15)), 16, 10).cast("bigint")
 
 
 def label(template: str, *cols: str | Column, null_as: str | None = None) -> Column:

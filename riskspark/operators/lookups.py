@@ -1,10 +1,9 @@
 """Keyed lookups with defaults (the generator's dict ``.get(key, default)``).
 
 Each lookup is a left join plus ``coalesce``. Lookup tables are reduced to
-one row per key first, so a lookup can never multiply fact rows. Tables
-that are bounded by construction (country x month signals) may be
-broadcast explicitly (``bounded=True``); everything else is left to
-Catalyst's size estimate and AQE.
+one row per key first (the largest value holds), so a lookup can never
+multiply fact rows. Whether a side is broadcast is left to Catalyst's size
+estimate and AQE.
 """
 
 from __future__ import annotations
@@ -18,21 +17,16 @@ from riskspark.functions.scalar import month_key, portable_hash
 from riskspark.operators.windows import dense_position
 
 
-def _maybe_broadcast(df: DataFrame, bounded: bool) -> DataFrame:
-    return F.broadcast(df) if bounded else df
-
-
 def lookup_default(df: DataFrame, table: DataFrame, on: Mapping[str, str], value: str, out: str,
-                   default=None, bounded: bool = False, strict: bool = False) -> DataFrame:
+                   default=None, strict: bool = False) -> DataFrame:
     """``df[out] = table[value]`` matched on ``on`` (left column -> table column), else ``default``.
 
     ``strict=True`` is the generator's ``lookup[key]`` (a missing key is an
     error): the query fails at run time instead of producing a default.
     """
-    right = table.select(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(on.values())],
-                         F.col(value).alias("_val"))
+    right = table.groupBy(*[F.col(r).alias(f"_k{i}") for i, r in enumerate(on.values())]).agg(F.max(value).alias("_val"))
     cond = [df[left] == right[f"_k{i}"] for i, left in enumerate(on.keys())]
-    joined = df.join(_maybe_broadcast(right, bounded), cond, "left")
+    joined = df.join(right, cond, "left")
     val = F.col("_val")
     if strict:
         val = F.when(F.col("_k0").isNull(), F.raise_error(F.lit(f"lookup key missing in {value}"))).otherwise(val)
@@ -49,11 +43,11 @@ def monthly_max(events: DataFrame, keys: Sequence[str], date_col: str, value: st
 
 
 def lookup_monthly(df: DataFrame, signal: DataFrame, keys: Mapping[str, str], date_col: str,
-                   month_col: str, value: str, out: str, default, bounded: bool = True) -> DataFrame:
+                   month_col: str, value: str, out: str, default) -> DataFrame:
     """Signal for (keys, month of ``date_col``) with a default for missing months."""
     tmp = "_month_of_" + out
     with_month = df.withColumn(tmp, month_key(date_col))
-    res = lookup_default(with_month, signal, {**keys, tmp: month_col}, value, out, default, bounded)
+    res = lookup_default(with_month, signal, {**keys, tmp: month_col}, value, out, default)
     return res.drop(tmp)
 
 

@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.functions.scalar import portable_hash
-from riskspark.session import materialize
+from riskspark.functions.scalar import HASH_RANGE, portable_hash
 from riskspark.operators.windows import dense_position, top_n_per_group
 
 
@@ -40,34 +39,50 @@ def sample_with_replacement(draws: DataFrame, draw_key: str, population: DataFra
 
 
 def exact_fraction(df: DataFrame, fraction: float, key: Sequence[str], seed: int | str = 42,
-                   materialize_input: bool = False) -> DataFrame:
-    """Exactly ``round(fraction * count)`` rows: those with the smallest ``hash(seed:key)``.
+                   buckets: int = 1 << 16) -> DataFrame:
+    """Exactly ``round(fraction * count)`` rows: those with the smallest ``hash(seed:key)``, ties in key order.
 
-    The rank comes from the range-segmented position, so no task holds more
-    than its share of rows; ``df.sample(fraction)`` is Bernoulli and only
-    approximates the count.
+    One count per bucket of hash values (``buckets`` rows, whatever the
+    input) says which buckets are taken whole and which one is cut; only
+    that one bucket's rows are ranked. ``df.sample(fraction)`` is Bernoulli
+    and only approximates the count.
     """
-    if materialize_input:   # the count, the bound sample and the ranking then read it, not its lineage
-        df = materialize(df, "exact-fraction-input")
-    # SQL ROUND (half away from zero) of fraction x count, evaluated once as a scalar subquery
-    k = df.select(F.round(F.lit(fraction) * F.count(F.lit(1))).cast("bigint")).scalar()
-    h = df.withColumn("_h", portable_hash(*key, seed=seed))
-    ranked = dense_position(h, ["_h", *key], "_pos")
-    return ranked.where(F.col("_pos") < k).drop("_h", "_pos")
+    bucket = F.floor(F.col("_h") / F.lit(HASH_RANGE // buckets)).cast("bigint")
+    hashed = df.withColumn("_h", portable_hash(*key, seed=seed)).withColumn("_b", bucket)
+    counts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    order = Window.orderBy("_b")         # over the bucket counts alone
+    # SQL ROUND (half away from zero) of fraction x count
+    total = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    wanted = F.round(F.lit(fraction) * total).cast("bigint")
+    cuts = counts.select("_b", (wanted - before).alias("_take"), "_n").where("_take > 0")
+    held = hashed.join(cuts, "_b")
+    whole, part = held.where("_n <= _take"), held.where("_n > _take")
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *key))
+    part = part.withColumn("_rank", rank).where("_rank <= _take").drop("_rank")
+    return whole.unionByName(part).drop("_h", "_b", "_n", "_take")
 
 
 def weighted_pick(df: DataFrame, entity_key: str, weights: DataFrame, category: str, weight: str,
-                  seed: int | str = 42, out: str | None = None) -> DataFrame:
+                  seed: int | str = 42, out: str | None = None, buckets: int = 1024) -> DataFrame:
     """Each entity picks one category with probability weight / total weight.
 
-    Integer weights are expanded into unit slots (at most the total weight
-    rows, a small bounded table), and ``hash % total`` is matched to a slot
-    by an equi-join: no range join, no per-entity scan of the categories.
+    Categories, in their order, own intervals of [0, 1) as wide as their
+    share; weights may be fractions, and a weight that is zero or null owns
+    nothing. An entity's hash is a point. Interval and point meet by an
+    equi-join on the ``buckets`` slices of [0, 1) that an interval touches
+    (categories + ``buckets`` rows), so no entity scans the categories.
     """
     out = out or category
-    slots = weights.select(F.col(category).alias(out), F.explode(F.sequence(F.lit(1), F.col(weight).cast("int")))
-                           .alias("_u"))
-    numbered = dense_position(slots, [out, "_u"], "_slot").drop("_u")
-    total = weights.select(F.sum(F.col(weight).cast("bigint"))).scalar()
-    picks = df.withColumn("_slot", F.pmod(portable_hash(entity_key, seed=seed), total))
-    return picks.join(F.broadcast(numbered), "_slot").drop("_slot")
+    order = Window.orderBy(category)          # over the categories alone
+    used = weights.where(F.col(weight) > 0).groupBy(category).agg(F.sum(F.col(weight).cast("double")).alias("_w"))
+    total = F.sum("_w").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    upper = F.sum("_w").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    spans = used.withColumn("_hi", upper / total).withColumn("_lo", F.lag("_hi", 1, 0.0).over(order)).withColumnRenamed(category, out)
+    first = F.floor(F.col("_lo") * buckets)
+    last = F.least(F.floor(F.col("_hi") * buckets), F.lit(buckets - 1))
+    spans = spans.select(out, "_lo", "_hi", F.explode(F.sequence(first, last)).alias("_slice"))
+    point = portable_hash(entity_key, seed=seed) / F.lit(float(HASH_RANGE))
+    picks = df.withColumn("_u", point).withColumn("_slice", F.least(F.floor(F.col("_u") * buckets), F.lit(buckets - 1)))
+    joined = picks.join(spans, "_slice").where((F.col("_u") >= F.col("_lo")) & (F.col("_u") < F.col("_hi")))
+    return joined.drop("_slice", "_u", "_lo", "_hi")

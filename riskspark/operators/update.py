@@ -2,8 +2,8 @@
 
 Parquet tables reject ``UPDATE`` and ``MERGE`` and cannot overwrite
 themselves, so an update is copy-on-write: compute the new full table,
-write it as a new version, validate it, then switch a pointer. Until the
-pointer moves, readers keep seeing the old version, which is the
+write it as a new version, validate it, then mark it as committed. Until the
+marker exists, readers keep seeing the old version, which is the
 rollback of the reference's ``BEGIN TRAN .. COMMIT / ROLLBACK``.
 Single writer per table is assumed; this is not a transaction log.
 """
@@ -32,7 +32,7 @@ def update_where_in(df: DataFrame, keys: DataFrame, on: Sequence[str], set_exprs
 
 
 # -- versioned publish ----------------------------------------------------------
-_POINTER = "_CURRENT"
+_MARK = "_COMMITTED"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -42,18 +42,19 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p, jvm
 
 
+def _versions(fs, root) -> list[str]:
+    """Names of all version folders, committed or not, oldest first."""
+    if not fs.exists(root):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+    return sorted((n for n in names if n.startswith("v=") and n[2:].isdigit()), key=lambda n: int(n[2:]))
+
+
 def current_version(spark: SparkSession, table_path: str) -> str | None:
-    """Name of the committed version folder, or None before the first publish."""
+    """Name of the newest version folder that carries the commit marker, or None before the first publish."""
     fs, root, jvm = _fs(spark, table_path)
-    ptr = jvm.org.apache.hadoop.fs.Path(root, _POINTER)
-    if not fs.exists(ptr):
-        return None
-    stream = fs.open(ptr)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return reader.readLine().strip()
-    finally:
-        stream.close()
+    path = jvm.org.apache.hadoop.fs.Path
+    return next((v for v in reversed(_versions(fs, root)) if fs.exists(path(path(root, v), _MARK))), None)
 
 
 def read_current(spark: SparkSession, table_path: str) -> DataFrame:
@@ -68,23 +69,18 @@ Check = Callable[[DataFrame], None]
 
 def publish(df: DataFrame, table_path: str, checks: Sequence[Check] = (),
             partition_by: Sequence[str] = ()) -> str:
-    """Write ``df`` as a new version, run ``checks`` on what was written, then make it current.
+    """Write ``df`` as a new version, run ``checks`` on what was written, then commit it by one empty marker file.
 
-    Any exception (in the write, or raised by a check) leaves the previous
-    version current. The pointer is replaced by writing a temporary file and
-    renaming it over the old one.
+    A version counts once its marker exists, and creating a file is one step
+    on any store, so a failure at any point (in the write, in a check, before
+    or while the marker is made) leaves the previous version current and
+    nothing that was committed is ever touched. Folders that a failed publish
+    left behind are never current, and their numbers are not used again.
     """
     spark = df.sparkSession
     fs, root, jvm = _fs(spark, table_path)
-    # Number after every version folder on disk, including ones a failed
-    # publish left behind (they are never current, and never reused).
-    taken = [0]
-    if fs.exists(root):
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v=") and name[2:].isdigit():
-                taken.append(int(name[2:]))
-    version = f"v={max(taken) + 1:06d}"
+    taken = _versions(fs, root)
+    version = f"v={(int(taken[-1][2:]) if taken else 0) + 1:06d}"
     target = f"{table_path.rstrip('/')}/{version}"
     writer = df.write.mode("errorifexists")
     if partition_by:
@@ -93,15 +89,9 @@ def publish(df: DataFrame, table_path: str, checks: Sequence[Check] = (),
     written = spark.read.parquet(target)
     for check in checks:
         check(written)
-    tmp = jvm.org.apache.hadoop.fs.Path(root, f"{_POINTER}.{version}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(version + "\n", "utf-8"))
-    finally:
-        out.close()
-    ptr = jvm.org.apache.hadoop.fs.Path(root, _POINTER)
-    if fs.exists(ptr):
-        fs.delete(ptr, False)
-    if not fs.rename(tmp, ptr):
-        raise OSError(f"could not move the pointer of {table_path} to {version}")
+    _commit(fs, jvm.org.apache.hadoop.fs.Path(target, _MARK))
     return version
+
+
+def _commit(fs, marker) -> None:
+    fs.create(marker, False).close()

@@ -14,6 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _money(total):
+    """An exact decimal sum, rounded to cents and given as a double."""
+    return F.round(total, 2).cast("double")
+
+
 def delayed_shipments_count(shipments: DataFrame, min_delay: int = 0) -> DataFrame:   # K1
     """Delayed Shipments: rows with ``delay_days > min_delay`` (Q3's definition)."""
     return shipments.agg(F.count(F.when(F.col("delay_days") > min_delay, 1)).alias("delayed_shipments"))
@@ -35,7 +40,7 @@ def revenue_at_risk(summary: DataFrame, min_delay: int = 3, by: Sequence[str] |
     nothing, as ``RELATED`` of a blank adds nothing in the measure.
     """
     risky = summary.where(F.col("delay_days") > min_delay)
-    value = F.round(F.sum(F.col("quantity") * F.col("unit_price")), 2).alias("revenue_at_risk")
+    value = _money(F.sum(F.col("quantity") * F.col("unit_price"))).alias("revenue_at_risk")
     shipments = F.count(F.lit(1)).alias("delayed_shipments")
     if by:
         return risky.groupBy(*by).agg(value, shipments)
@@ -58,7 +63,7 @@ def country_risk_map(countries: DataFrame, suppliers: DataFrame, summary: DataFr
     risk = (summary.where(F.col("delay_days") > min_delay)
             .groupBy(F.col("origin_country").alias("country_name"))
             .agg(F.count(F.lit(1)).alias("delayed_shipments"),
-                 F.round(F.sum(F.col("quantity") * F.col("unit_price")), 2).alias("revenue_at_risk")))
+                 _money(F.sum(F.col("quantity") * F.col("unit_price"))).alias("revenue_at_risk")))
     return (countries.join(sup, "country_id", "left").join(risk, "country_name", "left")
             .select("country_id", "country_name", "region", "base_risk_score",
                     F.coalesce("suppliers", F.lit(0)).alias("suppliers"),

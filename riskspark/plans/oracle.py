@@ -25,7 +25,7 @@ ports AS (
   FROM supplier),
 products AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
-         p_retailprice AS unit_price
+         CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price
   FROM part),
 purchase_orders AS (
   SELECT o_orderkey AS po_id, MIN(l_suppkey) AS supplier_id, MIN(l_partkey) AS product_id,
@@ -55,12 +55,16 @@ weather_events AS (
   SELECT event_id AS weather_event_id, CAST(user_id % 25 AS INT) AS country_id,
          DATE '1995-01-01' + CAST((event_id * 7) % 2499 AS INT) AS event_date,
          event_type, value AS severity_score
-  FROM events WHERE event_type = 'error'),
+  FROM events),
 months AS (
   SELECT DISTINCT CAST(DATE_TRUNC('month', l_shipdate) AS DATE) AS month_year FROM lineitem),
 political_risk_index AS (
   SELECT country_id, month_year,
          CAST(base_risk_score + (country_id * 7 + MONTH(month_year) * 5) % 20 AS DOUBLE) AS risk_score
-  FROM countries CROSS JOIN months
-  WHERE (country_id + MONTH(month_year)) % 4 <> 0)
+  FROM countries CROSS JOIN months),
+fuel_prices AS (
+  SELECT region, CAST(DATE_TRUNC('month', ship_date) AS DATE) AS month_year,
+         ROUND(CAST(SUM(CAST(line_price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 2) AS price_per_barrel
+  FROM shipments JOIN ports ON port_id = origin_port_id JOIN countries ON countries.country_id = ports.country_id
+  GROUP BY 1, 2)
 """

@@ -19,8 +19,9 @@ Scale notes
   and the join then reuses the aggregate's hash partitioning.
 * The month calendar is generated (``sequence`` + ``explode``) from a
   one-row min/max aggregate: no join and no collect.
-* ``ports`` and ``suppliers`` are both views of ``supplier`` (one port per
-  supplier), so a shipment's supplier country is its origin port's country.
+* ``ports`` and ``suppliers`` are both views of ``supplier``. A shipment's
+  port is its own line's; its supplier is that of its purchase order, so
+  the two often lie in different countries.
 """
 
 from __future__ import annotations
@@ -91,7 +92,7 @@ class Domain:
             F.col("p_partkey").alias("product_id"),
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("category"),
-            F.col("p_retailprice").alias("unit_price"))
+            F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
 
     # -- facts ------------------------------------------------------------
     @cached_property
@@ -146,8 +147,7 @@ class Domain:
     # -- risk signals -----------------------------------------------------
     @cached_property
     def weather_events(self) -> DataFrame:
-        e = self.t.events.where(F.col("event_type") == "error")
-        return e.select(
+        return self.t.events.select(
             F.col("event_id").alias("weather_event_id"),
             (F.col("user_id") % N_COUNTRIES).cast("int").alias("country_id"),
             F.date_add(F.lit(WEATHER_EPOCH).cast("date"),
@@ -156,6 +156,16 @@ class Domain:
             "event_type",
             F.col("value").alias("severity_score"))
 
+    @cached_property
+    def fuel_prices(self) -> DataFrame:
+        """Region x month averages of the line prices shipped from the region's ports: a measured price series."""
+        sh = self.shipments.select("origin_port_id", "line_price", F.trunc("ship_date", "MM").alias("month_year"))
+        per_port = sh.groupBy("origin_port_id", "month_year").agg(
+            F.sum(F.col("line_price").cast("decimal(18,2)")).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+        region = self.ports.select("port_id", "country_id").join(self.countries.select("country_id", "region"), "country_id")
+        return (per_port.join(region, F.col("origin_port_id") == F.col("port_id")).groupBy("region", "month_year")
+                .agg(F.round(F.sum("_sum").cast("double") / F.sum("_n"), 2).alias("price_per_barrel")))
+
     def month_bounds(self) -> tuple[Column, Column]:
         """First and last ship month as scalar subqueries (each run once, no join).
 
@@ -182,7 +192,6 @@ class Domain:
             "country_id", "base_risk_score",
             F.explode(F.sequence(lo, hi, F.expr("INTERVAL 1 MONTH"))).alias("month_year"))
         return (panel
-                .where((F.col("country_id") + F.month("month_year")) % 4 != 0)
                 .select("country_id", "month_year",
                         (F.col("base_risk_score")
                          + (F.col("country_id") * 7 + F.month("month_year") * 5) % 20)
@@ -190,7 +199,7 @@ class Domain:
 
     # -- SQL surface --------------------------------------------------------
     VIEW_NAMES = ("countries", "suppliers", "ports", "products", "purchase_orders", "shipments",
-                  "customer_orders", "inventory", "weather_events", "months", "political_risk_index")
+                  "customer_orders", "inventory", "weather_events", "months", "political_risk_index", "fuel_prices")
 
     def register_views(self) -> None:
         """Expose the domain tables to ``spark.sql`` under their reference names."""

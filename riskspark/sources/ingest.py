@@ -26,15 +26,23 @@ from riskspark.session import scratch_path
 from riskspark.sources.schema import BY_NAME, TABLES, TableSpec
 
 CORRUPT = "_corrupt_record"
+#: One form for reading and writing. Null is an empty field and empty text is ``""``; blanks stay; fields may
+#: hold line ends; timestamps keep their microseconds; the header must name the columns in their order.
+CSV_OPTIONS = {
+    "header": True, "encoding": "UTF-8", "quote": '"', "escape": '"', "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "nullValue": "", "emptyValue": '""',
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+#: What quoted empty text is read as, so that it differs from an empty field; ``type_rows`` turns it back.
+_EMPTY = "\ue000"
+READ_OPTIONS = CSV_OPTIONS | {"emptyValue": _EMPTY, "multiLine": True, "enforceSchema": False, "mode": "PERMISSIVE",
+                              "columnNameOfCorruptRecord": CORRUPT}
 
 
 def read_staged(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """Headered UTF-8 CSV with the staging schema. "None" stays a string (no ``nullValue``)."""
+    """Headered UTF-8 CSV with the staging schema. "None" stays a string; swapped header columns raise."""
     schema = spec.staging_schema.add(T.StructField(CORRUPT, T.StringType(), True))
-    return (spark.read.schema(schema)
-            .option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).option("quote", '"').option("escape", '"')
-            .csv(path))
+    return spark.read.schema(schema).options(**READ_OPTIONS).csv(path)
 
 
 def type_rows(staged: DataFrame, spec: TableSpec) -> DataFrame:
@@ -42,10 +50,13 @@ def type_rows(staged: DataFrame, spec: TableSpec) -> DataFrame:
     out, bad = [], [F.col(CORRUPT).isNotNull()]
     for name, dtype in spec.columns:
         raw = F.col(name)
+        if isinstance(dtype, T.StringType):
+            raw = F.when(raw == _EMPTY, "").otherwise(raw)
         if isinstance(dtype, T.BooleanType) and name in spec.staging:
             typed = F.when(raw == 1, F.lit(True)).when(raw == 0, F.lit(False))
         elif isinstance(dtype, (T.IntegerType, T.LongType)) and isinstance(spec.staging.get(name), T.DoubleType):
-            typed = F.when(raw == F.floor(raw), raw.cast(dtype))      # "7.0" -> 7, "7.5" -> bad
+            # "7.0" -> 7; "7.5" and what the type cannot hold -> bad
+            typed = F.when(raw == F.floor(raw), raw.try_cast(dtype))
         else:
             typed = F.expr(f"try_cast(`{name}` AS {dtype.simpleString()})") if name in spec.staging else raw
         if name in spec.defaults:
@@ -89,13 +100,21 @@ def load_all(spark: SparkSession, csv_dir: str, out_dir: str | None = None,
             # rebalance: one shuffle (no sampling pass over the CSV); AQE splits a hot month
             typed = typed.hint("rebalance", "_bad", "ship_month").sortWithinPartitions(*parts, "ship_date")
         typed.write.mode("overwrite").partitionBy(*parts).parquet(f"{out_dir}/{spec.name}")
-        loaded[spec.name] = spark.read.parquet(f"{out_dir}/{spec.name}/_bad=false").drop(CORRUPT)
+        loaded[spec.name] = _loaded(spark, out_dir, spec, typed.schema).where(~F.col("_bad")).drop(CORRUPT, "_bad")
     return loaded
 
 
+def _loaded(spark: SparkSession, out_dir: str, spec: TableSpec, schema: T.StructType) -> DataFrame:
+    """All rows that ``load_all`` wrote; the schema is given, as a table may have no good or no bad rows."""
+    return spark.read.schema(schema).parquet(f"{out_dir}/{spec.name}")
+
+
 def quarantined(spark: SparkSession, out_dir: str, table: str) -> DataFrame:
-    """Rows of ``table`` that ``load_all`` set aside (typed columns as far as they parsed, raw line)."""
-    return spark.read.parquet(f"{out_dir}/{table}/_bad=true")
+    """Rows of ``table`` that ``load_all`` set aside (typed columns as far as they parsed, raw line); none on a clean load."""
+    spec = BY_NAME[table]
+    fields = [T.StructField(c, t, True) for c, t in spec.columns]
+    schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType()), T.StructField("_bad", T.BooleanType())])
+    return _loaded(spark, out_dir, spec, schema).where("_bad").drop("_bad")
 
 
 def write_shipments(shipments: DataFrame, path: str, date_col: str = "ship_date", mode: str = "overwrite") -> None:
@@ -115,21 +134,24 @@ def write_shipments(shipments: DataFrame, path: str, date_col: str = "ship_date"
 
 def write_csv(df: DataFrame, path: str) -> None:
     """Headered CSV, one folder per table (the generator's ``to_csv(index=False)``)."""
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def csv_roundtrip(df: DataFrame, defaults: Mapping[str, object] | None = None, path: str | None = None) -> DataFrame:
     """Write ``df`` as CSV under the shared checkpoint folder and read it back typed.
 
     Empty fields come back as null and then take ``defaults`` (the load's
-    column defaults). The result is read from the written files.
+    column defaults). The result is read from the written files; a row that
+    cannot be read back is an error.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, "csv")
     write_csv(df, path)
     spec = TableSpec("roundtrip", tuple((f.name, f.dataType) for f in df.schema.fields), (),
                      defaults=dict(defaults or {}))
-    good, _ = load_table(spark, path, spec)
+    good, bad = load_table(spark, path, spec)
+    if bad.limit(1).count():
+        raise ValueError(f"rows of {path} cannot be read back")
     return good
 
 

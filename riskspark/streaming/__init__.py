@@ -5,8 +5,9 @@ one-shot bulk insert. The only streaming piece here is that same load run
 incrementally with Structured Streaming: new CSV files landing in a folder
 are read with the staging schema, typed and split into good and
 quarantined rows by exactly the batch code (``sources.ingest.type_rows``),
-and appended to parquet. The checkpoint location gives exactly-once file
-processing across restarts and lost executors.
+and written to a folder per micro-batch (``_batch=<id>``). A batch that is
+run again after a failure overwrites its own folder, so no row is lost or
+doubled across restarts.
 """
 
 from __future__ import annotations
@@ -16,22 +17,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riskspark.sources.ingest import CORRUPT, type_rows, write_shipments
+from riskspark.sources.ingest import CORRUPT, READ_OPTIONS, type_rows, write_shipments
 from riskspark.sources.schema import TableSpec
 
 
 def read_csv_stream(spark: SparkSession, folder: str, spec: TableSpec, max_files_per_trigger: int = 100) -> DataFrame:
     schema = spec.staging_schema.add(T.StructField(CORRUPT, T.StringType(), True))
     return (spark.readStream.schema(schema)
-            .option("header", True).option("encoding", "UTF-8").option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).option("quote", '"').option("escape", '"')
-            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .options(**READ_OPTIONS).option("maxFilesPerTrigger", max_files_per_trigger)
             .csv(folder))
 
 
 def ingest_stream(spark: SparkSession, folder: str, spec: TableSpec, out_path: str, quarantine_path: str,
                   checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Type each micro-batch of new files and append good rows and quarantined rows to parquet."""
+    """Type each micro-batch of new files and write its good and quarantined rows, each under the batch's id."""
     typed = type_rows(read_csv_stream(spark, folder, spec), spec)
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -40,10 +39,10 @@ def ingest_stream(spark: SparkSession, folder: str, spec: TableSpec, out_path: s
         try:
             good = batch.where(~F.col("_bad")).drop("_bad", CORRUPT)
             if spec.name == "shipments":
-                write_shipments(good, out_path, mode="append")
+                write_shipments(good, f"{out_path}/_batch={epoch_id}")
             else:
-                good.write.mode("append").parquet(out_path)
-            batch.where(F.col("_bad")).drop("_bad").write.mode("append").parquet(quarantine_path)
+                good.write.mode("overwrite").parquet(f"{out_path}/_batch={epoch_id}")
+            batch.where(F.col("_bad")).drop("_bad").write.mode("overwrite").parquet(f"{quarantine_path}/_batch={epoch_id}")
         finally:
             batch.unpersist()
 

@@ -4,8 +4,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF01
+from riskspark.plans import catalog
 
-KEYS = sorted(E.queries())
+KEYS = sorted(catalog.query_callables())
 
 
 @pytest.mark.parametrize("key", KEYS)

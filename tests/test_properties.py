@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from riskspark.operators import windows as W
 from riskspark.plans import queries as Q
-from riskspark.plans import scoring as S
 
 SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -64,13 +63,6 @@ def test_running_delay_last_row_is_total(spark, delays):
     assert out[-1].running_total_delay_days == sum(delays)
 
 
-def test_supplier_cost(spark):
-    sp = spark.createDataFrame([(1, 7, 0.5), (2, 7, 0.4)], "supplier_id int, product_id int, cost_fraction double")
-    prod = spark.createDataFrame([(7, 10.25)], "product_id int, unit_price double")
-    got = sorted((r.supplier_id, r.unit_cost) for r in S.supplier_cost(sp, prod).collect())
-    assert got == [(1, 5.13), (2, 4.1)]
-
-
 def test_high_risk_sql_table_function(spark):
     from conftest import SF001
     from riskspark.plans import catalog

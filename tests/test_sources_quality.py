@@ -135,6 +135,48 @@ def test_weighted_pick_shares(spark):
     assert share["x"] == pytest.approx(0.5, abs=0.02) and share["z"] == pytest.approx(0.1, abs=0.02)
 
 
+def test_weighted_pick_zero_and_fractional_weights(spark):
+    weights = spark.createDataFrame([("a", 0.0), ("b", 0.75), ("c", 0.25), ("d", None)], "cat string, weight double")
+    picks = weighted_pick(spark.range(4000), "id", weights, "cat", "weight")
+    share = {r.cat: r["count"] / 4000 for r in picks.groupBy("cat").count().collect()}
+    assert set(share) == {"b", "c"} and share["b"] == pytest.approx(0.75, abs=0.03) and picks.count() == 4000
+
+
+def test_lookup_with_repeated_keys_keeps_rows(spark):
+    table = spark.createDataFrame([(1, 5.0), (1, 7.0)], "k int, v double")
+    got = lookup_default(spark.createDataFrame([(1,), (2,)], "k int"), table, {"k": "k"}, "v", "out", 30.0).collect()
+    assert sorted((r.k, r.out) for r in got) == [(1, 7.0), (2, 30.0)]
+
+
+# -- S1 / S2: what was written comes back ---------------------------------------------------------------
+def test_csv_returns_what_it_was_given(spark):
+    at = dt.datetime(2024, 2, 29, 1, 2, 3, 456789)
+    data = [(1, 'say "hi", ok', at), (2, "line1\nline2\r\nline3", at), (3, " pad ", at), (4, "", at), (5, None, None), (6, "None", at),
+            (7, 'a\\b\\"c', at), (8, "tab\tcomma,", at), (9, '"', at), (10, "é\u2028x", at)]
+    df = spark.createDataFrame(data, "id int, text string, at timestamp")
+    assert sorted(map(tuple, ingest.csv_roundtrip(df).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_overflow_is_quarantined_and_headers_are_checked(spark, tmp_dir):
+    head = "weather_event_id,country_id,port_id,event_date,event_type,severity_score\n"
+    _write(f"{tmp_dir}/w.csv", head + "1,3,30000000000.0,2023-06-01,Storm,45.5\n2,3,7.0,2023-06-01,Storm,45.5\n")
+    good, bad = ingest.load_table(spark, f"{tmp_dir}/w.csv", BY_NAME["weather_events"])
+    assert [r.weather_event_id for r in good.collect()] == [2] and bad.count() == 1
+    _write(f"{tmp_dir}/x.csv", head.replace("country_id,port_id", "port_id,country_id") + "1,3,7.0,2023-06-01,Storm,45.5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest.load_table(spark, f"{tmp_dir}/x.csv", BY_NAME["weather_events"])[0].collect()
+
+
+def test_clean_and_all_bad_loads(spark, tmp_dir):
+    head = "country_id,country_name,region,currency_code,base_risk_score\n"
+    for name, line, n in (("clean", "1,China,East Asia,CNY,42\n", (1, 0)), ("bad", "1,,East Asia,CNY,42\n", (0, 1))):
+        _write(f"{tmp_dir}/{name}/countries.csv", head + line)
+        out = f"{tmp_dir}/{name}-out"
+        good = ingest.load_all(spark, f"{tmp_dir}/{name}", out, tables=[BY_NAME["countries"]])["countries"]
+        assert (good.count(), ingest.quarantined(spark, out, "countries").count()) == n
+        assert good.columns == [c for c, _ in BY_NAME["countries"].columns]
+
+
 # -- M1 / M2 / Q18 layout -------------------------------------------------------------------------------
 def test_update_touches_exactly_semi_joined_keys(spark):
     s = spark.createDataFrame([(1, 9, 70.0), (2, 9, 50.0), (3, 4, 80.0)], "supplier_id int, country_id int, reliability_score double")
@@ -169,6 +211,30 @@ def test_publish_rollback(spark, tmp_dir):
     assert read_current(spark, path).first().reliability_score == 65.0
 
 
+def test_a_failure_at_any_step_of_publish_keeps_the_old_version(spark, tmp_dir, monkeypatch):
+    from riskspark.operators import update
+
+    path = f"{tmp_dir}/t"
+    one, two = (spark.createDataFrame([(i,)], "x int") for i in (1, 2))
+    publish(one, path)
+    broken = two.select(F.raise_error(F.lit("no")).cast("int").alias("x"))
+    with pytest.raises(Exception):
+        publish(broken, path)                                   # while rows are written
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with pytest.raises(OSError):
+        publish(two, path, checks=[fail])                       # in a check
+    monkeypatch.setattr(update, "_commit", fail)
+    with pytest.raises(OSError):
+        publish(two, path)                                      # between the check and the marker
+    assert read_current(spark, path).first().x == 1
+    monkeypatch.undo()
+    publish(two, path)
+    assert read_current(spark, path).first().x == 2
+
+
 def test_date_range_prunes_partitions(spark, tmp_dir):
     sh = spark.createDataFrame([(i, 1, D(2023, 1 + i % 12, 1 + i % 28), i % 5) for i in range(200)],
                                "po_id long, line_no int, ship_date date, delay_days int")
