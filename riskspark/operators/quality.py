@@ -44,28 +44,19 @@ class ForeignKey:
 def fk_audit(tables: Mapping[str, DataFrame], fks: Sequence[ForeignKey]) -> DataFrame:
     """One row per foreign key: (child_table, fk_columns, parent_table, orphan_rows).
 
-    Foreign keys are grouped by child table, so each child is read once: every
-    FK left-joins the parent's *distinct* keys as a hit flag (no row can be
-    multiplied), and one aggregate counts the orphans of all of them.
+    A child's rows are counted per key first (a partial aggregate, so a hot
+    key is one row), and only those counts meet the parent's keys.
     """
-    by_child: dict[str, list[ForeignKey]] = {}
-    for f in fks:
-        by_child.setdefault(f.child, []).append(f)
     parts = []
-    for child, child_fks in by_child.items():
-        rows = tables[child]
-        counts = []
-        for i, f in enumerate(child_fks):
-            keys = (tables[f.parent].select(*[F.col(p).alias(f"_p{i}_{j}") for j, p in enumerate(f.parent_columns)])
-                    .distinct().withColumn(f"_hit{i}", F.lit(True)))
-            cond = [rows[c] == keys[f"_p{i}_{j}"] for j, c in enumerate(f.columns)]
-            rows = rows.join(keys, cond, "left")
-            present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in f.columns])
-            counts.append(F.count(F.when(present & F.col(f"_hit{i}").isNull(), 1)).alias(f"_o{i}"))
-        entries = ", ".join(f"'{child}', '{','.join(f.columns)}', '{f.parent}', `_o{i}`"
-                            for i, f in enumerate(child_fks))
-        parts.append(rows.agg(*counts).select(F.expr(
-            f"stack({len(child_fks)}, {entries}) AS (child_table, fk_columns, parent_table, orphan_rows)")))
+    for f in fks:
+        present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in f.columns])
+        keys = [F.col(c).alias(f"_k{i}") for i, c in enumerate(f.columns)]
+        counts = tables[f.child].where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        parent = tables[f.parent].select(*[F.col(p).alias(f"_k{i}") for i, p in enumerate(f.parent_columns)])
+        orphans = counts.join(parent, [f"_k{i}" for i in range(len(f.columns))], "left_anti")
+        parts.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphan_rows")).select(
+            F.lit(f.child).alias("child_table"), F.lit(",".join(f.columns)).alias("fk_columns"),
+            F.lit(f.parent).alias("parent_table"), "orphan_rows"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -112,9 +103,9 @@ def row_counts(tables: Mapping[str, DataFrame], with_total: bool = True) -> Data
             .select(F.coalesce(F.col("table_name"), F.lit("TOTAL")).alias("table_name"), "row_count"))
 
 
-def reconcile(counts: DataFrame, expected: Mapping[str, int]) -> DataFrame:
-    """Compare counts with an expected manifest: (table_name, row_count, expected_rows, matches)."""
-    spark = counts.sparkSession
-    exp = spark.createDataFrame([(k, int(v)) for k, v in expected.items()], "table_name string, expected_rows long")
-    return (counts.join(exp, "table_name", "full")
+def reconcile(counts: DataFrame, expected: Mapping[str, int] | DataFrame) -> DataFrame:
+    """Compare counts with a manifest (a mapping, or table_name and expected_rows): (table_name, row_count, expected_rows, matches)."""
+    if not isinstance(expected, DataFrame):
+        expected = counts.sparkSession.createDataFrame([(k, int(v)) for k, v in expected.items()], "table_name string, expected_rows long")
+    return (counts.join(expected, "table_name", "full")
             .withColumn("matches", F.coalesce(F.col("row_count") == F.col("expected_rows"), F.lit(False))))

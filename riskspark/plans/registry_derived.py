@@ -19,7 +19,8 @@ from riskspark.plans.registry_core import CRISIS_COUNTRY
 from riskspark.sources import ingest
 from riskspark.session import scratch_path
 from riskspark.sources.bindings import SHIPMENT_KEY, Domain
-from riskspark.sources.schema import TableSpec
+from riskspark.sources.model import MODEL_SQL, model_tables
+from riskspark.sources.schema import DOMAIN_RULES, TABLES, TableSpec
 
 SHIP_COLS = ", ".join(SHIPMENT_KEY)
 
@@ -27,6 +28,11 @@ def _sql_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 
 
+def _quoted(rule: str) -> str:
+    """A rule's text as its name: without quotes, so that it can stand in a literal."""
+    return rule.replace("'", "")
+
+
 def _hash_sql(*exprs: str, seed: int = 42) -> str:
     parts = " || ':' || ".join(f"CAST({e} AS VARCHAR)" for e in exprs)
     return f"('0x' || SUBSTR(MD5('{seed}' || ':' || {parts}), 1, 15))::BIGINT"
@@ -399,16 +405,15 @@ def a13(d: Domain):
 
 
 # -- U: unions and calendars -------------------------------------------------------------------
-_COUNTED = ("countries", "suppliers", "ports", "products", "purchase_orders", "shipments", "customer_orders",
-            "inventory", "weather_events", "political_risk_index", "fuel_prices")
+_NAMES = [t.name for t in TABLES]
 
 
-@register("u01_row_counts", "\n, counts AS (\n" + "\n  UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in _COUNTED) + """)
+@register("u01_row_counts", MODEL_SQL + ", counts AS (\n" + "\n  UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM m_{t}" for t in _NAMES) + """)
 SELECT table_name, row_count FROM counts
 UNION ALL SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM counts""")
 def u01(d: Domain):
-    return DQ.row_counts({t: getattr(d, t) for t in _COUNTED})
+    return DQ.row_counts(model_tables(d))
 
 
 @register("u04_zero_filled_trend", """
@@ -438,75 +443,62 @@ def f12(d: Domain):
 
 
 # -- D: data-quality audits -------------------------------------------------------------------
-_PKS = {"countries": ("country_id",), "suppliers": ("supplier_id",), "products": ("product_id",),
-        "purchase_orders": ("po_id",), "shipments": ("po_id", "line_no")}
-
-
-@register("d01_pk_duplicates", "\n" + "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, CONCAT_WS('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in ks)}) AS key_value, "
-    f"COUNT(*) AS occurrences FROM {t} GROUP BY {', '.join(ks)} HAVING COUNT(*) > 1"
-    for t, ks in _PKS.items()))
+@register("d01_pk_duplicates", MODEL_SQL + "\nUNION ALL\n".join(
+    f"SELECT '{t.name}' AS table_name, CONCAT_WS('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in t.pk)}) AS key_value, "
+    f"COUNT(*) AS occurrences FROM m_{t.name} GROUP BY {', '.join(t.pk)} HAVING COUNT(*) > 1" for t in TABLES))
 def d01(d: Domain):
-    return reduce(lambda a, b: a.unionByName(b), [DQ.pk_duplicates(getattr(d, t), ks, t) for t, ks in _PKS.items()])
+    tables = model_tables(d)
+    return reduce(lambda a, b: a.unionByName(b), [DQ.pk_duplicates(tables[t.name], t.pk, t.name) for t in TABLES])
 
 
-_FKS = (
-    DQ.ForeignKey("shipments", ("po_id",), "purchase_orders", ("po_id",)),
-    DQ.ForeignKey("shipments", ("origin_port_id",), "ports", ("port_id",)),
-    DQ.ForeignKey("suppliers", ("country_id",), "countries", ("country_id",)),
-    DQ.ForeignKey("ports", ("country_id",), "countries", ("country_id",)),
-    DQ.ForeignKey("purchase_orders", ("supplier_id",), "suppliers", ("supplier_id",)),
-    DQ.ForeignKey("purchase_orders", ("product_id",), "products", ("product_id",)),
-    DQ.ForeignKey("inventory", ("product_id",), "products", ("product_id",)),
-    DQ.ForeignKey("customer_orders", ("product_id",), "products", ("product_id",)),
-    DQ.ForeignKey("weather_events", ("country_id",), "countries", ("country_id",)),
-    DQ.ForeignKey("political_risk_index", ("country_id",), "countries", ("country_id",)),
-)
+_FKS = [DQ.ForeignKey(t.name, cols, parent, pcols) for t in TABLES for cols, parent, pcols in t.fks]
 
 
-@register("d02_fk_orphans", "\n" + "\nUNION ALL\n".join(
+@register("d02_fk_orphans", MODEL_SQL + "\nUNION ALL\n".join(
     f"SELECT '{f.child}' AS child_table, '{','.join(f.columns)}' AS fk_columns, '{f.parent}' AS parent_table, "
-    f"COUNT(*) AS orphan_rows FROM {f.child} ch WHERE ch.{f.columns[0]} IS NOT NULL AND NOT EXISTS "
-    f"(SELECT 1 FROM {f.parent} pa WHERE pa.{f.parent_columns[0]} = ch.{f.columns[0]})"
+    f"COUNT(*) AS orphan_rows FROM m_{f.child} ch WHERE ch.{f.columns[0]} IS NOT NULL AND NOT EXISTS "
+    f"(SELECT 1 FROM m_{f.parent} pa WHERE pa.{f.parent_columns[0]} = ch.{f.columns[0]})"
     for f in _FKS))
 def d02(d: Domain):
-    tables = {t: getattr(d, t) for t in {f.child for f in _FKS} | {f.parent for f in _FKS}}
-    return DQ.fk_audit(tables, _FKS)
+    return DQ.fk_audit(model_tables(d), _FKS)
 
 
-_NULL_AUDIT = {"shipments": ("po_id", "line_no", "product_id", "origin_port_id", "line_price", "ship_date",
-                             "delay_days", "delay_reason"),
-               "purchase_orders": ("po_id", "supplier_id", "product_id", "order_date", "quantity", "status")}
+_REQUIRED = {t.name: tuple(dict.fromkeys((*t.pk, *t.not_null))) for t in TABLES}
 
 
-@register("d03_null_audit", "\n" + "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_rows FROM {t}"
-    for t, cs in _NULL_AUDIT.items() for c in cs))
+@register("d03_null_audit", MODEL_SQL + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_rows FROM m_{t}"
+    for t, cs in _REQUIRED.items() for c in cs))
 def d03(d: Domain):
-    return reduce(lambda a, b: a.unionByName(b),
-                  [DQ.null_audit(getattr(d, t), t, cs) for t, cs in _NULL_AUDIT.items()])
-
-
-_REASONS = ("None", "Weather", "Port Congestion", "Political", "Operational")
-_RULES_SQL = (
-    ("reliability_0_100", "suppliers", "reliability_score BETWEEN 0 AND 100"),
-    ("base_risk_0_100", "countries", "base_risk_score BETWEEN 0 AND 100"),
-    ("congestion_0_100", "ports", "avg_congestion_score BETWEEN 0 AND 100"),
-    ("political_risk_0_100", "political_risk_index", "risk_score BETWEEN 0 AND 100"),
-    ("political_first_of_month", "political_risk_index", "DAY(month_year) = 1"),
-    ("severity_0_100", "weather_events", "severity_score BETWEEN 0 AND 100"),
-    ("delay_reason_enum", "shipments", f"delay_reason IN ({_sql_list(_REASONS)})"),
-    ("delay_days_non_negative", "shipments", "delay_days >= 0"),
-    ("po_quantity_positive", "purchase_orders", "quantity > 0"),
-)
-
-
-@register("d04_domain_rules", "\n" + "\nUNION ALL\n".join(
-    f"SELECT '{n}' AS rule_name, '{t}' AS table_name, COUNT(CASE WHEN NOT COALESCE({cond}, TRUE) THEN 1 END) "
-    f"AS violations FROM {t}" for n, t, cond in _RULES_SQL))
+    tables = model_tables(d)
+    return reduce(lambda a, b: a.unionByName(b), [DQ.null_audit(tables[t], t, cs) for t, cs in _REQUIRED.items()])
+
+
+# The declared value rules, and two that the model's loader relies on.
+_RULES_SQL = [*DOMAIN_RULES, ("shipments", "delay_days >= 0"), ("purchase_orders", "quantity > 0")]
+
+
+@register("d04_domain_rules", MODEL_SQL + "\nUNION ALL\n".join(
+    f"SELECT '{_quoted(cond)}' AS rule_name, '{t}' AS table_name, COUNT(CASE WHEN NOT COALESCE({cond}, TRUE) THEN 1 END) "
+    f"AS violations FROM m_{t}" for t, cond in _RULES_SQL))
 def d04(d: Domain):
-    rules = [DQ.Rule(n, t, F.expr(cond)) for n, t, cond in _RULES_SQL]
-    return DQ.domain_audit({t: getattr(d, t) for _, t, _ in _RULES_SQL}, rules)
+    return DQ.domain_audit(model_tables(d), [DQ.Rule(_quoted(cond), t, F.expr(cond)) for t, cond in _RULES_SQL])
+
+
+# Tables whose rows are those of one driver table.
+_SOURCES = {"countries": "nation", "suppliers": "supplier", "factories": "customer", "products": "part", "ports": "supplier",
+            "weather_events": "events", "news_events": "events", "purchase_orders": "orders", "shipments": "lineitem",
+            "customer_orders": "lineitem", "inventory": "lineitem"}
+
+
+@register("d06_reconcile", MODEL_SQL + "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM m_{t}) AS row_count, (SELECT COUNT(*) FROM {src}) AS expected_rows, "
+    f"(SELECT COUNT(*) FROM m_{t}) = (SELECT COUNT(*) FROM {src}) AS matches" for t, src in _SOURCES.items()))
+def d06(d: Domain):
+    tables = model_tables(d)
+    counts = DQ.row_counts({t: tables[t] for t in _SOURCES}, with_total=False)
+    expected = DQ.row_counts({t: d.t.read(src) for t, src in _SOURCES.items()}, with_total=False)
+    return DQ.reconcile(counts, expected.withColumnRenamed("row_count", "expected_rows"))
 
 
 # -- G: sampling ----------------------------------------------------------------------------
