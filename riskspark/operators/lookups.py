@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalar import month_key, portable_hash
-from riskspark.operators.windows import dense_position
+from riskspark.operators.windows import dense_position, id_range
 
 
 def lookup_default(df: DataFrame, table: DataFrame, on: Mapping[str, str], value: str, out: str,
@@ -69,7 +69,7 @@ def tiered_lookup(df: DataFrame, entity_key: str, candidates: DataFrame, value:
     groups = [g for _, g in tiers if g]
     order = [*reversed(groups), value]
     n = candidates.select(F.count(F.lit(1))).scalar()
-    pos = dense_position(candidates.select(*groups, value), order, "_pos")
+    pos = dense_position(candidates.select(*groups, value), order, [*order[:-1], id_range(value)], "_pos")
     h = portable_hash(F.col(entity_key), seed=seed)
     res = df
     idx = []

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalar import HASH_RANGE, portable_hash
-from riskspark.operators.windows import dense_position, top_n_per_group
+from riskspark.operators.windows import dense_position, id_range, top_n_per_group
 
 
 def sample_per_group(df: DataFrame, group: Sequence[str], key: Sequence[str], n: int,
@@ -28,12 +28,12 @@ def sample_with_replacement(draws: DataFrame, draw_key: str, population: DataFra
                             seed: int | str = 42, index_col: str = "_row") -> DataFrame:
     """For each draw row, one population row picked uniformly with replacement.
 
-    The population gets a dense 0..N-1 index (range-segmented, no single
-    partition); each draw maps to ``hash(seed:draw) % N``. The draw count
+    The population gets a dense 0..N-1 index in ``order``, whose first column is a
+    numeric id (ranges of it are numbered apart, no single partition); each draw maps to ``hash(seed:draw) % N``. The draw count
     is exact, unlike ``DataFrame.sample(True, f)`` which only approximates it.
     """
     n = population.select(F.count(F.lit(1))).scalar()
-    indexed = dense_position(population, list(order), index_col)
+    indexed = dense_position(population, list(order), [id_range(order[0])], index_col)
     picks = draws.withColumn(index_col, F.pmod(portable_hash(draw_key, seed=seed), F.greatest(n, F.lit(1))))
     return picks.join(indexed, index_col).drop(index_col)
 

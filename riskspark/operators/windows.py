@@ -5,24 +5,19 @@ Spark runs an un-partitioned window (``OVER (ORDER BY ..)``) through an
 give the same answers with work spread over many tasks.
 
 ``running_sum`` / ``dense_position``
-    Split the order into contiguous *segments* whose bounds are quantiles of
-    a small sample of the sort keys (what Spark's range partitioner does,
-    done once per query as a scalar subquery so that every branch of the
-    plan agrees). The segment id is a function of the row and those bounds
-    (a branchless binary search), so a retried task recomputes the same ids. Each segment is totalled with a
-    partial aggregate, the exclusive prefix over the totals (at most one row
-    per segment, a bounded broadcast) gives each segment's offset, and a
-    window partitioned by segment finishes the running sum. A key holding a
-    third of the rows is spread over many segments as long as the sort key
-    is unique (append key columns as tie-breaks). Past ``FLAT_SEGMENTS``
-    a second level of bounds is sampled per coarse segment on the
-    executors, so segment counts grow with the cluster, not the driver.
+    The caller names *segments*: nested pieces of the order that are pure
+    functions of a row and follow its order, such as (day, range of ids).
+    A partial aggregate gives each segment's total; the totals are summed up
+    level by level (over the first piece, then within it over the second,
+    ..), which gives each segment's offset; and a window within the segment
+    finishes the running sum. Two passes over the rows, nothing sampled
+    and nothing collected. A hot day or value is spread over its ranges.
 
 ``global_rank``
     Rank depends only on the value histogram: ``rank = 1 + rows with a
     better value``, ``dense_rank = 1 + distinct better values``. The
     histogram is built with a partial aggregate (skew-safe), ranked with
-    ``running_sum`` and joined back on the value.
+    ``running_sums`` and joined back on the value.
 
 ``latest_per_group``
     Max date per group (partial aggregate, skew-safe) joined back on
@@ -40,26 +35,12 @@ Sort keys are given as column names (ascending, nulls first) or
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.scalar import col_of
-from riskspark.session import shuffle_partitions
-
-_SEG = "_seg"
-SAMPLE_PER_SEGMENT = 64
-MAX_SAMPLE = 200_000
-# Up to FLAT_SEGMENTS, segment ids come from one array of sampled bounds (a
-# scalar subquery). Beyond that a second level is sampled per coarse
-# segment, up to MAX_SEGMENTS in total. Either way a row's id is a
-# branchless binary search: log2(bounds) small projections, so the
-# generated code does not grow with the bound count.
-FLAT_SEGMENTS = 1024
-MAX_SEGMENTS = 1 << 16
-# A descending text key cannot be re-expressed as an ascending one; its
-# bounds are compared column by column in one expression, so keep them few.
-TEXT_DESC_SEGMENTS = 128
 
 
 def _parse(key) -> tuple[str, bool]:
@@ -77,255 +58,76 @@ def _sort_cols(order: Sequence) -> list[Column]:
     return out
 
 
-def _after(name: str, asc: bool, bound) -> Column:
-    """Row value sorts strictly after ``bound`` in this column's order (never null)."""
-    c = F.col(name)
-    if bound is None:
-        return c.isNotNull() if asc else F.lit(False)
-    if asc:
-        return F.coalesce(c > F.lit(bound), F.lit(False))
-    return c.isNull() | F.coalesce(c < F.lit(bound), F.lit(False))
+def id_range(c: "str | Column", width: int = 1 << 24) -> Column:
+    """Number of the fixed-width range that a numeric id lies in: a segment piece."""
+    return F.floor(col_of(c) / F.lit(width))
 
 
-def _same(name: str, bound) -> Column:
-    c = F.col(name)
-    return c.isNull() if bound is None else F.coalesce(c == F.lit(bound), F.lit(False))
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
 
 
-def _row_after(keys: list[tuple[str, bool]], bound: tuple) -> Column:
-    """Lexicographic: the row sorts strictly after the bound tuple."""
-    expr = F.lit(False)
-    for i in range(len(keys) - 1, -1, -1):
-        name, asc = keys[i]
-        expr = _after(name, asc, bound[i]) | (_same(name, bound[i]) & expr)
-    return expr
-
+def _offsets(totals: DataFrame, pieces: Sequence, sums: Sequence[str]) -> DataFrame:
+    """Per segment, the sums over all segments before it: level by level, so that no window holds more than
+    the values of one piece within one value of the pieces above it."""
+    names = [p if isinstance(p, str) else p[0] for p in pieces]
+    out = None
+    for i, piece in enumerate(pieces):
+        level = totals if i == len(pieces) - 1 else totals.groupBy(*names[:i + 1]).agg(*[F.sum(t).alias(t) for t in sums])
+        prior = Window.partitionBy(*names[:i]).orderBy(*_sort_cols([piece])).rowsBetween(Window.unboundedPreceding, -1)
+        level = level.select(*names[:i + 1], *[F.coalesce(F.sum(t).over(prior), F.lit(0)).alias(t) for t in sums])
+        if out is not None:
+            above = out.select(*[F.col(n).alias(f"_a{n}") for n in names[:i]], *[F.col(t).alias(f"_a{t}") for t in sums])
+            level = level.join(above, _same(names[:i], [f"_a{n}" for n in names[:i]])).select(
+                *names[:i + 1], *[(F.col(t) + F.col(f"_a{t}")).alias(t) for t in sums])
+        out = level
+    return out
 
-def segment_bounds(df: DataFrame, order: Sequence, segments: int, seed: int = 7,
-                   n: int | None = None) -> list[tuple]:
-    """Up to ``segments - 1`` sorted bound tuples from a bounded sample, collected to the driver.
 
-    Only for orders with a descending text key (see ``segment_of``), with at
-    most ``TEXT_DESC_SEGMENTS`` bounds; every other order samples its bounds
-    on the executors (``_sampled_bounds``).
-    """
-    keys = [_parse(k)[0] for k in order]
-    n = df.count() if n is None else n
-    if n == 0 or segments <= 1:
-        return []
-    frac = min(1.0, min(MAX_SAMPLE, SAMPLE_PER_SEGMENT * segments) / n)
-    # The sample is bounded (at most MAX_SAMPLE rows): one task sorts it; the scan stays parallel.
-    sample = (df.select(*keys).sample(False, frac, seed).repartition(1)
-              .sortWithinPartitions(*_sort_cols(order)).collect())
-    if not sample:
-        return []
-    bounds: list[tuple] = []
-    for s in range(1, segments):
-        b = tuple(sample[min(len(sample) - 1, s * len(sample) // segments)])
-        if not bounds or bounds[-1] != b:
-            bounds.append(b)
-    return bounds
-
-
-def segment_of(order: Sequence, bounds: list[tuple]) -> Column:
-    """Segment id for keys that cannot be compared as one ascending struct (a descending text key):
-    a binary search over the bounds, compared column by column. Used with few bounds only."""
-    keys = [_parse(k) for k in order]
-
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(_row_after(keys, bounds[mid]), search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, len(bounds))
-
-
-def _ascending_keys(df: DataFrame, order: Sequence) -> tuple[DataFrame, list[str], list[str]] | None:
-    """Re-express the order with ascending-only columns, or None if a descending key is not numeric.
-
-    A descending key becomes (is null, [not NaN,] reversed value): nulls last,
-    NaN first (Spark sorts NaN above every number), then larger values
-    first. Integers are reversed with bitwise NOT (no overflow), dates by
-    negated day number, other numbers by negation.
-    """
-    types = dict((f.name, f.dataType) for f in df.schema.fields)
-    added: list[str] = []
-    names: list[str] = []
-    out = df
-    for i, k in enumerate(order):
-        name, asc = _parse(k)
-        if asc:
-            names.append(name)
-            continue
-        t = types[name].simpleString()
-        c = F.col(name)
-        if t in ("tinyint", "smallint", "int", "bigint"):
-            rev = F.bitwise_not(c)
-        elif t in ("float", "double") or t.startswith("decimal"):
-            rev = -c
-        elif t == "date":
-            rev = -F.datediff(c, F.lit("1970-01-01").cast("date"))
-        else:
-            return None
-        parts = [(f"_k{i}_null", c.isNull())]
-        if t in ("float", "double"):
-            parts.append((f"_k{i}_num", ~F.isnan(c)))
-        parts.append((f"_k{i}_rev", rev))
-        for col_name, expr in parts:
-            out = out.withColumn(col_name, expr)
-            added.append(col_name)
-            names.append(col_name)
-    return out, names, added
-
-
-def _locate(df: DataFrame, row: Column, bounds: Column, size: int, out: str) -> DataFrame:
-    """``out`` = how many of the ``size`` sorted ``bounds`` the row sorts after.
-
-    Branchless binary search: one projection per power of two. Each step
-    reads the previous position twice, so Catalyst keeps the steps apart
-    and the plan stays O(log size) however many bounds there are.
-    """
-    res = df.withColumn(out, F.lit(0))
-    if size <= 0:
-        return res
-    step = 1
-    while step * 2 <= size:
-        step *= 2
-    while step >= 1:
-        nxt = F.col(out) + step
-        probe = F.when(nxt <= size, row > F.element_at(bounds, nxt))
-        res = res.withColumn(out, F.col(out) + F.when(F.coalesce(probe, F.lit(False)), F.lit(step)).otherwise(0))
-        step //= 2
-    return res
-
-
-def with_segments(df: DataFrame, order: Sequence, num_segments: int | None = None,
-                  flat_limit: int = FLAT_SEGMENTS, seed: int = 7, row_count: int | None = None) -> tuple[DataFrame, int]:
-    """Tag rows with an order-contiguous segment id ``_seg``; returns (frame, segment count).
-
-    Flat: a branchless binary search over at most ``flat_limit`` bounds
-    sampled on the executors (a scalar subquery; nothing runs before the
-    query does). Two-level (more segments; descending numeric and date keys
-    are first re-expressed as ascending ones): coarse ids as in
-    the flat case; then each coarse segment's sample (bounded: about
-    64 x fine width rows per segment) is sorted on the executors with
-    ``array_sort`` and cut into fine bounds, a table of one row per coarse
-    segment that is broadcast; a row's fine id is a binary search over its
-    coarse segment's bounds. Ids stay a pure function of the row.
-    """
-    want = max(1, min(MAX_SEGMENTS, num_segments or shuffle_partitions(df.sparkSession)))
-    encoded = _ascending_keys(df, order)
-    if encoded is None:        # a descending text key: few bounds, compared column by column
-        bounds = segment_bounds(df, order, min(want, TEXT_DESC_SEGMENTS), seed, row_count)
-        return df.withColumn(_SEG, segment_of(order, bounds)), len(bounds) + 1
-    enc, enc_order, added = encoded
-    seg, count = _ascending_segments(enc, enc_order, want, flat_limit, seed)
-    return seg.drop(*added), count
-
-
-def _sampled_bounds(df: DataFrame, names: list[str], segments: int, seed: int) -> Column:
-    """Scalar subquery: ``segments - 1`` sorted bound structs, quantiles of a bounded sample.
-
-    Runs on the executors when the query runs: a seeded Bernoulli sample of
-    about ``SAMPLE_PER_SEGMENT`` rows per segment (capped at ``MAX_SAMPLE``),
-    sorted in one bounded aggregate, then evenly spaced picks. Nothing is
-    collected to the driver, and a query execution computes it once.
-    """
-    row = F.struct(*[F.col(k) for k in names])
-    n = df.select(F.count(F.lit(1))).scalar()
-    target = float(min(MAX_SAMPLE, SAMPLE_PER_SEGMENT * segments))
-    frac = F.least(F.lit(1.0), F.lit(target) / F.greatest(n, F.lit(1)))
-    sample = df.select(row.alias("_k")).where(F.rand(seed) < frac)
-    picks = F.transform(F.sequence(F.lit(1), F.lit(segments - 1)),
-                        lambda j: F.element_at("_s", F.floor(j * F.size("_s") / segments).cast("int") + 1))
-    return (sample.agg(F.array_sort(F.collect_list("_k")).alias("_s"))
-            .select(F.when(F.size("_s") > 0, picks).alias("_b")).scalar())
-
-
-def _ascending_segments(df: DataFrame, order: list[str], want: int, flat_limit: int, seed: int) -> tuple[DataFrame, int]:
-    row = F.struct(*[F.col(k) for k in order])
-    coarse = min(want, flat_limit)
-    if coarse <= 1:
-        return df.withColumn(_SEG, F.lit(0)), 1
-    tagged = _locate(df, row, _sampled_bounds(df, order, coarse, seed), coarse - 1, "_c")
-    if want <= flat_limit:
-        return tagged.withColumnRenamed("_c", _SEG), coarse
-    width = -(-want // coarse)                         # fine segments per coarse segment
-    n = df.select(F.count(F.lit(1))).scalar()
-    frac = F.least(F.lit(1.0), F.lit(float(SAMPLE_PER_SEGMENT * width * coarse)) / F.greatest(n, F.lit(1)))
-    sample = (tagged.select("_c", row.alias("_k")).where(F.rand(seed + 1) < frac)
-              .groupBy("_c").agg(F.array_sort(F.collect_list("_k")).alias("_s")))
-    picks = [F.element_at("_s", (F.size("_s") * j / width).cast("int") + 1) for j in range(1, width)]
-    fine = sample.select("_c", F.array(*picks).alias("_fb"))
-    # One row per coarse segment holding width-1 bounds: bounded by the segment count.
-    located = _locate(tagged.join(F.broadcast(fine), "_c", "left"), row, F.col("_fb"), width - 1, "_f")
-    seg = (located.withColumn(_SEG, F.col("_c") * width + F.when(F.col("_fb").isNull(), F.lit(0))
-                              .otherwise(F.col("_f")))
-           .drop("_c", "_fb", "_f"))
-    return seg, coarse * width
-
-
-def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Sequence,
-                 num_segments: int | None = None, exclusive: bool = False, ordered: bool = False,
-                 flat_limit: int = FLAT_SEGMENTS, row_count: int | None = None, seed: int = 7) -> DataFrame:
+def running_sums(df: DataFrame, values: Mapping[str, "str | Column"], order: Sequence, segments: Sequence,
+                 exclusive: bool = False) -> DataFrame:
     """Global running sums ``SUM(v) OVER (ORDER BY order ROWS UNBOUNDED PRECEDING)`` for each ``out: v``.
 
     ``order`` must be a total order for the result to be deterministic,
     exactly as for the plain window; ``exclusive`` stops one row earlier.
-
-    ``ordered=True`` range-partitions by segment id instead of hashing it:
-    partitions then hold consecutive segments, each sorted by the window,
-    so the result is already in ``order`` (no second global sort needed)
-    and is written or collected in that order.
+    ``segments``: columns, or ``(column, "desc")``, that sort the rows as a
+    prefix of ``order`` does; any choice gives the same sums.
     """
-    tmp = {out: f"_v_{i}" for i, out in enumerate(values)}
-    base = df.select("*", *[col_of(v).alias(tmp[o]) for o, v in values.items()])
-    seg, segments = with_segments(base, order, num_segments, flat_limit, seed=seed, row_count=row_count)
-    totals = seg.groupBy(_SEG).agg(*[F.sum(t).alias(f"_t{t}") for t in tmp.values()])
-    # One row per segment: the single-partition window and the broadcast
-    # below are bounded by the segment count (at most MAX_SEGMENTS), not by the data.
-    prior = Window.orderBy(_SEG).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(_SEG, *[F.coalesce(F.sum(f"_t{t}").over(prior), F.lit(0)).alias(f"_o{t}")
-                                    for t in tmp.values()])
-    frame = (Window.partitionBy(_SEG).orderBy(*_sort_cols(order))
+    tmp = {out: f"_v{i}" for i, out in enumerate(values)}
+    pieces = [p if isinstance(p, tuple) else (p, "asc") for p in segments]
+    names = [f"_s{i}" for i in range(len(pieces))]
+    keyed = [n if way == "asc" else (n, way) for n, (_, way) in zip(names, pieces)]
+    base = df.select("*", *[col_of(v).alias(tmp[o]) for o, v in values.items()], *[col_of(p).alias(n) for n, (p, _) in zip(names, pieces)])
+    totals = base.groupBy(*names).agg(*[F.sum(t).alias(t) for t in tmp.values()])
+    before = _offsets(totals, keyed, list(tmp.values()))
+    before = before.select(*[F.col(n).alias(f"_o{n}") for n in names], *[F.col(t).alias(f"_o{t}") for t in tmp.values()])
+    frame = (Window.partitionBy(*names).orderBy(*_sort_cols(order))
              .rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow))
-    out = seg.join(F.broadcast(offsets), _SEG)
-    if ordered:
-        out = out.repartitionByRange(segments, _SEG)
+    out = base.join(before, _same(names, [f"_o{n}" for n in names]))
     for o, t in tmp.items():
         local = F.sum(t).over(frame)
-        if exclusive:
-            local = F.coalesce(local, F.lit(0))
-        out = out.withColumn(o, F.col(f"_o{t}") + local)
-    return out.drop(_SEG, *tmp.values(), *[f"_o{t}" for t in tmp.values()])
+        out = out.withColumn(o, F.col(f"_o{t}") + (F.coalesce(local, F.lit(0)) if exclusive else local))
+    return out.drop(*names, *tmp.values(), *[f"_o{x}" for x in (*names, *tmp.values())])
 
 
-def running_sum(df: DataFrame, value: "str | Column", order: Sequence, out: str,
-                num_segments: int | None = None, exclusive: bool = False, ordered: bool = False,
-                flat_limit: int = FLAT_SEGMENTS) -> DataFrame:
-    return running_sums(df, {out: value}, order, num_segments, exclusive, ordered, flat_limit)
+def running_sum(df: DataFrame, value: "str | Column", order: Sequence, out: str, segments: Sequence,
+                exclusive: bool = False) -> DataFrame:
+    return running_sums(df, {out: value}, order, segments, exclusive)
 
 
-def dense_position(df: DataFrame, order: Sequence, out: str = "row_index",
-                   num_segments: int | None = None, start: int = 0, row_count: int | None = None) -> DataFrame:
-    """Dense ``start``-based row index in a total order, without a single partition.
-
-    ``row_count`` (the row count of ``df``, if the caller has it) saves a pass.
-    """
-    res = running_sums(df, {out: F.lit(1).cast("bigint")}, order, num_segments, exclusive=True,
-                       row_count=row_count)
+def dense_position(df: DataFrame, order: Sequence, segments: Sequence, out: str = "row_index", start: int = 0) -> DataFrame:
+    """Dense ``start``-based row index in a total order, without a single partition."""
+    res = running_sums(df, {out: F.lit(1).cast("bigint")}, order, segments, exclusive=True)
     return res.withColumn(out, F.col(out) + F.lit(start)) if start else res
 
 
 def global_rank(df: DataFrame, score: str, descending: bool = True, rank_col: str = "rank",
-                dense_col: str = "dense_rank", num_segments: int | None = None) -> DataFrame:
-    """``RANK()`` and ``DENSE_RANK()`` over the whole table, computed from the value histogram."""
+                dense_col: str = "dense_rank") -> DataFrame:
+    """``RANK()`` and ``DENSE_RANK()`` over the whole table, computed from the histogram of a numeric score."""
     hist = df.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
     # Null scores sort last for DESC and first for ASC (Spark, SQL Server, DuckDB agree for DESC).
-    key = (score, "desc") if descending else score
-    ranked = running_sums(hist, {"_before": "_n", "_dense": F.lit(1).cast("bigint")}, [key], num_segments,
-                          exclusive=True)
+    key, piece = ((score, "desc"), (F.floor(score), "desc")) if descending else (score, F.floor(score))
+    ranked = running_sums(hist, {"_before": "_n", "_dense": F.lit(1).cast("bigint")}, [key], [piece], exclusive=True)
     ranked = ranked.select(
         F.col(score).alias("_score"),
         (F.col("_before") + 1).cast("bigint").alias(rank_col),

@@ -173,8 +173,7 @@ def explode_variants(items: DataFrame, category: str, item_id: str, item_name: s
     exploded = items.select(category, item_id, item_name,
                             F.posexplode(F.array(*[F.lit(v) for v in variants])).alias("variant_pos", "variant"))
     exploded = exploded.withColumn("variant_name", F.concat(F.col(item_name), F.lit(" - "), F.col("variant")))
-    numbered = dense_position(exploded, [category, item_id, "variant_pos"], "catalog_id",
-                              start=1)
+    numbered = dense_position(exploded, [category, item_id, "variant_pos"], [category, item_id], "catalog_id", start=1)
     if cap is not None:
         numbered = numbered.where(F.col("catalog_id") <= cap)
     return numbered.select(category, item_id, "variant", "variant_name", "catalog_id")

@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from riskspark.sources.bindings import Domain
 
-_LINE_ID = F.col("l_orderkey") * 10 + F.col("l_linenumber")
 _PAIR = 10_000_000        # ids of the second table of a pair lie below this
 _STATUS = {"O": "Pending", "P": "Shipped", "F": "Received"}
 
 
+def _line_id():
+    return F.col("l_orderkey") * 10 + F.col("l_linenumber")
+
+
 def _month_no(c: str):
     return F.year(c) * 12 + F.month(c)
 
@@ -28,7 +31,7 @@ def _month_no(c: str):
 def model_tables(d: Domain) -> dict[str, DataFrame]:
     li, o = d.t.lineitem, d.t.orders
     lines = li.select(
-        _LINE_ID.alias("line_id"), F.col("l_orderkey").alias("po_id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("supplier_id"),
+        _line_id().alias("line_id"), F.col("l_orderkey").alias("po_id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("supplier_id"),
         F.col("l_linenumber").alias("warehouse_id"), F.to_date("l_shipdate").alias("ship_date"), "l_quantity", "l_returnflag")
     sold = li.join(o, li.l_orderkey == o.o_orderkey)
     status = F.create_map(*[F.lit(x) for kv in _STATUS.items() for x in kv])
@@ -66,7 +69,7 @@ def model_tables(d: Domain) -> dict[str, DataFrame]:
             F.greatest(F.col("l_quantity") - 30, F.lit(0)).cast("int").alias("delay_days"),
             F.when(F.col("l_quantity") <= 30, "None").when(F.col("l_returnflag") == "R", "Weather")
             .when(F.col("l_returnflag") == "A", "Port Congestion").otherwise("Political").alias("delay_reason")),
-        "customer_orders": sold.select(_LINE_ID.alias("order_id"), F.col("l_partkey").alias("product_id"),
+        "customer_orders": sold.select(_line_id().alias("order_id"), F.col("l_partkey").alias("product_id"),
                                        F.col("l_linenumber").alias("warehouse_id"), F.to_date("o_orderdate").alias("order_date")),
         "inventory": lines.select(F.col("line_id").alias("inventory_id"), "product_id", "warehouse_id", F.col("ship_date").alias("snapshot_date")),
         "returns": lines.where("l_returnflag = 'R'").select(F.col("line_id").alias("return_id"), F.col("line_id").alias("order_id"), "l_quantity"),

@@ -39,7 +39,7 @@ def test_global_rank_matches_plain_window_with_hot_value(spark):
     # a third of the rows share one score
     data = [(i, 50 if i % 3 == 0 else i % 97) for i in range(3000)]
     df = spark.createDataFrame(data, "id int, score int")
-    ours = W.global_rank(df, "score", descending=True, num_segments=16)
+    ours = W.global_rank(df, "score", descending=True)
     plain = df.select("id", F.rank().over(Window.orderBy(F.desc("score"))).alias("r"),
                       F.dense_rank().over(Window.orderBy(F.desc("score"))).alias("d"))
     assert rows(ours, "id", "rank", "dense_rank") == rows(plain, "id", "r", "d")
@@ -50,7 +50,7 @@ def test_running_sum_matches_window_and_total(spark):
     # one day holds a third of the rows
     data = [(D(2020, 1, 1) if i % 3 == 0 else D(2020, 1, 2) + dt.timedelta(days=i % 50), i, (i * 7) % 11) for i in range(4000)]
     df = spark.createDataFrame(data, "d date, k int, v int")
-    ours = W.running_sum(df, "v", ["d", "k"], "run", num_segments=12)
+    ours = W.running_sum(df, "v", ["d", "k"], "run", ["d", W.id_range("k", 300)])
     plain = df.withColumn("run", F.sum("v").over(Window.orderBy("d", "k").rowsBetween(Window.unboundedPreceding, 0)))
     assert rows(ours, "k", "run") == rows(plain, "k", "run")
     total = df.agg(F.sum("v")).first()[0]
@@ -60,7 +60,7 @@ def test_running_sum_matches_window_and_total(spark):
 def test_running_sum_descending_with_nulls(spark):
     data = [(None, 1), (5, 2), (5, 3), (None, 4), (1, 5), (9, 6)]
     df = spark.createDataFrame(data, "s int, k int")
-    ours = W.running_sum(df, F.lit(1), [("s", "desc"), "k"], "pos", num_segments=3)
+    ours = W.running_sum(df, F.lit(1), [("s", "desc"), "k"], "pos", [("s", "desc"), W.id_range("k", 2)])
     plain = df.withColumn("pos", F.count(F.lit(1)).over(
         Window.orderBy(F.col("s").desc_nulls_last(), "k").rowsBetween(Window.unboundedPreceding, 0)))
     assert rows(ours, "k", "pos") == rows(plain, "k", "pos")
@@ -207,20 +207,14 @@ def test_portable_hash_matches_duckdb(spark):
     assert [r.h for r in got] == [w[0] for w in want]
 
 
-def test_two_level_segments_match_window(spark):
-    # a hot day with a third of the rows, more segments than the flat limit
-    data = [(D(2020, 1, 1) if i % 3 == 0 else D(2020, 1, 2) + dt.timedelta(days=i % 40), i, (i * 5) % 13)
+def test_hot_day_is_split_and_nulls_keep_their_place(spark):
+    data = [(None if i % 11 == 0 else D(2020, 1, 1) if i % 3 == 0 else D(2020, 1, 2) + dt.timedelta(days=i % 40), i, (i * 5) % 13)
             for i in range(5000)]
     df = spark.createDataFrame(data, "d date, k int, v int")
-    seg, count = W.with_segments(df, ["d", "k"], num_segments=40, flat_limit=4)
-    assert count > 4
-    sizes = [r["count"] for r in seg.groupBy("_seg").count().collect()]
-    assert max(sizes) < 5000 / 3          # the hot day is split over several segments
-    ours = W.running_sum(df, "v", ["d", "k"], "run", num_segments=40, flat_limit=4, ordered=True)
     plain = df.withColumn("run", F.sum("v").over(Window.orderBy("d", "k").rowsBetween(Window.unboundedPreceding, 0)))
-    assert rows(ours, "k", "run") == rows(plain, "k", "run")
-    got = [(r.d, r.k) for r in ours.collect()]
-    assert got == sorted(got)                 # ordered layout is globally sorted
+    want = rows(plain, "k", "run")
+    for segments in (["d"], ["d", W.id_range("k", 500)], [F.year("d"), "d", W.id_range("k", 64)]):
+        assert rows(W.running_sum(df, "v", ["d", "k"], "run", segments), "k", "run") == want
 
 
 def test_top_delays_dataframe_form_equals_sql_over_view(spark):
@@ -250,26 +244,14 @@ def test_decimal_widening_reference_types(spark):
     assert summary.first().order_value == Decimal("1124975.00")
 
 
-def test_descending_keys_two_level_with_nulls_and_nan(spark):
-    import math
-
-    vals = [None, float("nan"), 3.5, -1.0, 0.0, 2.25, None, 3.5, float("nan"), 10.0]
-    data = [(vals[i % len(vals)], i, D(2020, 1, 1) + dt.timedelta(days=i % 17), i % 7) for i in range(600)]
-    df = spark.createDataFrame(data, "x double, k int, d date, v int")
-    order = [("x", "desc"), ("d", "desc"), "k"]
-    ours = W.running_sum(df, "v", order, "run", num_segments=24, flat_limit=3, ordered=True)
-    plain = df.withColumn("run", F.sum("v").over(
-        Window.orderBy(F.col("x").desc_nulls_last(), F.col("d").desc_nulls_last(), "k")
-        .rowsBetween(Window.unboundedPreceding, 0)))
-    assert rows(ours, "k", "run") == rows(plain, "k", "run")
-    runs = [r.run for r in ours.collect()]
-    assert runs == sorted(runs)                      # ordered layout follows the descending order
-    assert math.isnan(ours.first().x)                # NaN sorts first when descending
+def test_dense_position_is_gapless(spark):
+    df = spark.createDataFrame([(i % 7, i) for i in range(1000)], "g int, k long")
+    got = rows(W.dense_position(df, ["g", "k"], ["g", W.id_range("k", 100)], "pos", start=1), "g", "k", "pos")
+    assert [p for _, _, p in got] == list(range(1, 1001))
 
 
-def test_results_do_not_depend_on_segment_bounds(spark):
+def test_results_do_not_depend_on_segments(spark):
     data = [(D(2020, 1, 1) + dt.timedelta(days=i % 9), i, (i * 11) % 5) for i in range(3000)]
     df = spark.createDataFrame(data, "d date, k int, v int")
-    outs = [rows(W.running_sums(df, {"run": "v"}, ["d", "k"], num_segments=segs, flat_limit=4, seed=seed), "k", "run")
-            for seed, segs in ((1, 3), (99, 12), (12345, 30))]
+    outs = [rows(W.running_sums(df, {"run": "v"}, ["d", "k"], ["d", W.id_range("k", w)]), "k", "run") for w in (7, 100, 10**9)]
     assert outs[0] == outs[1] == outs[2]

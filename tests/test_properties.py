@@ -16,10 +16,10 @@ rows_st = st.lists(st.tuples(st.integers(0, 5) | st.none(), st.integers(-20, 20)
 
 
 @SETTINGS
-@given(data=rows_st, segments=st.integers(1, 9), flat_limit=st.integers(1, 8))
-def test_running_sum_equals_window(spark, data, segments, flat_limit):
+@given(data=rows_st, width=st.integers(1, 70))
+def test_running_sum_equals_window(spark, data, width):
     df = spark.createDataFrame([(g, i, v) for i, (g, v) in enumerate(data)], "g int, k int, v int")
-    ours = W.running_sum(df, "v", ["g", "k"], "run", num_segments=segments, flat_limit=flat_limit)
+    ours = W.running_sum(df, "v", ["g", "k"], "run", ["g", W.id_range("k", width)])
     plain = df.withColumn("run", F.sum("v").over(Window.orderBy(F.col("g").asc_nulls_first(), "k")
                                                   .rowsBetween(Window.unboundedPreceding, 0)))
     assert sorted((r.k, r.run) for r in ours.collect()) == sorted((r.k, r.run) for r in plain.collect())
@@ -29,10 +29,10 @@ def test_running_sum_equals_window(spark, data, segments, flat_limit):
 
 
 @SETTINGS
-@given(scores=st.lists(st.integers(0, 8) | st.none(), min_size=1, max_size=50), segments=st.integers(1, 6))
-def test_global_rank_equals_window(spark, scores, segments):
+@given(scores=st.lists(st.integers(0, 8) | st.none(), min_size=1, max_size=50))
+def test_global_rank_equals_window(spark, scores):
     df = spark.createDataFrame(list(enumerate(scores)), "id int, s int")
-    ours = W.global_rank(df, "s", descending=True, num_segments=segments)
+    ours = W.global_rank(df, "s", descending=True)
     w = Window.orderBy(F.col("s").desc_nulls_last())
     plain = df.select("id", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"))
     assert sorted((r.id, r["rank"], r.dense_rank) for r in ours.collect()) == \
@@ -58,7 +58,7 @@ def test_running_delay_last_row_is_total(spark, delays):
     sh = spark.createDataFrame([(base + dt.timedelta(days=i % 7), i, 1, 1, 1, 1.0, d) for i, d in enumerate(delays)],
                                "ship_date date, po_id long, line_no int, product_id long, origin_port_id long, "
                                "line_price double, delay_days int")
-    out = Q.running_delay(sh, num_segments=4).collect()
+    out = Q.running_delay(sh, id_width=4).collect()
     assert [r.running_total_delay_days for r in out] == sorted(r.running_total_delay_days for r in out)
     assert out[-1].running_total_delay_days == sum(delays)
 
