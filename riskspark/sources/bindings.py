@@ -10,10 +10,9 @@ the prefix of every DuckDB oracle (``riskspark.plans.oracle.BINDING_SQL``).
 Scale notes
 -----------
 * ``countries`` comes from ``nation`` x ``region`` (25 and 5 rows by the
-  TPC-H definition), so it is the one dimension we broadcast explicitly.
-  Every other join is left to Catalyst's size estimate plus AQE, which
-  broadcast at run time when a side is measured small and otherwise use a
-  sort-merge join with skew splitting.
+  TPC-H definition). Every join is left to Catalyst's size estimate plus AQE,
+  which broadcasts a side that is small and otherwise uses a sort-merge join
+  with skew splitting.
 * ``purchase_orders`` aggregates lineitem by order key *before* joining
   orders: the partial aggregate shrinks lineitem ~4x before the shuffle,
   and the join then reuses the aggregate's hash partitioning.
@@ -62,7 +61,7 @@ class Domain:
     @cached_property
     def countries(self) -> DataFrame:
         n, r = self.t.nation, self.t.region
-        return (n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+        return (n.join(r, n.n_regionkey == r.r_regionkey)
                 .select(F.col("n_nationkey").alias("country_id"),
                         F.col("n_name").alias("country_name"),
                         F.col("r_name").alias("region"),

@@ -61,13 +61,13 @@ def shape(plan: str) -> dict:
 
 def main() -> None:
     from riskspark.session import local_session
-    import __spark_entry__ as E
+    from riskspark.plans import catalog
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = sys.argv[2] if len(sys.argv) > 2 else "PLANS.md"
     spark = local_session()
     rows = []
-    for key, fn in sorted(E.queries().items()):
+    for key, fn in sorted(catalog.query_callables().items()):
         rows.append((key, shape(fn(spark, sf)._jdf.queryExecution().executedPlan().toString())))
     with open(out, "w") as f:
         f.write("# Plan shapes\n\n")
