@@ -5,9 +5,10 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF01
 from oracle_harness import check
+from riskspark.plans import catalog
 
-KEYS = sorted(E.queries())
-SQL = E.oracle_sql()
+KEYS = sorted(catalog.query_callables())
+SQL = catalog.oracle_sql()
 
 
 def test_every_key_has_an_oracle():
