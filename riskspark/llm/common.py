@@ -8,8 +8,8 @@ are freed when the write ends.
 
 from __future__ import annotations
 
+import io
 import os
-import tempfile
 import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,19 +27,25 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per application, so that tasks import it wherever they run."""
+    """Give the executors this package, by way of the shared folder and once per application, so that tasks
+    import it wherever they run."""
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="riskspark-"), "riskspark.zip")
-    with zipfile.ZipFile(archive, "w") as z:
+    root, data = os.path.dirname(os.path.dirname(os.path.abspath(__file__))), io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
         for folder, _, files in os.walk(root):
             for f in sorted(files):
                 if f.endswith(".py"):
                     path = os.path.join(folder, f)
                     z.write(path, os.path.join("riskspark", os.path.relpath(path, root)))
-    sc.addPyFile(archive)
+    target = sc._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "package"), "riskspark.zip")
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(data.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target.toString())
     _shipped.add(sc.applicationId)
 
 
