@@ -72,7 +72,7 @@ def _probes(sizes: list[int]) -> Column:
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", doc_id: str = "doc_id",
               broadcast_rows: int = BROADCAST_ROWS, scratch: Scratch | None = None) -> DataFrame:
-    """One row per distinct (doc_id, text): doc_id, text_key, n_words, n_hit, items (sorted), spans.
+    """One row per row of ``docs``: doc_id, text_key, n_words, n_hit, items (sorted), spans.
 
     ``spans``: the hit word ranges (first, end), merged and in order.
     """
@@ -104,7 +104,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "t
         F.array_sort(F.collect_set(F.struct("first", (F.col("first") + F.col("size")).alias("end")))).alias("ranges"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     hits = scratch.save(hits.select("doc_id", "text_key", "items", _merged("ranges").alias("spans")), "hits")
-    base = counted.select("doc_id", "text_key", "n_words").dropDuplicates(["doc_id", "text_key"])
+    base = counted.select("doc_id", "text_key", "n_words")
     on = base["doc_id"].eqNullSafe(hits["doc_id"]) & (base["text_key"] == hits["text_key"])
     words_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, x: total + x["end"] - x["first"])
     return base.join(hits, on, "left").select(
@@ -139,6 +139,7 @@ def remove(docs: DataFrame, benchmark: DataFrame, n: int = 10, mode: str = "docu
         return rows.join(hits, on, "left_anti").select("row.*")
     if mode != "span":
         raise ValueError("mode is 'document' or 'span'")
+    hits = hits.dropDuplicates(["_hit_id", "_hit_key"])           # repeated rows have the same hits
     w = item_words(F.col("row.text"))
     left = F.filter(w, lambda _, i: ~F.exists("_hit_spans", lambda s: (i >= s["first"]) & (i < s["end"])))
     text = F.when(F.col("_hit_id").isNull() & F.col("_hit_key").isNull(), F.col("row.text")).otherwise(F.array_join(left, " "))

@@ -72,3 +72,16 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert [(r.n_words, r.n_hit) for r in dc.find_hits(docs, none).collect()] == [(2, 0)]
     assert dc.find_hits(docs.limit(0), spark.createDataFrame([(1, "a")], "item_id long, text string")).count() == 0
+
+
+def test_repeated_rows_each_have_their_result(spark):
+    docs, items = fixture(7)
+    again = docs + [d for d in docs[:40] for _ in range(2)] + [(None, items[3][1])] * 3 + [(None, None)] * 2
+    frame = spark.createDataFrame(again, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted((str(r.doc_id), r.n_words, r.n_hit, r["items"]) for r in dc.find_hits(frame, bench, 10).collect())
+    assert got == sorted((str(d), *brute([(d, t)], items, 10)[d]) for d, t in again)
+    for mode in ("document", "span"):
+        left = dc.remove(frame, bench, mode=mode)
+        clean = [(d, t) for d, t in again if not brute([(d, t)], items, 10)[d][1]]
+        assert left.count() == (len(clean) if mode == "document" else len(again))
