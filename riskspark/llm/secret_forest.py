@@ -7,7 +7,8 @@
    most (mean d) / min_share words, however large the corpus, and is sent to
    the tasks, as is the fixed table of transitions.
 2. ``candidates`` reads all documents again: every run of key characters
-   that is long (16) or holds a digit (8) is a candidate, with its place and
+   that is long (16) or holds a digit (8) is a candidate, and so is every value
+   assigned to a key, token or password, of any length and signs, with its place and
    features: length, character classes, entropy, mean log-probability of
    its transitions, share covered by dictionary words, path shape, and the
    words and signs next to it.
@@ -54,6 +55,8 @@ _HINTS = re.compile(r"(key|token|secret|passw|pwd|auth|cred|api|bearer)", re.I)
 _ISSUED = re.compile(r"(AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})")
 _HEX = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
 _ASSIGNED = re.compile(r"(token|password|passwd|secret|api_key|apikey)\s*[=:]\s*[\"']?$", re.I)
+_VALUE = re.compile(r"(?:key|token|secret|passw|pwd|auth|cred|api|bearer)\w*[\"']?\s*[=:]+[ \t]*(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"'][^\s]*))", re.I)
+_HINTED = re.compile(r"(key|token|secret|passw|pwd|auth|cred|api|bearer)\w*[\"']?\s*[=:]+\s*[\"']?$", re.I)
 _HARMLESS = re.compile(r"[A-Za-z]+\.?|[0-9.+-]+|[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+|https?://.*")
 
 FEATURES = ("length", "upper", "lower", "digit", "sign", "changes", "entropy", "transition", "covered", "distinct",
@@ -116,7 +119,7 @@ def _covered(automaton, low: str) -> float:
 def describe(text: str, first: int, end: int, automaton, transitions: np.ndarray) -> list[float]:
     """The features of one candidate."""
     value, before, after = text[first:end], text[max(0, first - 40):first], text[end:end + 1]
-    raw, low, n = value.encode(), value.lower(), end - first
+    raw, low, n = value.encode("utf-8", "surrogatepass"), value.lower(), end - first
     codes = _folded(raw)
     kinds = [0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 3 for c in value]
     shares = [kinds.count(k) / n for k in range(4)]
@@ -124,7 +127,7 @@ def describe(text: str, first: int, end: int, automaton, transitions: np.ndarray
     near = _BEFORE.search(before)
     return [float(x) for x in (
         n, *shares, sum(a != b for a, b in zip(kinds, kinds[1:])) / n, -(freq * np.log2(freq)).sum(),
-        transitions[codes[:-1], codes[1:]].mean(), _covered(automaton, low), len(freq) / n,
+        transitions[codes[:-1], codes[1:]].mean() if len(codes) > 1 else 0.0, _covered(automaton, low), len(freq) / n,
         bool(re.fullmatch(r"[0-9a-fA-F]+", value)), value.count("/"), value.count("."), "@" in value,
         before[-1:] == "/", before[-1:] in "\"'" and bool(before), bool(re.search(r"=\s*[\"']?$", before)),
         bool(re.search(r":\s*[\"']?$", before)), bool(near and _HINTS.search(near[1])), bool(_HINTS.search(before)),
@@ -136,12 +139,14 @@ def known_format(text: str, first: int, end: int) -> int | None:
     value, before = text[first:end], text[max(0, first - 40):first]
     if _ISSUED.fullmatch(value) or _HEX.fullmatch(value) and _ASSIGNED.search(before):
         return 1
-    return 0 if _HARMLESS.fullmatch(value) else None
+    # A word or number that is assigned may be a password: the forest decides.
+    return 0 if _HARMLESS.fullmatch(value) and not _HINTED.search(before) else None
 
 
 def find(text: str) -> list[tuple[int, int]]:
-    """The candidates' places in a text."""
-    return [m.span() for m in _RUN.finditer(text) if len(m[0]) >= 16 or any(c.isdigit() for c in m[0])]
+    """The candidates' places in a text: runs of key characters, and whole values in an assigned or hinted context."""
+    runs = {m.span() for m in _RUN.finditer(text) if len(m[0]) >= 16 or any(c.isdigit() for c in m[0])}
+    return sorted(runs | {m.span(m.lastindex) for m in _VALUE.finditer(text)})
 
 
 def candidates(docs: DataFrame, words: list[str], transitions: np.ndarray, text: str = "text") -> DataFrame:

@@ -67,3 +67,14 @@ def test_edge_cases(spark):
     assert sf.scan(docs.limit(0)).count() == 0
     alone = sf.scan(docs.where("doc_id IS NULL")).collect()      # one label only: no model, nothing removed
     assert [(r.p_secret, r.is_secret) for r in alone] == [(None, True)]
+
+
+def test_assigned_values_of_any_length_and_signs_are_candidates(spark):
+    rows, _ = corpus()
+    values = ["CorrectHorse", "s3cr!", "aB#9$x%Z&q=1:k", "pässword"]
+    for k, v in enumerate(values):
+        assert v in {t[a:b] for t in (f'password = "{v}" and', f"api_key: {v} end") for a, b in sf.find(t)}
+        rows.append((1000 + k, rows[k][1] + f' password = "{v}" ' + rows[k + 1][1]))
+    got = {(r.row.doc_id, r.value): r for r in sf.scan(spark.createDataFrame(rows, SCHEMA)).where("row.doc_id >= 1000").collect()}
+    assert all(got[1000 + k, v].label is None and got[1000 + k, v].p_secret is not None for k, v in enumerate(values))
+    assert got[1002, values[2]].is_secret
