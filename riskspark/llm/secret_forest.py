@@ -13,7 +13,7 @@
    its transitions, share covered by dictionary words, path shape, and the
    words and signs next to it.
 3. ``fit`` trains a forest (Spark MLlib) on labelled findings, a bounded
-   sample by hash order; ``scan`` gives every candidate its probability.
+   sample of distinct ones by hash order, weighted by their number; ``scan`` gives every candidate its probability.
 
 ``known_formats`` labels the candidates whose kind their format settles:
 issuer prefixes and assigned hex strings are secrets; addresses, numbers and
@@ -185,19 +185,23 @@ def _ddl(spark, text: str):
     return spark.createDataFrame([], text).schema
 
 
+def sample_findings(found: DataFrame, max_findings: int) -> DataFrame:
+    """(label, x, weight): at most ``max_findings`` distinct findings of either label, weighted by their number."""
+    rows = found.where("label IS NOT NULL").groupBy("label", "x").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    parts = [rows.where(F.col("label") == k).orderBy(F.xxhash64("x", "label"), "x").limit(max_findings) for k in (0, 1)]
+    return parts[0].union(parts[1]).coalesce(1)
+
+
 def fit(found: DataFrame, max_findings: int, scratch: Scratch, trees: int = 20, depth: int = 6, seed: int = 9):
     """The forest, or None without findings of both labels. ``found``: label, x among others."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.functions import array_to_vector
 
-    order = F.xxhash64("x", "label")
-    rows = found.where("label IS NOT NULL").select("label", "x", order.alias("o"))
-    parts = [rows.where(F.col("label") == k).orderBy("o").limit(max_findings) for k in (0, 1)]
-    sample = scratch.save(parts[0].union(parts[1]).coalesce(1), "findings")
+    sample = scratch.save(sample_findings(found, max_findings), "findings")
     if sample.select("label").distinct().count() < 2:
         return None
-    sample = sample.select(F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features"))
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, maxBins=64, subsamplingRate=0.7).fit(sample)
+    sample = sample.select(F.col("label").cast("double").alias("label"), array_to_vector("x").alias("features"), "weight")
+    return RandomForestClassifier(weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, maxBins=64, subsamplingRate=0.7).fit(sample)
 
 
 def scan(docs: DataFrame, text: str = "text", findings: DataFrame | None = None, threshold: float = 0.5,

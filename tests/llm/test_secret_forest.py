@@ -78,3 +78,14 @@ def test_assigned_values_of_any_length_and_signs_are_candidates(spark):
     got = {(r.row.doc_id, r.value): r for r in sf.scan(spark.createDataFrame(rows, SCHEMA)).where("row.doc_id >= 1000").collect()}
     assert all(got[1000 + k, v].label is None and got[1000 + k, v].p_secret is not None for k, v in enumerate(values))
     assert got[1002, values[2]].is_secret
+
+
+def test_copies_take_one_place_of_the_sample(spark):
+    rows = [(k, [float(g), float(k)]) for g in range(30) for k in (0, 1) for _ in range(200 if g < 10 else 1)]
+    found = spark.createDataFrame(rows + [(None, [0.0, 0.0])], "label int, x array<double>")
+    for bound, want in ((20, 20), (100, 30)):
+        got = sf.sample_findings(found, bound).collect()
+        for k in (0, 1):
+            held = [r for r in got if r.label == k]
+            assert len(held) == want == len({tuple(r.x) for r in held})
+            assert all(r.weight == (200 if r.x[0] < 10 else 1) for r in held)
