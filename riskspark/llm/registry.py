@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import compact_windows, curve_packing, decontaminate, host_rules, line_dedup, pair_ranking, ring_sharding, secret_forest, simhash, unigram_counts
+from riskspark.llm import compact_windows, curve_packing, decontaminate, host_rules, line_dedup, pair_ranking, ring_sharding, secret_forest, sentence_pieces, simhash, unigram_counts
 from riskspark.llm.common import table
 
 #: Folder of the tokenizers' files on every machine.
@@ -152,3 +152,15 @@ def op9(spark, sf_dir):
 @query("op10_compact_windows")
 def op10(spark, sf_dir):
     return compact_windows.repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("op13_sentence_pieces")
+def op13(spark, sf_dir):
+    model = f"{TOKENIZERS}/piece_bpe_32k.model"
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = sentence_pieces.encode(docs, model).select("row.doc_id", "ids", "agrees")
+    found = sentence_pieces.decode(encoded.withColumn("tokens", F.col("ids")), model)
+    return found.select("row.doc_id", F.size("row.tokens").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("row.tokens").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+                        (F.col("row.agrees") & F.col("agrees")).alias("agrees"))
