@@ -11,6 +11,7 @@ from __future__ import annotations
 import io
 import os
 import zipfile
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,6 +108,18 @@ def split_words(text: Column) -> Column:
     return F.when(F.length(trimmed) > 0, F.split(trimmed, r"[\x20\x09-\x0D]+")).otherwise(none)
 
 
+def chunks(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of ``most`` in all, or of one row that is larger."""
+    first, held = 0, 0
+    for i, size in enumerate(sizes):
+        if held and held + size > most:
+            yield first, i
+            first, held = i, 0
+        held += size
+    if first < len(sizes):
+        yield first, len(sizes)
+
+
 def small_side(df: DataFrame, n_rows: int, bound: int = 1_000_000) -> DataFrame:
     """Broadcast hint for a table counted to be within ``bound`` rows; else Spark picks the join."""
     return F.broadcast(df) if n_rows <= bound else df

@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import compact_windows, curve_packing, decontaminate, host_rules, line_dedup, pair_ranking, ring_sharding, secret_forest, sentence_pieces, simhash, unigram_counts
-from riskspark.llm.common import table
+from riskspark.llm import compact_windows, curve_packing, decontaminate, grammar_runs, host_rules, line_dedup, pair_ranking, ring_sharding, secret_forest, sentence_pieces, simhash, unigram_counts
+from riskspark.llm.common import split_words, table
 
 #: Folder of the tokenizers' files on every machine.
 TOKENIZERS = os.environ.get("RISKSPARK_TOKENIZERS") or os.path.dirname(public_tokenizers.path("x"))
@@ -164,3 +164,27 @@ def op13(spark, sf_dir):
                         F.sha2(F.array_join(F.col("row.tokens").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
                         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
                         (F.col("row.agrees") & F.col("agrees")).alias("agrees"))
+
+
+def _periodic(docs: DataFrame) -> DataFrame:
+    """Documents as the contract of op12 rewrites them: in one of ten by doc_id, the words from a on are periodic."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words, n, g = F.col("words"), F.size("words").cast("long"), F.col("g")
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    rows = rows.withColumn("words", F.when(F.col("doc_id").isNotNull() & (F.col("h") % 10 == 0), split_words(F.col("text"))))
+    rows = rows.withColumn("a", F.when(n > 0, g % n)).withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + g % 8)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    turned = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, at(i).cast("int")))
+    return rows.select("doc_id", F.when(n > 0, F.array_join(turned, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_grammar_runs")
+def op12(spark, sf_dir):
+    found = grammar_runs.find(_periodic(table(spark, sf_dir, "documents").select("doc_id", "text")), least=12)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    line = lambda r: F.concat_ws(",", r.start, r.length, r.period)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select("row.doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed").select(
+        "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))

@@ -33,7 +33,6 @@ loads them.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -44,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
-from riskspark.llm.common import ship_package
+from riskspark.llm.common import chunks, ship_package
 from riskspark.llm.tokens import _Known
 
 MARK = "▁"
@@ -227,18 +226,6 @@ def model(model_file: str) -> PieceModel:
     return PieceModel(model_file)
 
 
-def _chunks(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about CHUNK in all."""
-    first, held = 0, 0
-    for i, size in enumerate(sizes):
-        if held and held + size > CHUNK:
-            yield first, i
-            first, held = i, 0
-        held += size
-    if first < len(sizes):
-        yield first, len(sizes)
-
-
 def _rows(docs: DataFrame, column: str, kind: str, to: str) -> DataFrame:
     carried = [F.col(f"`{c}`") for c in docs.columns if c != column] or [F.lit(None).cast("int").alias("none")]
     return docs.select(F.struct(*carried).alias("row"), F.col(f"`{column}`").cast(kind).alias(to))
@@ -254,7 +241,7 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", check: bool = T
         m = model(model_file)
         for batch in batches:
             sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_pylist()
-            for first, end in _chunks(sizes):
+            for first, end in chunks(sizes, CHUNK):
                 part = batch.slice(first, end - first)
                 texts = [t or "" for t in part["text"].to_pylist()]
                 ids = [m.encode(t) for t in texts]
@@ -276,7 +263,7 @@ def decode(tokens: DataFrame, model_file: str, ids: str = "ids", check: bool = T
         m = model(model_file)
         for batch in batches:
             sizes = pc.fill_null(pc.list_value_length(batch["ids"]), 0).to_pylist()
-            for first, end in _chunks(sizes):
+            for first, end in chunks(sizes, CHUNK):
                 part = batch.slice(first, end - first)
                 lists = [x or [] for x in part["ids"].to_pylist()]
                 texts = [m.decode(x) for x in lists]
