@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import compact_windows, curve_packing, decontaminate, grammar_runs, host_rules, line_dedup, pair_ranking, ring_sharding, secret_forest, sentence_pieces, simhash, unigram_counts
+from riskspark.llm import compact_windows, curve_packing, decontaminate, grammar_runs, hard_negatives, host_rules, line_dedup, pair_ranking, ring_sharding, secret_forest, sentence_pieces, simhash, unigram_counts
 from riskspark.llm.common import split_words, table
 
 #: Folder of the tokenizers' files on every machine.
@@ -188,3 +188,10 @@ def op12(spark, sf_dir):
         "doc_id", "n_runs", (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
         (-F.col("best.period")).alias("period"), F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+@query("op11_hard_negatives")
+def op11(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    vectors = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
