@@ -158,12 +158,10 @@ def op10(spark, sf_dir):
 def op13(spark, sf_dir):
     model = f"{TOKENIZERS}/piece_bpe_32k.model"
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = sentence_pieces.encode(docs, model).select("row.doc_id", "ids", "agrees")
-    found = sentence_pieces.decode(encoded.withColumn("tokens", F.col("ids")), model)
-    return found.select("row.doc_id", F.size("row.tokens").cast("long").alias("n_tokens"),
-                        F.sha2(F.array_join(F.col("row.tokens").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-                        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
-                        (F.col("row.agrees") & F.col("agrees")).alias("agrees"))
+    found = sentence_pieces.encode(docs, model, decoded=True)
+    return found.select("row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"), "agrees")
 
 
 def _periodic(docs: DataFrame) -> DataFrame:

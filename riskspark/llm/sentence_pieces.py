@@ -9,11 +9,12 @@ symbol that is no piece becomes its UTF-8 bytes where the vocabulary falls
 back to bytes, else unknown (a run of them counts once). Pieces marked
 unused are taken apart again along their merges.
 
-Two neighbouring characters that stand side by side in no piece are never
-joined, whatever the agenda does, so a text falls apart between them. Where no
-piece has a mark behind another character and none is user-defined, texts are
-cut at words first, then at such neighbours, and the worker keeps what words
-and their parts became, up to a bound.
+Where no piece has a mark behind another character and none is user-defined,
+no pair ever joins across the start of a word, so words are encoded apart and
+the worker keeps what words became, up to a bound. The agenda of a text or a
+long word is a heap. The short words of an Arrow batch that are not known yet go
+through theirs side by side: their pairs' ranks stand in one array, and each
+step joins the first least pair of every word.
 
 ``decode`` joins the pieces' texts, turns marks into spaces, drops the one
 in front, and reads runs of byte pieces as UTF-8, each wrong byte as U+FFFD.
@@ -44,16 +45,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from riskspark.llm.common import chunks, ship_package
-from riskspark.llm.tokens import _Known
 
 MARK = "▁"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 250_000
 #: Characters of text, or ids, that a worker holds as Python objects at a time (one longer text is still taken whole).
-CHUNK = 1 << 20
-LONG_WORD = 64
+CHUNK = 1 << 18
+SHORT = 48
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Stands before a user-defined symbol, so that it is never part of a joined piece; no text holds it.
 FROZEN = "\ud800"
+#: The rank of a pair that is no piece.
+NONE = 1 << 60
+#: Symbols of more than one character are numbered above the code points.
+FIRST_JOINED, SYMBOLS = 0x110000, 1 << 21
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 
@@ -85,11 +89,28 @@ class PieceModel:
         self.bytes_of = {FROZEN * (p.type == USER_DEFINED) + p.piece: as_bytes[i] for i, p in text}
         self.fixed = set(fixed)
         self.start = re.compile("|".join([*map(re.escape, fixed), "."]), re.DOTALL) if fixed else None
-        self.apart = not fixed and self.fallback and not any(MARK in p.lstrip(MARK) for p in self.ranks)
-        self.beside = {p[i:i + 2] for p in self.ranks for i in range(len(p) - 1)}
+        self.apart = not fixed and not self.unused and self.fallback and not any(MARK in p.lstrip(MARK) for p in self.ranks)
+        if self.apart:
+            self._make_pairs()
         surface = {UNKNOWN: trained.unk_surface, CONTROL: ""}
         self.surfaces = [surface.get(p.type, p.piece.replace(MARK, " ")) for p in proto.pieces]
-        self.words, self.parts = _Known(self._word, CACHED_WORDS), _Known(self._merged, CACHED_WORDS)
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def _make_pairs(self):
+        """All pairs of symbols that join to a piece, by ``left * SYMBOLS + right``."""
+        self.joined = [p for p in self.ranks if len(p) > 1]
+        number = {p: FIRST_JOINED + k for k, p in enumerate(self.joined)}
+        if FIRST_JOINED + len(number) > SYMBOLS:
+            raise ValueError("too many pieces")
+        found = {-1: (NONE, 0)}
+        for p, k in number.items():
+            for i in range(1, len(p)):
+                a, b = (ord(x) if len(x) == 1 else number.get(x) for x in (p[:i], p[i:]))
+                if a is not None and b is not None:
+                    found[a * SYMBOLS + b] = self.ranks[p], k
+        self.pair_keys = np.array(sorted(found), np.int64)
+        self.pair_ranks, self.pair_joined = np.array([found[k] for k in self.pair_keys.tolist()], np.int64).T.copy()
 
     def _symbols(self, text: str) -> list[str]:
         """The symbols that are left when the agenda is empty; an entry is rank * n + left."""
@@ -142,6 +163,54 @@ class PieceModel:
                 out.append(s)
         return out
 
+    def _found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, joined symbol) of pairs; the rank is NONE for those that join to no piece."""
+        key = left * SYMBOLS + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NONE), self.pair_joined[at]
+
+    def _side_by_side(self, words: list[str]) -> list[bytes]:
+        """The ids of many words. A symbol is a character's code point, or lies above them."""
+        symbols = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        word, size = np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words))
+        ranks = np.full(len(symbols), NONE, np.int64)
+        ranks[:-1] = self._found(symbols[:-1], symbols[1:])[0]
+        ranks[np.cumsum(size) - 1] = NONE
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(word):
+            least = np.minimum.reduceat(ranks, np.cumsum(size) - size)
+            over = least == NONE
+            if over.any():
+                gone = np.repeat(over, size)
+                done.append((np.repeat(word[over], size[over]), symbols[gone]))
+                symbols, ranks = symbols[~gone], ranks[~gone]
+                word, size, least = word[~over], size[~over], least[~over]
+                if not len(word):
+                    break
+            owner = np.repeat(np.arange(len(word)), size)
+            at = np.flatnonzero(ranks == least[owner])
+            at = at[np.flatnonzero(np.diff(owner[at], prepend=-1))]            # the first of every word
+            symbols[at] = self._found(symbols[at], symbols[at + 1])[1]
+            keep = np.ones(len(symbols), bool)
+            keep[at + 1] = False
+            symbols, ranks = symbols[keep], ranks[keep]
+            at, size = at - np.arange(len(at)), size - 1
+            end = np.cumsum(size) - 1
+            right = self._found(symbols[at], symbols[np.minimum(at + 1, len(symbols) - 1)])[0]
+            ranks[at] = np.where(at == end, NONE, right)
+            at = at[at > end - size + 1]
+            ranks[at - 1] = self._found(symbols[at - 1], symbols[at])[0]
+        word, symbols = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(word, kind="stable")
+        kinds, which = np.unique(symbols[order], return_inverse=True)
+        spelled = [self.bytes_of.get(t) or self._as_bytes(t) for t in (chr(k) if k < FIRST_JOINED else self.joined[k - FIRST_JOINED] for k in kinds.tolist())]
+        each = [spelled[k] for k in which.tolist()]
+        ends = np.searchsorted(word[order], np.arange(len(words) + 1)).tolist()
+        return [b"".join(each[i:j]) for i, j in zip(ends, ends[1:])]
+
+    def _as_bytes(self, symbol: str) -> bytes:
+        return b"".join([self.bytes_of_byte[b] for b in symbol.encode("utf-8")])
+
     def _merged(self, text: str) -> bytes:
         out, again = [], False
         for s in self._symbols(text):
@@ -149,33 +218,29 @@ class PieceModel:
             if found is None:
                 found = b"" if again else self.bytes_of_unknown
                 if self.fallback:
-                    found = b"".join([self.bytes_of_byte[b] for b in s.encode("utf-8")])
+                    found = self._as_bytes(s)
                 again = True
             else:
                 again = False
             out.append(found)
         return b"".join(out)
 
-    def _word(self, word: str) -> bytes:
-        beside, first, out = self.beside, 0, []
-        for i in range(1, len(word) + 1):
-            if word[i - 1:i + 1] not in beside:
-                part = word[first:i]
-                out.append(self.parts[part] if len(part) <= LONG_WORD else self._merged(part))
-                first = i
-        return b"".join(out)
-
-    def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian 32-bit numbers."""
-        if not text:
-            return b""
-        prepared = self.prefix + text.replace(" ", MARK)
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of texts as little-endian 32-bit numbers."""
+        prepared = [self.prefix + t.replace(" ", MARK) if t else "" for t in texts]
         if not self.apart:
-            return self._merged(prepared)
-        self.words.trim()
-        self.parts.trim()
-        words, known = _WORDS.findall(prepared), self.words
-        return b"".join([known[w] if len(w) <= LONG_WORD else self._word(w) for w in words])
+            return [self._merged(t) for t in prepared]
+        if len(self.words) > CACHED_WORDS:
+            self.words, self.older = {}, self.words
+        words, known = [_WORDS.findall(t) for t in prepared], self.words
+        new = [w for w in set().union(*words) if w not in known]
+        known.update((w, x) for w in new if (x := self.older.get(w)) is not None)
+        new = [w for w in new if w not in known]
+        short = [w for w in new if len(w) <= SHORT]
+        if short:
+            known.update(zip(short, self._side_by_side(short)))
+        long = {w: self._merged(w) for w in new if len(w) > SHORT}
+        return [b"".join([known[w] if len(w) <= SHORT else long[w] for w in x]) for x in words]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the space in front of the first piece that gives one goes."""
@@ -231,24 +296,34 @@ def _rows(docs: DataFrame, column: str, kind: str, to: str) -> DataFrame:
     return docs.select(F.struct(*carried).alias("row"), F.col(f"`{column}`").cast(kind).alias(to))
 
 
-def encode(docs: DataFrame, model_file: str, text: str = "text", check: bool = True) -> DataFrame:
-    """(row, ids, agrees): ``row`` holds the other columns; ``agrees`` is null without ``check``. The path is as on the workers."""
+def encode(docs: DataFrame, model_file: str, text: str = "text", check: bool = True, decoded: bool = False) -> DataFrame:
+    """(row, ids, agrees): ``row`` holds the other columns; ``agrees`` is null without ``check``. With ``decoded``, also
+    what the ids decode to, as ``decoded``, in the same pass. The path is as on the workers."""
     ship_package(docs.sparkSession)
     rows = _rows(docs, text, "string", "text")
     schema = rows.select("row").schema.add("ids", ArrayType(IntegerType())).add("agrees", "boolean")
+    schema = schema.add("decoded", "string") if decoded else schema
 
     def run(batches):
         m = model(model_file)
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_pylist()
-            for first, end in chunks(sizes, CHUNK):
+            for first, end in chunks(pc.fill_null(pc.binary_length(batch["text"]), 0).to_pylist(), CHUNK):
                 part = batch.slice(first, end - first)
                 texts = [t or "" for t in part["text"].to_pylist()]
-                ids = [m.encode(t) for t in texts]
-                agrees = [np.array(x, "<i4").tobytes() == y for x, y in zip(m.library.encode(texts), ids)] if check else [None] * len(ids)
-                ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
+                ids = m.encode(texts)
+                numbers = [np.frombuffer(x, "<i4") for x in ids]
+                back, agrees = None, [None] * len(ids)
+                if decoded:
+                    back = [m.decode(x.tolist()) for x in numbers]
+                if check:
+                    theirs = m.library.encode(texts)
+                    agrees = [np.array(x, "<i4").tobytes() == y for x, y in zip(theirs, ids)]
+                    if decoded:
+                        agrees = [x and y == z for x, y, z in zip(agrees, m.library.decode(theirs), back)]
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in numbers])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
-                yield pa.RecordBatch.from_arrays([part["row"], lists, pa.array(agrees, pa.bool_())], names=["row", "ids", "agrees"])
+                out = {"row": part["row"], "ids": lists, "agrees": pa.array(agrees, pa.bool_())}
+                yield pa.RecordBatch.from_pydict(out | ({"decoded": pa.array(back, pa.string())} if decoded else {}))
 
     return rows.mapInArrow(run, schema)
 

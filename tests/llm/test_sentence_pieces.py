@@ -20,7 +20,7 @@ def sha(text):
 
 
 def ids_of(model, text):
-    return np.frombuffer(model.encode(text), "<i4").tolist()
+    return np.frombuffer(model.encode([text])[0], "<i4").tolist()
 
 
 def written(folder, pieces, fallback, name):
@@ -56,7 +56,11 @@ def test_odd_texts_and_any_ids():
     assert m.apart
     texts = ["", " ", "  a  b", "\n\n", "x́가😀", "▁▁ ▁a", "a" * 700, "<s> </s> <0x41>", "\x00\x1c",
              *("".join(rnd.choice("abe th\n▁éß가😀0.,<s>") for _ in range(rnd.randint(1, 60))) for _ in range(2000))]
-    assert [ids_of(m, t) for t in texts] == m.library.encode(texts)
+    want = m.library.encode(texts)
+    assert [ids_of(m, t) for t in texts] == want
+    assert [np.frombuffer(x, "<i4").tolist() for x in sp.PieceModel(PATH).encode(texts)] == want
+    heap = [np.frombuffer(m._merged(m.prefix + t.replace(" ", "▁")) if t else b"", "<i4").tolist() for t in texts]
+    assert heap == want
     lists = [[rnd.choice([rnd.randrange(32000), rnd.randrange(3, 259), 0, 1, 2, 29871, 259]) for _ in range(rnd.randint(0, 12))] for _ in range(2000)]
     assert [m.decode(x) for x in lists] == m.library.decode(lists)
     long_run = [rnd.randrange(3, 259) for _ in range(2000)]
@@ -65,17 +69,19 @@ def test_odd_texts_and_any_ids():
 
 @pytest.mark.parametrize("fallback", [True, False])
 def test_small_vocabularies_with_ties_unused_and_user_defined(fallback, tmp_path):
-    rnd = random.Random(9)
-    for trial in range(120):
-        kinds = [1, 1, 1, 1, 5] + [4] * (trial % 3 == 0)
-        found = {"".join(rnd.choice("abc▁") for _ in range(rnd.randint(2, 5))) for _ in range(14)}
+    rnd, split = random.Random(9), 0
+    for trial in range(160):
+        kinds = [1] if trial % 4 else [1, 1, 1, 1, 5] + [4] * (trial % 3 == 0)
+        found = {"".join(rnd.choice("abc") for _ in range(rnd.randint(2, 5))) for _ in range(14)} | {"▁a", "▁ab"[:trial % 3 + 1], "b▁c"[:1 + 2 * (trial % 5 == 0)]} - {"b", "▁"}
         pieces = [(p, float(-rnd.randint(1, 4)), rnd.choice(kinds)) for p in sorted(found)] + [(c, -9.0, 1) for c in "ab▁"]
         if any(kind == 4 and "▁" in p for p, _, kind in pieces):
             continue
         path = written(tmp_path, pieces, fallback, f"m{fallback}{trial}")
         m = sp.PieceModel(path)
         texts = ["".join(rnd.choice("aabbc é") for _ in range(rnd.randint(1, 18))) for _ in range(40)]
-        assert [ids_of(m, t) for t in texts] == m.library.encode(texts), (trial, pieces)
+        assert [np.frombuffer(x, "<i4").tolist() for x in m.encode(texts)] == m.library.encode(texts), (trial, pieces)
+        split += m.apart
+    assert split > 20 or not fallback
 
 
 def test_other_models_are_refused(tmp_path):
