@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.functions.calendar import explode_months, zero_fill
-from riskspark.functions.scalar import HASH_RANGE, concat_strict, in_list, int_trunc, month_key
+from riskspark.functions.scalar import HASH_RANGE, concat_strict, in_list, int_trunc, month_key, portable_hash
 from riskspark.operators import quality as DQ
 from riskspark.operators.lookups import lookup_default, lookup_monthly, monthly_max, tiered_lookup
 from riskspark.operators.sampling import exact_fraction, sample_per_group, sample_with_replacement, weighted_pick
+from riskspark.operators.snapshots import SnapshotStore
 from riskspark.plans import queries as Q
 from riskspark.plans import scoring as S
 from riskspark.plans.catalog import register
@@ -21,6 +23,7 @@ from riskspark.session import scratch_path
 from riskspark.sources.bindings import SHIPMENT_KEY, Domain
 from riskspark.sources.model import MODEL_SQL, model_tables
 from riskspark.sources.schema import DOMAIN_RULES, TABLES, TableSpec
+from riskspark.sources.tables import DRIVER_KEYS
 
 SHIP_COLS = ", ".join(SHIPMENT_KEY)
 
@@ -86,6 +89,24 @@ def s_defaults(d: Domain):
     return ingest.csv_roundtrip(blanked, defaults={"delay_days": 0})
 
 
+@register("s04_snapshot_load", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, CAST(SUM({_hash_sql(*[c for c in key if c != 'l_shipdate'])} % 1000003) AS BIGINT) AS key_sum FROM {t}"
+    for t, key, _ in DRIVER_KEYS))
+def s04(d: Domain):
+    # Every relational table goes out as CSV, all are loaded as one snapshot, and the snapshot is read back.
+    csv_dir, specs = scratch_path(d.spark, "manifest"), d.t.specs()
+    for spec in specs:
+        ingest.write_csv(d.t.read(spec.name), f"{csv_dir}/{spec.name}.csv")
+    store = SnapshotStore(d.spark, scratch_path(d.spark, "snapshot-load"))
+    loaded = ingest.load_snapshot(d.spark, csv_dir, store, specs, checks={s.name: [ingest.no_bad_rows] for s in specs})
+    parts = []
+    for spec in specs:
+        h = portable_hash(*[c for c in spec.pk if c != "l_shipdate"]) % 1000003
+        parts.append(ingest.snapshot_table(loaded, spec).agg(F.count(F.lit(1)).alias("row_count"), F.sum(h).alias("key_sum"))
+                     .select(F.lit(spec.name).alias("table_name"), "row_count", "key_sum"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("s_values", """
 , reason_codes(delay_reason, reason_code) AS (
   VALUES ('None', 0), ('Weather', 1), ('Port Congestion', 2), ('Political', 3), ('Operational', 4))

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.operators.snapshots import Check, Snapshot, SnapshotStore
 from riskspark.session import scratch_path
 from riskspark.sources.schema import BY_NAME, TABLES, TableSpec
 
@@ -104,6 +105,36 @@ def load_all(spark: SparkSession, csv_dir: str, out_dir: str | None = None,
     return loaded
 
 
+def load_snapshot(spark: SparkSession, csv_dir: str, store: SnapshotStore, tables: Iterable[TableSpec] = TABLES,
+                  checks: Mapping[str, Sequence[Check]] | None = None) -> Snapshot:
+    """Load every table of the manifest, parents first, and publish all of them as one snapshot.
+
+    Readers of ``store`` see the tables of the load before until the last table
+    is written and checked. Each table keeps its quarantined rows under
+    ``_bad=true``; ``snapshot_table`` reads the good ones.
+    """
+    specs = list(tables)
+    seen: set[str] = set()
+    for spec in specs:
+        if late := [parent for _, parent, _ in spec.fks if parent not in seen and any(t.name == parent for t in specs) and parent != spec.name]:
+            raise ValueError(f"{spec.name} comes before its parents {late}")
+        seen.add(spec.name)
+    path = f"{csv_dir.rstrip('/')}/{{}}.csv"
+    return store.commit(lambda _: {s.name: type_rows(read_staged(spark, path.format(s.name), s), s) for s in specs},
+                        checks=checks, partition_by={s.name: ["_bad"] for s in specs})
+
+
+def snapshot_table(snapshot: Snapshot, spec: TableSpec) -> DataFrame:
+    """The good rows of a table that ``load_snapshot`` published."""
+    return snapshot.read(spec.name).where(~F.col("_bad")).drop("_bad", CORRUPT)
+
+
+def no_bad_rows(written: DataFrame) -> None:
+    """A check for ``load_snapshot``: fails the load if a row was set aside."""
+    if written.where("_bad").limit(1).count():
+        raise ValueError("the load set rows aside")
+
+
 def _loaded(spark: SparkSession, out_dir: str, spec: TableSpec, schema: T.StructType) -> DataFrame:
     """All rows that ``load_all`` wrote; the schema is given, as a table may have no good or no bad rows."""
     return spark.read.schema(schema).parquet(f"{out_dir}/{spec.name}")

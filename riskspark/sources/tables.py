@@ -10,12 +10,28 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskspark.sources.schema import TableSpec
+
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
 
+#: Keys of the driver's relational tables, parents first: (table, primary key, foreign keys).
+DRIVER_KEYS = (
+    ("region", ("r_regionkey",), ()),
+    ("nation", ("n_nationkey",), (("n_regionkey", "region", "r_regionkey"),)),
+    ("customer", ("c_custkey",), (("c_nationkey", "nation", "n_nationkey"),)),
+    ("supplier", ("s_suppkey",), (("s_nationkey", "nation", "n_nationkey"),)),
+    ("part", ("p_partkey",), ()),
+    ("orders", ("o_orderkey",), (("o_custkey", "customer", "c_custkey"),)),
+    ("lineitem", ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"),
+     (("l_orderkey", "orders", "o_orderkey"), ("l_partkey", "part", "p_partkey"), ("l_suppkey", "supplier", "s_suppkey"))),
+    ("events", ("event_id",), ()),
+)
+
+
 class DriverTables:
     """Lazy handles on ``{sf_dir}/{name}.parquet``."""
 
@@ -26,6 +42,11 @@ class DriverTables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def specs(self) -> list[TableSpec]:
+        """The relational tables as the CSV load declares tables, in load order."""
+        return [TableSpec(name, tuple((f.name, f.dataType) for f in self.read(name).schema.fields), key,
+                          fks=tuple(((c,), parent, (pc,)) for c, parent, pc in fks)) for name, key, fks in DRIVER_KEYS]
+
     @cached_property
     def region(self) -> DataFrame:
         return self.read("region")
