@@ -8,8 +8,8 @@ tables and reports counts instead of failing row by row.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -109,3 +109,161 @@ def reconcile(counts: DataFrame, expected: Mapping[str, int] | DataFrame) -> Dat
         expected = counts.sparkSession.createDataFrame([(k, int(v)) for k, v in expected.items()], "table_name string, expected_rows long")
     return (counts.join(expected, "table_name", "full")
             .withColumn("matches", F.coalesce(F.col("row_count") == F.col("expected_rows"), F.lit(False))))
+
+
+# -- audits that read a source once -----------------------------------------------------------
+@dataclass(frozen=True)
+class View:
+    """A table that is a filter and a projection of a source; ``distinct``: the distinct rows of whole-number columns,
+    and what ``derived`` makes of these columns."""
+
+    name: str
+    source: str
+    columns: Mapping[str, Column]
+    where: Column | None = None
+    distinct: bool = False
+    derived: Callable[[Mapping[str, Column]], Mapping[str, Column]] | None = None
+
+    def all_columns(self, columns: Mapping[str, Column] | None = None) -> Mapping[str, Column]:
+        columns = columns or self.columns
+        return {**columns, **(self.derived(columns) if self.derived else {})}
+
+    def holds(self) -> Column:
+        return F.lit(True) if self.where is None else F.coalesce(self.where, F.lit(False))
+
+    def frame(self, sources: Mapping[str, DataFrame]) -> DataFrame:
+        rows = sources[self.source] if self.where is None else sources[self.source].where(self.where)
+        rows = rows.select(*[c.alias(n) for n, c in self.columns.items()])
+        rows = rows.distinct() if self.distinct else rows
+        return rows.withColumns(self.derived({n: F.col(n) for n in self.columns})) if self.derived else rows
+
+
+def _by_source(views: Sequence[View]) -> dict[str, tuple[list[View], list[View]]]:
+    """Per source, its plain and its distinct views."""
+    out: dict[str, tuple[list[View], list[View]]] = {}
+    for v in views:
+        out.setdefault(v.source, ([], []))[v.distinct].append(v)
+    return out
+
+
+def _distinct_rows(source: DataFrame, views: Sequence[View]) -> DataFrame:
+    """The rows of all distinct views of a source in one aggregate: (view, k0, k1, ..), ``view`` by place in ``views``."""
+    width = max(len(v.columns) for v in views)
+    rows = [(F.when(v.holds(), F.lit(i)), [c.cast("bigint") for c in v.columns.values()] + [F.lit(None).cast("bigint")] * (width - len(v.columns)))
+            for i, v in enumerate(views)]
+    keys = [f"k{j}" for j in range(width)]
+    return _unfolded(source, ["view", *keys], [[i, *k] for i, k in rows]).groupBy("view", *keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _unfolded(source: DataFrame, names: Sequence[str], rows: Sequence[Sequence[Column]]) -> DataFrame:
+    """Of each row of ``source`` those of ``rows`` whose first column is not null."""
+    if len(rows) == 1:
+        return source.select(*[c.alias(n) for c, n in zip(rows[0], names)]).where(F.col(names[0]).isNotNull())
+    return source.select(F.stack(F.lit(len(rows)), *[c for row in rows for c in row]).alias(*names)).where(F.col(names[0]).isNotNull())
+
+
+def count_in_views(sources: Mapping[str, DataFrame], views: Sequence[View], wanted: Callable[[View], Mapping[str, Column]]) -> DataFrame:
+    """(table_name, what, rows): for each view, the rows that meet each condition of ``wanted``.
+
+    Per source one aggregate over its plain views, and one over the rows of its distinct views.
+    """
+    parts = []
+    for name, (plain, distinct) in _by_source(views).items():
+        if counted := [(v.name, what, v.holds() & F.coalesce(cond, F.lit(False))) for v in plain for what, cond in wanted(v).items()]:
+            row = sources[name].agg(*[F.count_if(cond).alias(f"_c{i}") for i, (_, _, cond) in enumerate(counted)])
+            parts.append(_stacked(row, [(table, what) for table, what, _ in counted]))
+        if distinct:
+            # rows that meet no condition are not told apart
+            asked = [replace(v, where=v.holds() & reduce(lambda a, b: a | b, (F.coalesce(x, F.lit(False)) for x in wanted(replace(v, columns=v.all_columns(), derived=None)).values())))
+                     for v in distinct]
+            rows = _distinct_rows(sources[name], asked)
+            counted = []
+            for i, v in enumerate(distinct):
+                keyed = View(v.name, v.source, v.all_columns({c: F.col(f"k{j}") for j, c in enumerate(v.columns)}))
+                counted += [(v.name, what, (F.col("view") == i) & F.coalesce(cond, F.lit(False))) for what, cond in wanted(keyed).items()]
+            row = rows.agg(*[F.count_if(cond).alias(f"_c{i}") for i, (_, _, cond) in enumerate(counted)])
+            parts.append(_stacked(row, [(table, what) for table, what, _ in counted]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _stacked(row: DataFrame, names: Sequence[tuple[str, str]]) -> DataFrame:
+    cells = ", ".join(f"'{table}', '{what}', `_c{i}`" for i, (table, what) in enumerate(names))
+    return row.select(F.expr(f"stack({len(names)}, {cells}) AS (table_name, what, rows)"))
+
+
+def view_row_counts(sources: Mapping[str, DataFrame], views: Sequence[View], with_total: bool = True) -> DataFrame:
+    """``row_counts`` of views: (table_name, row_count), each source read once."""
+    counts = count_in_views(sources, views, lambda v: {"rows": F.lit(True)}).select("table_name", F.col("rows").alias("row_count"))
+    if not with_total:
+        return counts
+    return (counts.rollup("table_name").agg(F.sum("row_count").cast("bigint").alias("row_count"))
+            .select(F.coalesce(F.col("table_name"), F.lit("TOTAL")).alias("table_name"), "row_count"))
+
+
+def view_null_audit(sources: Mapping[str, DataFrame], views: Sequence[View], required: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``null_audit`` of views: (table_name, column_name, null_rows), each source read once."""
+    found = count_in_views(sources, views, lambda v: {c: v.columns[c].isNull() for c in required[v.name]})
+    return found.select("table_name", F.col("what").alias("column_name"), F.col("rows").alias("null_rows"))
+
+
+def view_pk_duplicates(sources: Mapping[str, DataFrame], views: Sequence[View], keys: Mapping[str, Sequence[str]]) -> DataFrame:
+    """``pk_duplicates`` of views: (table_name, key_value, occurrences).
+
+    Views of one source whose keys are the same expressions are counted in one
+    grouping. A distinct view whose key is all of its columns has no duplicates
+    by construction and is not read.
+    """
+    groups: dict[tuple, list[View]] = {}
+    for v in views:
+        if not (v.distinct and set(keys[v.name]) == set(v.columns)):
+            same = sources[v.source].select(*[v.columns[k] for k in keys[v.name]]).columns      # an expression's name is its text
+            groups.setdefault((v.source, v.distinct, *same), []).append(v)
+    parts = []
+    for (source, distinct, *_), same in groups.items():
+        names = [f"_k{j}" for j in range(len(keys[same[0].name]))]
+        base = same[0].frame(sources) if distinct else sources[source]
+        cols = [F.col(k) if distinct else same[0].columns[k] for k in keys[same[0].name]]
+        counts = [F.count_if(F.lit(True) if distinct else v.holds()).alias(f"_c{i}") for i, v in enumerate(same)]
+        counted = base.groupBy(*[c.alias(n) for c, n in zip(cols, names)]).agg(*counts)
+        counted = counted.where(F.greatest(*[F.col(f"_c{i}") for i in range(len(same))], F.lit(0)) > 1)
+        cells = ", ".join(f"'{v.name}', `_c{i}`" for i, v in enumerate(same))
+        value = F.concat_ws("|", *[F.col(n).cast("string") for n in names])
+        parts.append(counted.select(value.alias("key_value"), F.expr(f"stack({len(same)}, {cells}) AS (table_name, occurrences)"))
+                     .where("occurrences > 1").select("table_name", "key_value", "occurrences"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def view_fk_audit(sources: Mapping[str, DataFrame], views: Sequence[View], fks: Sequence[ForeignKey]) -> DataFrame:
+    """``fk_audit`` of views, for foreign keys of one whole-number column: one grouping by (parent, key), no join.
+
+    Every row gives an entry for each key that it holds as a parent and each
+    reference that it makes as a child; entries meet at (parent, key), where a
+    reference without a parent is an orphan. Partial aggregates make one entry of
+    a hot key per task.
+    """
+    parents = {(f.parent, f.parent_columns[0]): i for i, f in reversed(list(enumerate(fks)))}
+    entries = []
+
+    def made(v: View, columns: Mapping[str, Column], holds: Column) -> list[list[Column]]:
+        out = []
+        for (table, column), p in parents.items():
+            if table == v.name:
+                out.append([F.when(holds, F.lit(p)), F.lit(-1), columns[column].cast("bigint")])
+        for i, f in enumerate(fks):
+            if f.child == v.name:
+                key = columns[f.columns[0]].cast("bigint")
+                out.append([F.when(holds & key.isNotNull(), F.lit(parents[f.parent, f.parent_columns[0]])), F.lit(i), key])
+        return out
+
+    for name, (plain, distinct) in _by_source(views).items():
+        if found := [e for v in plain for e in made(v, v.columns, v.holds())]:
+            entries.append(_unfolded(sources[name], ["p", "f", "k"], found))
+        if distinct:
+            found = [e for i, v in enumerate(distinct) for e in made(v, v.all_columns({c: F.col(f"k{j}") for j, c in enumerate(v.columns)}), F.col("view") == i)]
+            if found:
+                entries.append(_unfolded(_distinct_rows(sources[name], distinct), ["p", "f", "k"], found))
+    met = reduce(DataFrame.unionByName, entries).groupBy("p", "k", "f").agg(F.count(F.lit(1)).alias("n"))
+    met = met.groupBy("p", "k").agg(F.max(F.col("f") < 0).alias("has_parent"), *[F.sum(F.when(F.col("f") == i, F.col("n"))).alias(f"_c{i}") for i in range(len(fks))])
+    row = met.where(~F.col("has_parent")).agg(*[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}") for i in range(len(fks))])
+    cells = ", ".join(f"'{f.child}', '{f.columns[0]}', '{f.parent}', `_c{i}`" for i, f in enumerate(fks))
+    return row.select(F.expr(f"stack({len(fks)}, {cells}) AS (child_table, fk_columns, parent_table, orphan_rows)"))

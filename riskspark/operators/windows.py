@@ -17,7 +17,8 @@ give the same answers with work spread over many tasks.
     Rank depends only on the value histogram: ``rank = 1 + rows with a
     better value``, ``dense_rank = 1 + distinct better values``. The
     histogram is built with a partial aggregate (skew-safe), ranked with
-    ``running_sums`` and joined back on the value.
+    ``running_sums`` over pieces of the values' bits that are refined where they
+    are dense, and joined back on the value.
 
 ``latest_per_group``
     Max date per group (partial aggregate, skew-safe) joined back on
@@ -39,6 +40,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.functions.scalar import col_of
 
@@ -121,13 +123,54 @@ def dense_position(df: DataFrame, order: Sequence, segments: Sequence, out: str
     return res.withColumn(out, F.col(out) + F.lit(start)) if start else res
 
 
+def order_bits(score: str, kind: T.DataType) -> Column:
+    """A 63-bit whole number that sorts as the score does (equal for scores that differ by their last bit only).
+
+    The bits of a double, those of a negative one turned round, sort as the
+    doubles do, with NaN last; whole numbers are their own key, and decimals go
+    by the double nearest to them, which never turns an order round.
+    """
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.expr(f"shiftright(CAST(`{score}` AS BIGINT), 1)")
+    bits = f"CAST(reflect('java.lang.Double', 'doubleToLongBits', CAST(`{score}` AS DOUBLE) + 0D) AS BIGINT)"
+    turned = F.expr(f"shiftright(CASE WHEN {bits} < 0 THEN {bits} ^ {2 ** 63 - 1} ELSE {bits} END, 1)")
+    return F.when(F.col(score).isNotNull(), turned)
+
+
+def radix_pieces(hist: DataFrame, score: str, dense: int = 1 << 16, fan: int = 4096) -> DataFrame:
+    """``hist`` (one row per score) with ``_p0``, ``_p1``, ``_p2``: nested pieces of the order of the scores.
+
+    The range of the scores' bits is cut in ``fan`` equal parts. A part that holds
+    more than ``dense`` scores, by count, is cut again between its own least and
+    greatest, in as many parts as its count asks for, and those once more. So
+    scores may lie in any range, on any scale, or in clusters.
+    """
+    out = hist.withColumn("_key", order_bits(score, hist.schema[score].dataType))
+    ends = out.select(F.min("_key").alias("lo"), F.max("_key").alias("hi"))
+    lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
+    out = out.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_p0", F.expr(f"(_key - _lo) div ((_hi - _lo) div {fan} + 1)")).drop("_lo", "_hi")
+    for level in (1, 2):
+        names = [f"_p{i}" for i in range(level)]
+        stats = out.groupBy(*names).agg(F.count(F.lit(1)).alias("_count"), F.min("_key").alias("_least"), F.max("_key").alias("_most"))
+        stats = stats.where(f"_count > {dense}").select(*[F.col(n).alias(f"_of{n}") for n in names], "_count", "_least", "_most")
+        finer = F.expr(f"(_key - _least) div ((_most - _least) div (_count div {dense} + 1) + 1)")
+        out = out.join(stats, _same(names, [f"_of{n}" for n in names]), "left").withColumn(f"_p{level}", F.coalesce(finer, F.lit(0))).select(
+            *hist.columns, "_key", *names, f"_p{level}")
+    return out.drop("_key")
+
+
 def global_rank(df: DataFrame, score: str, descending: bool = True, rank_col: str = "rank",
-                dense_col: str = "dense_rank") -> DataFrame:
-    """``RANK()`` and ``DENSE_RANK()`` over the whole table, computed from the histogram of a numeric score."""
-    hist = df.groupBy(score).agg(F.count(F.lit(1)).alias("_n"))
+                dense_col: str = "dense_rank", dense: int = 1 << 16) -> DataFrame:
+    """``RANK()`` and ``DENSE_RANK()`` over the whole table, computed from the histogram of a numeric score.
+
+    The histogram is summed up over the pieces of ``radix_pieces``; ``dense`` is the number of scores above which a
+    piece is cut further.
+    """
+    hist = radix_pieces(df.groupBy(score).agg(F.count(F.lit(1)).alias("_n")), score, dense)
     # Null scores sort last for DESC and first for ASC (Spark, SQL Server, DuckDB agree for DESC).
-    key, piece = ((score, "desc"), (F.floor(score), "desc")) if descending else (score, F.floor(score))
-    ranked = running_sums(hist, {"_before": "_n", "_dense": F.lit(1).cast("bigint")}, [key], [piece], exclusive=True)
+    way = "desc" if descending else "asc"
+    ranked = running_sums(hist, {"_before": "_n", "_dense": F.lit(1).cast("bigint")}, [(score, way)],
+                          [("_p0", way), ("_p1", way), ("_p2", way)], exclusive=True)
     ranked = ranked.select(
         F.col(score).alias("_score"),
         (F.col("_before") + 1).cast("bigint").alias(rank_col),

@@ -21,7 +21,7 @@ from riskspark.plans.registry_core import CRISIS_COUNTRY
 from riskspark.sources import ingest
 from riskspark.session import scratch_path
 from riskspark.sources.bindings import SHIPMENT_KEY, Domain
-from riskspark.sources.model import MODEL_SQL, model_tables
+from riskspark.sources.model import MODEL_SQL, PAIRS, model_tables, model_views
 from riskspark.sources.schema import DOMAIN_RULES, TABLES, TableSpec
 from riskspark.sources.tables import DRIVER_KEYS
 
@@ -434,7 +434,7 @@ _NAMES = [t.name for t in TABLES]
 SELECT table_name, row_count FROM counts
 UNION ALL SELECT 'TOTAL', CAST(SUM(row_count) AS BIGINT) FROM counts""")
 def u01(d: Domain):
-    return DQ.row_counts(model_tables(d))
+    return DQ.view_row_counts(*model_views(d))
 
 
 @register("u04_zero_filled_trend", """
@@ -464,12 +464,14 @@ def f12(d: Domain):
 
 
 # -- D: data-quality audits -------------------------------------------------------------------
+_KEYS = {t.name: PAIRS.get(t.name, t.pk) for t in TABLES}
+
+
 @register("d01_pk_duplicates", MODEL_SQL + "\nUNION ALL\n".join(
-    f"SELECT '{t.name}' AS table_name, CONCAT_WS('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in t.pk)}) AS key_value, "
-    f"COUNT(*) AS occurrences FROM m_{t.name} GROUP BY {', '.join(t.pk)} HAVING COUNT(*) > 1" for t in TABLES))
+    f"SELECT '{t}' AS table_name, CONCAT_WS('|', {', '.join(f'CAST({k} AS VARCHAR)' for k in key)}) AS key_value, "
+    f"COUNT(*) AS occurrences FROM m_{t} GROUP BY {', '.join(key)} HAVING COUNT(*) > 1" for t, key in _KEYS.items()))
 def d01(d: Domain):
-    tables = model_tables(d)
-    return reduce(lambda a, b: a.unionByName(b), [DQ.pk_duplicates(tables[t.name], t.pk, t.name) for t in TABLES])
+    return DQ.view_pk_duplicates(*model_views(d), _KEYS)
 
 
 _FKS = [DQ.ForeignKey(t.name, cols, parent, pcols) for t in TABLES for cols, parent, pcols in t.fks]
@@ -481,18 +483,17 @@ _FKS = [DQ.ForeignKey(t.name, cols, parent, pcols) for t in TABLES for cols, par
     f"(SELECT 1 FROM m_{f.parent} pa WHERE pa.{f.parent_columns[0]} = ch.{f.columns[0]})"
     for f in _FKS))
 def d02(d: Domain):
-    return DQ.fk_audit(model_tables(d), _FKS)
+    return DQ.view_fk_audit(*model_views(d), _FKS)
 
 
-_REQUIRED = {t.name: tuple(dict.fromkeys((*t.pk, *t.not_null))) for t in TABLES}
+_REQUIRED = {t.name: tuple(dict.fromkeys((*PAIRS.get(t.name, t.pk), *t.not_null))) for t in TABLES}
 
 
 @register("d03_null_audit", MODEL_SQL + "\nUNION ALL\n".join(
     f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS null_rows FROM m_{t}"
     for t, cs in _REQUIRED.items() for c in cs))
 def d03(d: Domain):
-    tables = model_tables(d)
-    return reduce(lambda a, b: a.unionByName(b), [DQ.null_audit(tables[t], t, cs) for t, cs in _REQUIRED.items()])
+    return DQ.view_null_audit(*model_views(d), _REQUIRED)
 
 
 # The declared value rules, and two that the model's loader relies on.
@@ -516,8 +517,8 @@ _SOURCES = {"countries": "nation", "suppliers": "supplier", "factories": "custom
     f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM m_{t}) AS row_count, (SELECT COUNT(*) FROM {src}) AS expected_rows, "
     f"(SELECT COUNT(*) FROM m_{t}) = (SELECT COUNT(*) FROM {src}) AS matches" for t, src in _SOURCES.items()))
 def d06(d: Domain):
-    tables = model_tables(d)
-    counts = DQ.row_counts({t: tables[t] for t in _SOURCES}, with_total=False)
+    sources, views = model_views(d)
+    counts = DQ.view_row_counts(sources, [v for v in views if v.name in _SOURCES], with_total=False)
     expected = DQ.row_counts({t: d.t.read(src) for t, src in _SOURCES.items()}, with_total=False)
     return DQ.reconcile(counts, expected.withColumnRenamed("row_count", "expected_rows"))
 

@@ -145,15 +145,19 @@ class Domain:
 
     # -- risk signals -----------------------------------------------------
     @cached_property
-    def weather_events(self) -> DataFrame:
+    def placed_events(self) -> DataFrame:
+        """The events with a country and a date."""
         return self.t.events.select(
-            F.col("event_id").alias("weather_event_id"),
+            "event_id", "user_id", "event_type", "value",
             (F.col("user_id") % N_COUNTRIES).cast("int").alias("country_id"),
             F.date_add(F.lit(WEATHER_EPOCH).cast("date"),
                        ((F.col("event_id") * WEATHER_SPREAD_MULT) % WEATHER_SPREAD_DAYS).cast("int"))
-            .alias("event_date"),
-            "event_type",
-            F.col("value").alias("severity_score"))
+            .alias("event_date"))
+
+    @cached_property
+    def weather_events(self) -> DataFrame:
+        return self.placed_events.select(F.col("event_id").alias("weather_event_id"), "country_id", "event_date",
+                                         "event_type", F.col("value").alias("severity_score"))
 
     @cached_property
     def fuel_prices(self) -> DataFrame:

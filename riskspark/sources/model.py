@@ -14,9 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskspark.operators.quality import View
 from riskspark.sources.bindings import Domain
 
-_PAIR = 10_000_000        # ids of the second table of a pair lie below this
 _STATUS = {"O": "Pending", "P": "Shipped", "F": "Received"}
 
 
@@ -28,52 +28,65 @@ def _month_no(c: str):
     return F.year(c) * 12 + F.month(c)
 
 
-def model_tables(d: Domain) -> dict[str, DataFrame]:
-    li, o = d.t.lineitem, d.t.orders
-    lines = li.select(
-        _line_id().alias("line_id"), F.col("l_orderkey").alias("po_id"), F.col("l_partkey").alias("product_id"), F.col("l_suppkey").alias("supplier_id"),
-        F.col("l_linenumber").alias("warehouse_id"), F.to_date("l_shipdate").alias("ship_date"), "l_quantity", "l_returnflag")
-    sold = li.join(o, li.l_orderkey == o.o_orderkey)
+def model_views(d: Domain) -> tuple[dict[str, DataFrame], list[View]]:
+    """(sources, views): the 18 tables as filters and projections of as few sources as can be, so that audits read each once."""
+    o = d.t.orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"))
+    li = d.t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag",
+                             F.to_date("l_shipdate").alias("ship_date"), _line_id().alias("line_id"))
     status = F.create_map(*[F.lit(x) for kv in _STATUS.items() for x in kv])
-    events = d.t.events.select("event_id", "user_id", "event_type", "value",
-                               F.col("event_id").alias("weather_event_id"), F.col("event_id").alias("news_event_id"))
-    weather = d.weather_events.select("weather_event_id", "country_id", "event_date", "severity_score")
-    fuel = d.fuel_prices.join(d.t.region.select(F.col("r_name").alias("region"), "r_regionkey"), "region")
-    return {
-        "countries": d.countries,
-        "suppliers": d.suppliers,
-        "factories": d.t.read("customer").select(F.col("c_custkey").alias("factory_id"), F.col("c_name").alias("factory_name"),
-                                                 F.col("c_nationkey").alias("country_id")),
-        "products": d.products,
-        "warehouses": li.groupBy(F.col("l_linenumber").alias("warehouse_id")).agg(F.count(F.lit(1)).alias("_n")).select(
-            "warehouse_id", F.concat(F.lit("Warehouse "), F.col("warehouse_id").cast("string")).alias("warehouse_name"),
-            F.col("warehouse_id").alias("country_id")),
-        "ports": d.ports,
-        "supplier_products": lines.select("supplier_id", "product_id").distinct().withColumn(
-            "supplier_product_id", F.col("product_id") * _PAIR + F.col("supplier_id")),
-        "factory_suppliers": sold.select(F.col("o_custkey").alias("factory_id"), F.col("l_suppkey").alias("supplier_id")).distinct()
-        .withColumn("factory_supplier_id", F.col("factory_id") * _PAIR + F.col("supplier_id")),
-        "product_factories": sold.select(F.col("l_partkey").alias("product_id"), F.col("o_custkey").alias("factory_id")).distinct()
-        .withColumn("product_factory_id", F.col("product_id") * _PAIR + F.col("factory_id")),
-        "political_risk_index": d.political_risk_index.withColumn(
-            "political_risk_id", (F.col("country_id") * 100_000 + _month_no("month_year")).cast("bigint")),
-        "weather_events": weather.join(events.select("weather_event_id", F.col("user_id").alias("port_id")), "weather_event_id"),
-        "news_events": weather.select(F.col("weather_event_id").alias("news_event_id"), "country_id", "event_date").join(
-            events.select("news_event_id", F.col("user_id").alias("supplier_id"), (F.col("value") / 100 - 1).alias("sentiment_score")), "news_event_id"),
-        "fuel_prices": fuel.select(((_month_no("month_year")) * 10 + F.col("r_regionkey")).cast("bigint").alias("fuel_price_id"),
-                                   "region", "month_year", "price_per_barrel"),
-        "purchase_orders": d.purchase_orders.withColumn("status", F.try_element_at(status, F.col("status"))),
-        "shipments": lines.select(
-            F.col("line_id").alias("shipment_id"), "po_id", F.col("supplier_id").alias("origin_port_id"),
-            F.col("warehouse_id").alias("destination_warehouse_id"), "ship_date",
-            F.greatest(F.col("l_quantity") - 30, F.lit(0)).cast("int").alias("delay_days"),
-            F.when(F.col("l_quantity") <= 30, "None").when(F.col("l_returnflag") == "R", "Weather")
-            .when(F.col("l_returnflag") == "A", "Port Congestion").otherwise("Political").alias("delay_reason")),
-        "customer_orders": sold.select(_line_id().alias("order_id"), F.col("l_partkey").alias("product_id"),
-                                       F.col("l_linenumber").alias("warehouse_id"), F.to_date("o_orderdate").alias("order_date")),
-        "inventory": lines.select(F.col("line_id").alias("inventory_id"), "product_id", "warehouse_id", F.col("ship_date").alias("snapshot_date")),
-        "returns": lines.where("l_returnflag = 'R'").select(F.col("line_id").alias("return_id"), F.col("line_id").alias("order_id"), "l_quantity"),
+    c = F.col
+    fuel = d.fuel_prices.join(d.t.region.select(c("r_name").alias("region"), "r_regionkey"), "region")
+    sources = {
+        "countries": d.countries, "suppliers": d.suppliers, "ports": d.ports, "products": d.products, "customers": d.t.read("customer"),
+        "months": d.political_risk_index.withColumn("political_risk_id", (c("country_id") * 100_000 + _month_no("month_year")).cast("bigint")),
+        "events": d.placed_events,
+        "fuel": fuel, "orders": d.purchase_orders.withColumn("status", F.try_element_at(status, c("status"))),
+        "lines": li.join(o, li.l_orderkey == o.o_orderkey, "left"),
     }
+    sold, returned = c("o_orderkey").isNotNull(), c("l_returnflag") == "R"
+
+    def same(name: str, source: str) -> View:
+        return View(name, source, {x: c(x) for x in sources[source].columns})
+
+    views = [
+        same("countries", "countries"), same("suppliers", "suppliers"),
+        View("factories", "customers", {"factory_id": c("c_custkey"), "factory_name": c("c_name"), "country_id": c("c_nationkey")}),
+        same("products", "products"),
+        View("warehouses", "lines", {"warehouse_id": c("l_linenumber")}, distinct=True, derived=lambda of: {
+            "warehouse_name": F.concat(F.lit("Warehouse "), of["warehouse_id"].cast("string")), "country_id": of["warehouse_id"]}),
+        same("ports", "ports"),
+        View("supplier_products", "lines", {"supplier_id": c("l_suppkey"), "product_id": c("l_partkey")}, distinct=True),
+        View("factory_suppliers", "lines", {"factory_id": c("o_custkey"), "supplier_id": c("l_suppkey")}, sold, distinct=True),
+        View("product_factories", "lines", {"product_id": c("l_partkey"), "factory_id": c("o_custkey")}, sold, distinct=True),
+        same("political_risk_index", "months"),
+        View("weather_events", "events", {"weather_event_id": c("event_id"), "country_id": c("country_id"), "port_id": c("user_id"),
+                                          "event_date": c("event_date"), "severity_score": c("value")}),
+        View("news_events", "events", {"news_event_id": c("event_id"), "country_id": c("country_id"), "supplier_id": c("user_id"),
+                                       "event_date": c("event_date"), "sentiment_score": c("value") / 100 - 1}),
+        View("fuel_prices", "fuel", {"fuel_price_id": (_month_no("month_year") * 10 + c("r_regionkey")).cast("bigint"), "region": c("region"),
+                                     "month_year": c("month_year"), "price_per_barrel": c("price_per_barrel")}),
+        same("purchase_orders", "orders"),
+        View("shipments", "lines", {
+            "shipment_id": c("line_id"), "po_id": c("l_orderkey"), "origin_port_id": c("l_suppkey"), "destination_warehouse_id": c("l_linenumber"),
+            "ship_date": c("ship_date"), "delay_days": F.greatest(c("l_quantity") - 30, F.lit(0)).cast("int"),
+            "delay_reason": F.when(c("l_quantity") <= 30, "None").when(returned, "Weather").when(c("l_returnflag") == "A", "Port Congestion").otherwise("Political")}),
+        View("customer_orders", "lines", {"order_id": c("line_id"), "product_id": c("l_partkey"), "warehouse_id": c("l_linenumber"),
+                                          "order_date": c("order_date")}, sold),
+        View("inventory", "lines", {"inventory_id": c("line_id"), "product_id": c("l_partkey"), "warehouse_id": c("l_linenumber"),
+                                    "snapshot_date": c("ship_date")}),
+        View("returns", "lines", {"return_id": c("line_id"), "order_id": c("line_id"), "l_quantity": c("l_quantity")}, returned),
+    ]
+    return sources, views
+
+
+def model_tables(d: Domain) -> dict[str, DataFrame]:
+    sources, views = model_views(d)
+    return {v.name: v.frame(sources) for v in views}
+
+
+#: What identifies a row of the link tables: the pair, whatever ids a table may carry.
+PAIRS = {"supplier_products": ("supplier_id", "product_id"), "factory_suppliers": ("factory_id", "supplier_id"),
+         "product_factories": ("product_id", "factory_id")}
 
 
 #: CTEs after ``oracle.BINDING_SQL``: the model's tables as ``m_<name>``.
@@ -83,12 +96,12 @@ m_ports AS (SELECT * FROM ports),
 m_factories AS (SELECT c_custkey AS factory_id, c_name AS factory_name, c_nationkey AS country_id FROM customer),
 m_warehouses AS (SELECT DISTINCT l_linenumber AS warehouse_id, 'Warehouse ' || l_linenumber AS warehouse_name,
                  l_linenumber AS country_id FROM lineitem),
-m_supplier_products AS (SELECT DISTINCT l_partkey * 10000000 + l_suppkey AS supplier_product_id, l_suppkey AS supplier_id,
+m_supplier_products AS (SELECT DISTINCT l_suppkey AS supplier_id,
                         l_partkey AS product_id FROM lineitem),
 sold AS (SELECT * FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
-m_factory_suppliers AS (SELECT DISTINCT o_custkey * 10000000 + l_suppkey AS factory_supplier_id, o_custkey AS factory_id,
+m_factory_suppliers AS (SELECT DISTINCT o_custkey AS factory_id,
                         l_suppkey AS supplier_id FROM sold),
-m_product_factories AS (SELECT DISTINCT l_partkey * 10000000 + o_custkey AS product_factory_id, l_partkey AS product_id,
+m_product_factories AS (SELECT DISTINCT l_partkey AS product_id,
                         o_custkey AS factory_id FROM sold),
 m_political_risk_index AS (SELECT *, country_id * 100000 + YEAR(month_year) * 12 + MONTH(month_year) AS political_risk_id
                            FROM political_risk_index),

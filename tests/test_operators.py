@@ -255,3 +255,32 @@ def test_results_do_not_depend_on_segments(spark):
     df = spark.createDataFrame(data, "d date, k int, v int")
     outs = [rows(W.running_sums(df, {"run": "v"}, ["d", "k"], ["d", W.id_range("k", w)]), "k", "run") for w in (7, 100, 10**9)]
     assert outs[0] == outs[1] == outs[2]
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_of_scores_in_any_range(spark, descending):
+    """Scores within [0, 1), on all scales, in a cluster beside an outlier, negative, infinite, NaN and null."""
+    wide = spark.range(3000).select(F.expr("CAST(id % 1000 AS DOUBLE) / 1000 * power(10D, id % 41 - 20) * (CASE WHEN id % 3 = 0 THEN -1 ELSE 1 END)").alias("s"))
+    tight = spark.range(2000).select(F.expr("5D + id * 1e-13D").alias("s"))
+    odd = spark.sql("SELECT explode(array(CAST('Infinity' AS DOUBLE), CAST('-Infinity' AS DOUBLE), CAST('NaN' AS DOUBLE), 0D, -0D, NULL, NULL, 1e300D)) AS s")
+    df = wide.union(tight).union(odd)
+    order = F.col("s").desc_nulls_last() if descending else F.col("s").asc_nulls_first()
+    w = Window.orderBy(order)
+    key = lambda r: tuple(str(x) for x in r)
+    want = sorted((tuple(r) for r in df.select("s", F.rank().over(w), F.dense_rank().over(w)).collect()), key=key)
+    got = sorted((tuple(r) for r in W.global_rank(df, "s", descending, dense=20).select("s", "rank", "dense_rank").collect()), key=key)
+    assert [key(x) for x in got] == [key(x) for x in want]
+    for kind in ("int", "decimal(9,2)", "float"):
+        typed = spark.range(500).select(((F.col("id") * 37 % 101) - 50).cast(kind).alias("s"))
+        w2 = Window.orderBy(F.col("s").desc() if descending else F.col("s"))
+        assert sorted(map(tuple, typed.select("s", F.rank().over(w2), F.dense_rank().over(w2)).collect())) == \
+            sorted(map(tuple, W.global_rank(typed, "s", descending, dense=5).select("s", "rank", "dense_rank").collect()))
+
+
+def test_scores_between_0_and_1_give_many_segments(spark):
+    hist = spark.range(200_000).select(F.expr("(id * 7919 % 200000) / 200000D").alias("s")).withColumn("_n", F.lit(1))
+    sizes = W.radix_pieces(hist, "s", dense=1000).groupBy("_p0", "_p1", "_p2").count().agg(F.count(F.lit(1)), F.max("count")).first()
+    assert sizes[0] >= 200 and sizes[1] <= 2000
+    close = spark.range(50_000).select(F.expr("1D + id * 1e-15D").alias("s")).distinct().union(spark.sql("SELECT 1e9D")).withColumn("_n", F.lit(1))
+    parts = W.radix_pieces(close, "s", dense=100).groupBy("_p0", "_p1", "_p2").count().agg(F.max("count")).first()[0]
+    assert parts <= 400

@@ -315,3 +315,51 @@ def test_scratch_output_goes_under_the_checkpoint_dir(spark):
     assert scratch_path(spark, "x").startswith(base.rstrip("/") + "/riskspark-scratch/x-")
     df = materialize(spark.range(10), "t")
     assert df.count() == 10 and all(base.rstrip("/").split(":")[-1] in f for f in df.inputFiles())
+
+
+# -- audits over views of shared sources -----------------------------------------------------------
+def test_view_audits_equal_table_audits(spark):
+    from riskspark.operators.quality import View
+
+    big = 10_000_001
+    lines = spark.createDataFrame(
+        [(1, big, 3, "R"), (1, big, 3, "A"), (2, 1, big + 2, "R"), (2, 1, big + 2, None), (3, None, 4, "R"), (4, 9, 4, "N")],
+        "line long, part long, supp long, flag string")
+    parts = spark.createDataFrame([(big, "a"), (1, None), (1, "c")], "part_id long, part_name string")
+    sources = {"lines": lines, "parts": parts}
+    c = F.col
+    views = [View("parts", "parts", {"part_id": c("part_id"), "part_name": c("part_name")}),
+             View("lines", "lines", {"line_id": c("line"), "part_id": c("part")}),
+             View("returns", "lines", {"return_id": c("line"), "line_id": c("line")}, c("flag") == "R"),
+             View("pairs", "lines", {"part_id": c("part"), "supp_id": c("supp")}, distinct=True,
+                  derived=lambda of: {"twice": of["part_id"] * 2})]
+    keys = {"parts": ["part_id"], "lines": ["line_id"], "returns": ["return_id"], "pairs": ["part_id", "supp_id"]}
+    tables = {v.name: v.frame(sources) for v in views}
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    from functools import reduce as fold
+
+    union = lambda parts: rows(fold(lambda a, b: a.unionByName(b), parts))
+    assert rows(DQ.view_row_counts(sources, views)) == rows(DQ.row_counts(tables))
+    assert dict(rows(DQ.view_row_counts(sources, views)))["pairs"] == 4
+    assert rows(DQ.view_pk_duplicates(sources, views, keys)) == union([DQ.pk_duplicates(tables[t], k, t) for t, k in keys.items()])
+    required = {"parts": ["part_name"], "lines": ["part_id"], "returns": ["line_id"], "pairs": ["part_id", "supp_id", "twice"]}
+    assert rows(DQ.view_null_audit(sources, views, required)) == union([DQ.null_audit(tables[t], t, cs) for t, cs in required.items()])
+    fks = [DQ.ForeignKey("lines", ("part_id",), "parts", ("part_id",)), DQ.ForeignKey("pairs", ("part_id",), "parts", ("part_id",)),
+           DQ.ForeignKey("returns", ("line_id",), "lines", ("line_id",))]
+    assert rows(DQ.view_fk_audit(sources, views, fks)) == rows(DQ.fk_audit(tables, fks))
+
+
+def test_pairs_of_large_ids_are_not_confused(spark):
+    """With an id of first * 10,000,000 + second these two pairs would be one."""
+    pairs = spark.createDataFrame([(1, 10_000_001), (2, 1)], "product_id long, supplier_id long")
+    assert DQ.pk_duplicates(pairs, ["product_id", "supplier_id"], "p").count() == 0
+
+
+def test_audits_read_lineitem_few_times(spark):
+    """The lines once for plain and once for distinct tables, the orders, the fuel prices, and the month bounds."""
+    import __spark_entry__ as E
+    from conftest import SF01
+
+    for key in ("u01_row_counts", "d01_pk_duplicates", "d02_fk_orphans", "d03_null_audit", "d06_reconcile"):
+        physical = E.queries()[key](spark, SF01)._jdf.queryExecution().executedPlan().toString()
+        assert sum("FileScan" in x and "lineitem.parquet" in x for x in physical.splitlines()) <= 6, (key, physical)
