@@ -36,7 +36,7 @@ def _quoted(rule: str) -> str:
     return rule.replace("'", "")
 
 
-def _hash_sql(*exprs: str, seed: int = 42) -> str:
+def _hash_sql(*exprs: str, seed: "int | str" = 42) -> str:
     parts = " || ':' || ".join(f"CAST({e} AS VARCHAR)" for e in exprs)
     return f"('0x' || SUBSTR(MD5('{seed}' || ':' || {parts}), 1, 15))::BIGINT"
 
@@ -558,12 +558,20 @@ def g03(d: Domain):
 
 
 @register("g04_weighted_pick", f"""
-, w AS (SELECT country_id, CAST(COUNT(*) AS DOUBLE) AS weight FROM suppliers GROUP BY country_id),
-c AS (SELECT country_id, SUM(weight) OVER (ORDER BY country_id ROWS UNBOUNDED PRECEDING)
-                         / (SELECT SUM(weight) FROM w) AS hi FROM w),
-i AS (SELECT country_id, COALESCE(LAG(hi) OVER (ORDER BY country_id), 0.0) AS lo, hi FROM c),
-p AS (SELECT product_id, {_hash_sql('product_id')} / CAST({HASH_RANGE} AS DOUBLE) AS u FROM products)
-SELECT p.product_id, i.country_id FROM p JOIN i ON p.u >= i.lo AND p.u < i.hi""")
+, w AS (SELECT country_id, COUNT(*) AS w, {_hash_sql('country_id', seed='42/cells')} AS h FROM suppliers GROUP BY country_id),
+n AS (SELECT COUNT(*) AS n, SUM(w)::BIGINT AS total FROM w),
+r AS (SELECT country_id, ROW_NUMBER() OVER (ORDER BY h, country_id) - 1 AS cell, n * w AS nw, total, n * w - total AS over,
+             SUM(GREATEST(total - n * w, 0)) OVER o AS lacks, SUM(GREATEST(n * w - total, 0)) OVER o AS spares
+      FROM w, n WINDOW o AS (ORDER BY h, country_id ROWS UNBOUNDED PRECEDING)),
+cells AS (
+  SELECT cell, country_id, CASE WHEN over < 0 THEN nw WHEN over = 0 THEN total
+                                ELSE total + spares - (SELECT MIN(lacks) FROM r l WHERE l.over < 0 AND l.lacks >= r.spares) END / total AS share,
+         (SELECT ARG_MIN(country_id, spares) FROM r h WHERE h.over > 0
+          AND h.spares > CASE WHEN r.over < 0 THEN r.lacks + r.over ELSE r.spares END) AS other
+  FROM r),
+p AS (SELECT product_id, {_hash_sql('product_id')} AS h, {_hash_sql('product_id', seed='42/share')} / CAST({HASH_RANGE} AS DOUBLE) AS u FROM products)
+SELECT p.product_id, CASE WHEN u < share THEN country_id ELSE COALESCE(other, country_id) END AS country_id
+FROM p, n, cells WHERE cells.cell = p.h % n.n""")
 def g04(d: Domain):
     # a country's weight is its number of suppliers
     w = d.suppliers.groupBy("country_id").agg(F.count(F.lit(1)).alias("weight"))

@@ -363,3 +363,42 @@ def test_audits_read_lineitem_few_times(spark):
     for key in ("u01_row_counts", "d01_pk_duplicates", "d02_fk_orphans", "d03_null_audit", "d06_reconcile"):
         physical = E.queries()[key](spark, SF01)._jdf.queryExecution().executedPlan().toString()
         assert sum("FileScan" in x and "lineitem.parquet" in x for x in physical.splitlines()) <= 6, (key, physical)
+
+
+# -- G4: alias table -------------------------------------------------------------------------------
+def _parts(table, n):
+    """The part of the whole that each category gets from its own cell and from others."""
+    got = {}
+    for r in table.collect():
+        got[r.c] = got.get(r.c, 0.0) + r.share / n
+        if r.share < 1:
+            got[r.other] = got.get(r.other, 0.0) + (1 - r.share) / n
+    return got
+
+
+@pytest.mark.parametrize("kind", ["equal", "one", "steep", "fractions", "random"])
+def test_alias_table_gives_every_category_its_part(spark, kind):
+    import random
+
+    from riskspark.operators.sampling import alias_table
+
+    rnd = random.Random(3)
+    w = {"equal": [2.0] * 40, "one": [5.0], "steep": [2.0 ** i for i in range(40)], "fractions": [0.1, 0.2, 0.3, 0.05, 0.35],
+         "random": [rnd.randint(1, 1000) for _ in range(300)]}[kind]
+    df = spark.createDataFrame([(i, float(x)) for i, x in enumerate(w)] + [(900, 0.0), (901, None)], "c int, w double")
+    table = alias_table(df, "c", "w", "c")
+    assert sorted(r.cell for r in table.collect()) == list(range(len(w)))
+    got = _parts(table, len(w))
+    assert set(got) == set(range(len(w)))
+    assert all(abs(got[i] - x / sum(w)) < 1e-9 for i, x in enumerate(w))
+
+
+def test_weighted_pick_of_many_categories_is_an_equi_join(spark):
+    """A million categories: no cross or nested-loop join, no window over all of them, everyone gets one category."""
+    cats = spark.range(1_000_000).select(F.col("id").alias("c"), (F.col("id") % 7 + 1).alias("w"))
+    picks = weighted_pick(spark.range(20_000).withColumnRenamed("id", "e"), "e", cats, "c", "w")
+    plan = picks._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    got = picks.groupBy((F.col("c") % 7).alias("k")).count().collect()
+    assert sum(r["count"] for r in got) == 20_000
+    assert all(abs(r["count"] / 20_000 - (r.k + 1) / 28) < 0.02 for r in got)
