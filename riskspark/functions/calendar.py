@@ -40,6 +40,21 @@ def month_series(bounds: DataFrame, lo: str = "lo", hi: str = "hi", out: str = "
     return bounds.select(F.explode(seq).alias(out))
 
 
+def month_series_by_recursion(bounds: DataFrame, lo: str = "lo", hi: str = "hi", out: str = "month_start", max_level: int = 100) -> DataFrame:
+    """``month_series`` of one row of bounds by the engine's recursion; needing more than ``max_level`` levels fails the query.
+
+    A level is a pass over one row, so this is for calendars; ``month_series``
+    gives the same months in one step.
+    """
+    firsts = bounds.select(F.trunc(F.col(lo), "MM").alias("lo"), F.trunc(F.col(hi), "MM").alias("hi"))
+    return bounds.sparkSession.sql(f"""
+        WITH RECURSIVE months(month_start, last) MAX RECURSION LEVEL {int(max_level)} AS (
+          SELECT lo, hi FROM {{bounds}} WHERE lo <= hi
+          UNION ALL
+          SELECT CAST(add_months(month_start, 1) AS DATE), last FROM months WHERE month_start < last)
+        SELECT month_start FROM months""", bounds=firsts).withColumnRenamed("month_start", out)
+
+
 def explode_months(df: DataFrame, lo: Column, hi: Column, out: str = "month_year") -> DataFrame:
     """Entity x calendar panel: every row of ``df`` repeated for each month in [lo, hi].
 

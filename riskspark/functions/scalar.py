@@ -68,3 +68,12 @@ def concat_strict(*cols: str | Column) -> Column:
 
 def in_list(c: str | Column, values: Sequence) -> Column:
     return col_of(c).isin(list(values))
+
+
+def text_key(c: str | Column) -> Column:
+    """A text that is equal to others as the reference's server compares: without case and trailing blanks.
+
+    Filters, joins and groupings on it stay ordinary ones (hash or sort on the
+    collation's key); plain columns keep comparing byte by byte.
+    """
+    return F.collate(col_of(c).cast("string"), "UTF8_LCASE_RTRIM")

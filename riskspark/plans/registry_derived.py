@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.functions.calendar import explode_months, zero_fill
-from riskspark.functions.scalar import HASH_RANGE, concat_strict, in_list, int_trunc, month_key, portable_hash
+from riskspark.functions.calendar import explode_months, month_index, zero_fill
+from riskspark.functions.scalar import HASH_RANGE, concat_strict, in_list, int_trunc, month_key, portable_hash, text_key
 from riskspark.operators import quality as DQ
 from riskspark.operators.lookups import lookup_default, lookup_monthly, monthly_max, tiered_lookup
 from riskspark.operators.sampling import exact_fraction, sample_per_group, sample_with_replacement, weighted_pick
 from riskspark.operators.snapshots import SnapshotStore
+from riskspark.operators.windows import id_range
 from riskspark.plans import queries as Q
 from riskspark.plans import scoring as S
 from riskspark.plans.catalog import register
@@ -132,6 +133,23 @@ def s_catalog_explode(d: Domain):
                                    ["Standard", "Pro", "Compact"])
 
 
+CATALOG_CAP = 60         # the reference's fixed-size product list
+
+
+@register("s08_nested_catalog_cap", f"""
+, variants(variant, variant_pos) AS (VALUES ('Standard', 0), ('Pro', 1), ('Compact', 2)),
+first AS (SELECT category, product_id, variant, product_name || ' - ' || variant AS variant_name, variant_pos
+          FROM products CROSS JOIN variants ORDER BY category, product_id, variant_pos LIMIT {CATALOG_CAP})
+SELECT category, product_id, variant, variant_name, ROW_NUMBER() OVER (ORDER BY category, product_id, variant_pos) AS catalog_id FROM first""")
+def s08(d: Domain):
+    # Pages of 64 ids, each a nested map of categories to their items, flattened and then capped in catalog order.
+    item = F.struct("product_id", "product_name").alias("item")
+    lists = d.products.groupBy(id_range("product_id", 64).alias("page"), "category").agg(F.collect_list(item).alias("items"))
+    pages = lists.groupBy("page").agg(F.map_from_entries(F.collect_list(F.struct("category", "items"))).alias("catalog"))
+    flat = ingest.flatten_catalog(pages).select("category", "item.product_id", "item.product_name")
+    return ingest.explode_variants(flat, "category", "product_id", "product_name", ["Standard", "Pro", "Compact"], cap=CATALOG_CAP)
+
+
 # -- P: predicates ----------------------------------------------------------------------
 EXTERNAL_REASONS = ("Weather", "Political")     # causes outside the carrier's control [ours]
 
@@ -157,6 +175,32 @@ def p_in_subquery(d: Domain):
     return s.join(inner, "supplier_id", "left_semi").select("supplier_id", "supplier_name", "reliability_score")
 
 
+@register("p06_month_layout", """
+SELECT po_id, line_no, delay_days FROM shipments WHERE ship_date BETWEEN DATE '1997-06-01' AND DATE '1997-09-01'""")
+def p06(d: Domain):
+    # The reference's date index: the range is read from the written month layout, of which it opens four months.
+    path = scratch_path(d.spark, "month-layout")
+    ingest.write_shipments(d.shipments, path)
+    return Q.shipments_between(d.spark.read.parquet(path), "1997-06-01", "1997-09-01")
+
+
+@register("t12_text_equality", """
+, typed AS (SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN lower(n_name) WHEN 1 THEN n_name || '  ' ELSE n_name END AS country
+            FROM customer JOIN nation ON n_nationkey = c_nationkey)
+SELECT c.country_id, c.region, COUNT(*) AS customers, COUNT(CASE WHEN country = c.country_name THEN 1 END) AS same_bytes
+FROM typed JOIN countries c ON lower(rtrim(country)) = lower(rtrim(c.country_name)) GROUP BY 1, 2""")
+def t12(d: Domain):
+    # Country names as three hands wrote them: in lower case, with blanks behind, and as they are.
+    nation = d.t.nation.select("n_nationkey", "n_name")
+    name, which = F.col("n_name"), F.col("c_custkey") % 3
+    typed = d.t.read("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.when(which == 0, F.lower(name)).when(which == 1, F.concat(name, F.lit("  "))).otherwise(name).alias("country"))
+    counts = typed.groupBy("country").agg(F.count(F.lit(1)).alias("n"))
+    met = counts.join(d.countries, text_key("country") == text_key("country_name"))
+    return met.groupBy("country_id", "region").agg(
+        F.sum("n").alias("customers"), F.sum(F.when(F.col("country") == F.col("country_name"), F.col("n")).otherwise(0)).alias("same_bytes"))
+
+
 @register("p_scalar_subquery", f"""
 SELECT supplier_id, supplier_name FROM suppliers
 WHERE country_id = (SELECT country_id FROM countries WHERE country_name = '{CRISIS_COUNTRY}')""")
@@ -279,11 +323,12 @@ def f10(d: Domain):
 
 
 @register("f11_seasonal_position", """
-SELECT month_year, COUNT(*) AS shipments, ROUND(SIN(MONTH(month_year) / CAST(6 AS DOUBLE)), 6) AS season
-FROM (SELECT CAST(DATE_TRUNC('month', ship_date) AS DATE) AS month_year FROM shipments) GROUP BY month_year""")
+, m AS (SELECT CAST(DATE_TRUNC('month', ship_date) AS DATE) AS month_year, COUNT(*) AS shipments FROM shipments GROUP BY 1)
+SELECT month_year, shipments, ROUND(SIN(DATE_DIFF('month', (SELECT MIN(month_year) FROM m), month_year) / CAST(6 AS DOUBLE)), 6) AS season FROM m""")
 def f11(d: Domain):
+    first = d.month_bounds()[0]
     return (d.shipments.groupBy(month_key("ship_date").alias("month_year")).agg(F.count(F.lit(1)).alias("shipments"))
-            .withColumn("season", F.round(F.sin(F.month("month_year") / F.lit(6.0)), 6)))
+            .withColumn("season", F.round(F.sin(month_index("month_year", first) / F.lit(6.0)), 6)))
 
 
 LINE_LABELS = ("first", "second", "third", "fourth", "fifth", "sixth", "seventh")

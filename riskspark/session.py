@@ -74,20 +74,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint dir (never machine-local on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/riskspark-scratch/{name}-{uuid.uuid4().hex}"
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
-def materialize(df, name: str):
-    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
-
-    For an expensive input (a join) that several passes will read: they then
-    scan pruned parquet columns instead of recomputing the join and its
-    shuffles, and the lineage is cut, so a lost executor does not replay it.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from riskspark.operators.snapshots import Check, Snapshot, SnapshotStore
 from riskspark.session import scratch_path
+from riskspark.sources.csv_records import records
 from riskspark.sources.schema import BY_NAME, TABLES, TableSpec
 
 CORRUPT = "_corrupt_record"
@@ -36,14 +37,20 @@ CSV_OPTIONS = {
 }
 #: What quoted empty text is read as, so that it differs from an empty field; ``type_rows`` turns it back.
 _EMPTY = "\ue000"
-READ_OPTIONS = CSV_OPTIONS | {"emptyValue": _EMPTY, "multiLine": True, "enforceSchema": False, "mode": "PERMISSIVE",
+READ_OPTIONS = CSV_OPTIONS | {"emptyValue": _EMPTY, "mode": "PERMISSIVE",
                               "columnNameOfCorruptRecord": CORRUPT}
 
 
 def read_staged(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """Headered UTF-8 CSV with the staging schema. "None" stays a string; swapped header columns raise."""
+    """Headered UTF-8 CSV with the staging schema, by as many tasks as its size asks for. "None" stays a string; swapped header columns raise.
+
+    The files are cut into records first (``csv_records``), as a field may hold line ends; each record is then parsed by itself.
+    """
     schema = spec.staging_schema.add(T.StructField(CORRUPT, T.StringType(), True))
-    return spark.read.schema(schema).options(**READ_OPTIONS).csv(path)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in READ_OPTIONS.items()}
+    found = records(spark, path, [c for c, _ in spec.columns])
+    return found.select(F.from_csv("text", ddl, options).alias("row")).select("row.*")
 
 
 def type_rows(staged: DataFrame, spec: TableSpec) -> DataFrame:
@@ -180,10 +187,9 @@ def csv_roundtrip(df: DataFrame, defaults: Mapping[str, object] | None = None, p
     write_csv(df, path)
     spec = TableSpec("roundtrip", tuple((f.name, f.dataType) for f in df.schema.fields), (),
                      defaults=dict(defaults or {}))
-    good, bad = load_table(spark, path, spec)
-    if bad.limit(1).count():
-        raise ValueError(f"rows of {path} cannot be read back")
-    return good
+    typed = type_rows(read_staged(spark, path, spec), spec)
+    refused = F.raise_error(F.lit(f"rows of {path} cannot be read back"))
+    return typed.where(F.when(F.col("_bad"), refused.cast("boolean")).otherwise(True)).drop("_bad", CORRUPT)
 
 
 def values(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
@@ -192,21 +198,25 @@ def values(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame
 
 
 def explode_variants(items: DataFrame, category: str, item_id: str, item_name: str, variants: Sequence[str],
-                     cap: int | None = None) -> DataFrame:
+                     cap: int | None = None, width: int = 1 << 16) -> DataFrame:
     """Every item in every variant, numbered in catalog order (category, item, variant position).
 
     The variants are a literal array exploded per row (a generator, not a
-    join). ``cap`` keeps the first n catalog entries, the reference's
-    fixed-size product list; without it every combination is kept.
+    join). A category's items are numbered in ranges of ``width`` ids, so that no
+    category has a window of its own. ``cap`` keeps the first n catalog entries, the
+    reference's fixed-size product list: each task keeps its first n and those are
+    merged, so nothing but n rows is numbered.
     """
-    from riskspark.operators.windows import dense_position
+    from riskspark.operators.windows import dense_position, id_range
 
+    order = [category, item_id, "variant_pos"]
     exploded = items.select(category, item_id, item_name,
                             F.posexplode(F.array(*[F.lit(v) for v in variants])).alias("variant_pos", "variant"))
     exploded = exploded.withColumn("variant_name", F.concat(F.col(item_name), F.lit(" - "), F.col("variant")))
-    numbered = dense_position(exploded, [category, item_id, "variant_pos"], [category, item_id], "catalog_id", start=1)
     if cap is not None:
-        numbered = numbered.where(F.col("catalog_id") <= cap)
+        exploded = exploded.orderBy(*order).limit(cap)
+    numeric = isinstance(items.schema[item_id].dataType, T.NumericType)
+    numbered = dense_position(exploded, order, [category, id_range(item_id, width) if numeric else item_id], "catalog_id", start=1)
     return numbered.select(category, item_id, "variant", "variant_name", "catalog_id")
 
 
@@ -216,7 +226,3 @@ def flatten_catalog(catalog: DataFrame, map_col: str = "catalog", category: str
     cats = catalog.select(F.posexplode(F.map_entries(map_col)).alias("category_pos", "entry"))
     return cats.select("category_pos", F.col("entry.key").alias(category),
                        F.posexplode(F.col("entry.value")).alias("item_pos", item))
-
-
-def spec(name: str) -> TableSpec:
-    return BY_NAME[name]

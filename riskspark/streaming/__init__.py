@@ -24,7 +24,7 @@ from riskspark.sources.schema import TableSpec
 def read_csv_stream(spark: SparkSession, folder: str, spec: TableSpec, max_files_per_trigger: int = 100) -> DataFrame:
     schema = spec.staging_schema.add(T.StructField(CORRUPT, T.StringType(), True))
     return (spark.readStream.schema(schema)
-            .options(**READ_OPTIONS).option("maxFilesPerTrigger", max_files_per_trigger)
+            .options(**READ_OPTIONS, multiLine=True, enforceSchema=False).option("maxFilesPerTrigger", max_files_per_trigger)
             .csv(folder))
 
 

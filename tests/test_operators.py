@@ -223,7 +223,7 @@ def test_top_delays_dataframe_form_equals_sql_over_view(spark):
     from riskspark.plans.registry_core import as_doubles, summary
 
     d = catalog.domain(spark, SF001)
-    via_df = [tuple(r) for r in Q.top_delays(as_doubles(summary(d)), 20).collect()]
+    via_df = [tuple(r) for r in as_doubles(summary(d)).orderBy(F.desc("delay_days"), *Q.SUMMARY_ORDER).limit(20).collect()]
     via_sql = [tuple(r) for r in catalog.run("o04_top20_delays", spark, SF001).collect()]
     assert via_df == via_sql and len(via_df) == 20
 
@@ -284,3 +284,29 @@ def test_scores_between_0_and_1_give_many_segments(spark):
     close = spark.range(50_000).select(F.expr("1D + id * 1e-15D").alias("s")).distinct().union(spark.sql("SELECT 1e9D")).withColumn("_n", F.lit(1))
     parts = W.radix_pieces(close, "s", dense=100).groupBy("_p0", "_p1", "_p2").count().agg(F.max("count")).first()[0]
     assert parts <= 400
+
+
+def test_recursive_months_and_their_limit(spark):
+    bounds = spark.createDataFrame([(dt.date(2022, 1, 15), dt.date(2024, 12, 1))], "lo date, hi date")
+    got = [r.month_start for r in C.month_series_by_recursion(bounds).orderBy("month_start").collect()]
+    assert got == [r.month_start for r in C.month_series(bounds).orderBy("month_start").collect()] and len(got) == 36
+    with pytest.raises(Exception, match="RECURSION"):
+        C.month_series_by_recursion(bounds, max_level=10).collect()
+    assert C.month_series_by_recursion(bounds.where("lo > hi")).count() == 0
+
+
+def test_text_key_ignores_case_and_trailing_blanks_only(spark):
+    from riskspark.functions.scalar import text_key
+
+    rows = spark.createDataFrame([("Bangladesh",), ("BANGLADESH  ",), (" Bangladesh",), ("Bangla desh",), (None,)], "n string")
+    assert rows.where(text_key("n") == text_key(F.lit("bangladesh"))).count() == 2
+    assert rows.where(F.col("n") == "bangladesh").count() == 0
+    assert rows.groupBy(text_key("n").alias("k")).count().count() == 4
+
+
+def test_sql_function_rounds_its_parameter_as_declared(spark):
+    spark.createDataFrame([(1, "at", 45), (2, "above", 46)], "country_id int, country_name string, base_risk_score int").createOrReplaceTempView("countries")
+    spark.createDataFrame([(1, "s1", 50.0), (2, "s2", 60.0)], "country_id int, supplier_name string, reliability_score double").createOrReplaceTempView("suppliers")
+    Q.register_high_risk_function(spark)
+    names = lambda t: {r.country_name for r in spark.sql(f"SELECT * FROM high_risk_suppliers({t})").collect()}
+    assert names("44.994") == {"at", "above"} and names("44.995") == {"above"} and names("45.005") == {"above"}

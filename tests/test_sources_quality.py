@@ -5,6 +5,7 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskspark.operators import quality as DQ
 from riskspark.operators.lookups import lookup_default, tiered_lookup
@@ -308,13 +309,11 @@ def test_fk_audit_two_keys_one_child(spark):
 
 
 def test_scratch_output_goes_under_the_checkpoint_dir(spark):
-    from riskspark.session import ensure_checkpoint_dir, materialize, scratch_path
+    from riskspark.session import ensure_checkpoint_dir, scratch_path
 
     base = ensure_checkpoint_dir(spark)
     assert base == spark.sparkContext.getCheckpointDir()
     assert scratch_path(spark, "x").startswith(base.rstrip("/") + "/riskspark-scratch/x-")
-    df = materialize(spark.range(10), "t")
-    assert df.count() == 10 and all(base.rstrip("/").split(":")[-1] in f for f in df.inputFiles())
 
 
 # -- audits over views of shared sources -----------------------------------------------------------
@@ -402,3 +401,65 @@ def test_weighted_pick_of_many_categories_is_an_equi_join(spark):
     got = picks.groupBy((F.col("c") % 7).alias("k")).count().collect()
     assert sum(r["count"] for r in got) == 20_000
     assert all(abs(r["count"] / 20_000 - (r.k + 1) / 28) < 0.02 for r in got)
+
+
+# -- P6 / O6 ---------------------------------------------------------------------------------------
+def test_month_layout_key_prunes_partitions(spark):
+    import __spark_entry__ as E
+    from conftest import SF01
+
+    df = E.queries()["p06_month_layout"](spark, SF01)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ship_month" in plan
+    assert df.count() > 0
+    scan = next(x for x in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x)
+    assert "ship_month" in scan.split("PartitionFilters")[1].split("]")[0]
+
+
+@pytest.mark.parametrize("cap", [None, 0, 7, 1000])
+def test_capped_catalog_equals_numbering_all(spark, cap):
+    items = spark.createDataFrame([("hot" if i % 3 else f"c{i % 5}", i * 70_000, f"n{i}") for i in range(60)], "category string, id long, name string")
+    out = ingest.explode_variants(items, "category", "id", "name", ["a", "b"], cap=cap)
+    want = sorted((c, i, v) for c, i, _ in map(tuple, items.collect()) for v in range(2))[:cap]
+    got = [(r.category, r.id, "ab".index(r.variant)) for r in out.orderBy("catalog_id").collect()]
+    assert got == want and [r.catalog_id for r in out.orderBy("catalog_id").collect()] == list(range(1, len(want) + 1))
+
+
+# -- S1: quoted records over many tasks --------------------------------------------------------------
+@pytest.mark.parametrize("block", [64, 150, 1000, 1 << 27])
+def test_one_quoted_file_is_read_by_many_tasks(spark, tmp_dir, block):
+    import csv
+    import random
+
+    rnd = random.Random(block)
+    pieces = ["a", " ", '"', ",", "\n", "\n\n", "é", "x" * 30, "\r", ""]
+    rows = [(i, "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 12))), rnd.choice(["", "t"])) for i in range(120)]
+    rows += [(500, "\n" * 400, "lines"), (501, '"' * 333, "quotes"), (502, "y" * 700, "long")]
+    path = f"{tmp_dir}/one.csv"
+    with open(path, "w", encoding="utf-8", newline="") as f:
+        out = csv.writer(f, lineterminator="\n", quoting=csv.QUOTE_NONNUMERIC)
+        out.writerow(["id", "text", "more"])
+        out.writerows(rows)
+    spec = ingest.TableSpec("one", (("id", T.IntegerType()), ("text", T.StringType()), ("more", T.StringType())), ("id",))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        good, bad = ingest.load_table(spark, path, spec)
+        lines = spark.read.option("lineSep", "\n").text(path)
+        if block < 1000:
+            assert lines.rdd.getNumPartitions() > 5
+        assert bad.count() == 0
+        assert sorted(map(tuple, good.collect())) == sorted(rows)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_open_quote_at_the_end_is_one_bad_or_whole_record(spark, tmp_dir):
+    _write(f"{tmp_dir}/o.csv", 'id,text\n1,fine\n2,"open\n3,lost\n')
+    spec = ingest.TableSpec("o", (("id", T.IntegerType()), ("text", T.StringType())), ("id",))
+    good, bad = ingest.load_table(spark, f"{tmp_dir}/o.csv", spec)
+    assert good.count() + bad.count() == 2 and (1, "fine") in set(map(tuple, good.collect()))
+    _write(f"{tmp_dir}/e.csv", "id,text\n")
+    assert ingest.load_table(spark, f"{tmp_dir}/e.csv", spec)[0].count() == 0
