@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from riskspark.llm.common import Scratch, ascii_lower, small_side
 
 BROADCAST_ROWS = 2_000_000
+#: Windows with their texts and items are broadcast up to this size.
+BROADCAST_BYTES = 32 << 20
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -99,7 +101,9 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "t
     taken = F.transform(F.filter("places", lambda x: (x["first"] >= 0) & (x["first"] + x["size"] <= F.size("w"))), lambda x: F.struct(
         x["size"].alias("size"), x["first"].alias("first"), F.array_join(F.slice("w", x["first"] + 1, x["size"]), " ").alias("gram")))
     seen = again.select("doc_id", "text_key", F.explode(taken).alias("t")).select("doc_id", "text_key", "t.*")
-    hits = seen.join(small_side(grams, grams.count(), broadcast_rows), ["size", "gram"])
+    listed = F.aggregate("items", F.lit(0).cast("long"), lambda total, x: total + F.octet_length(x) + 16)
+    held = grams.agg(F.coalesce(F.sum(F.octet_length("gram") + listed + 64), F.lit(0))).first()[0]
+    hits = seen.join(F.broadcast(grams) if held <= BROADCAST_BYTES else grams, ["size", "gram"])
     hits = hits.groupBy("doc_id", "text_key").agg(
         F.array_sort(F.collect_set(F.struct("first", (F.col("first") + F.col("size")).alias("end")))).alias("ranges"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))

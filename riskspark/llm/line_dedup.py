@@ -169,6 +169,7 @@ class LineIndex:
     n_shards: int
     min_chars: int
     scratch: Scratch
+    keys_per_shard: int = 250_000
 
 
 def _shard(n_shards: int):
@@ -198,7 +199,7 @@ def build(docs: DataFrame, min_chars: int = 10, keys_per_shard: int = 250_000, s
     counts = scratch.save(_count(refs), "counts")
     n_shards = max(1, -(-counts.count() // keys_per_shard))
     filters = scratch.save(_build_filters(counts, n_shards), "filters")
-    return LineIndex(refs, counts, filters, n_shards, min_chars, scratch)
+    return LineIndex(refs, counts, filters, n_shards, min_chars, scratch, keys_per_shard)
 
 
 def _changed(index: LineIndex, refs: DataFrame, touched: DataFrame) -> LineIndex:
@@ -207,6 +208,9 @@ def _changed(index: LineIndex, refs: DataFrame, touched: DataFrame) -> LineIndex
     touched = save(touched.select(*KEY).distinct(), "touched")
     now = save(_count(refs.join(touched, KEY, "left_semi")), "recounted")
     counts = save(index.counts.join(touched, KEY, "left_anti").unionByName(now), "counts")
+    wanted = -(-counts.count() // index.keys_per_shard)
+    if wanted > index.n_shards:                    # more keys than the shards are to hold: deal all out anew
+        return LineIndex(refs, counts, save(_build_filters(counts, wanted), "filters"), wanted, index.min_chars, index.scratch, index.keys_per_shard)
     before = index.counts.join(touched, KEY, "left_semi").where("n_docs >= 2").select(*KEY, F.lit(-1).alias("step"))
     after = now.where("n_docs >= 2").select(*KEY, F.lit(1).alias("step"))
     steps = before.union(after).groupBy(*KEY).agg(F.sum("step").alias("step")).where("step != 0")
@@ -228,7 +232,7 @@ def _changed(index: LineIndex, refs: DataFrame, touched: DataFrame) -> LineIndex
     if moved.where("full").limit(1).count():       # a filter has outgrown its table: deal the keys out anew
         n_shards *= 2
         filters = save(_build_filters(counts, n_shards), "filters")
-    return LineIndex(refs, counts, filters, n_shards, index.min_chars, index.scratch)
+    return LineIndex(refs, counts, filters, n_shards, index.min_chars, index.scratch, index.keys_per_shard)
 
 
 def insert(index: LineIndex, docs: DataFrame) -> LineIndex:

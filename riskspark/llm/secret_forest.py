@@ -55,7 +55,8 @@ _HINTS = re.compile(r"(key|token|secret|passw|pwd|auth|cred|api|bearer)", re.I)
 _ISSUED = re.compile(r"(AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35})")
 _HEX = re.compile(r"[0-9a-f]{16,}|[0-9A-F]{16,}")
 _ASSIGNED = re.compile(r"(token|password|passwd|secret|api_key|apikey)\s*[=:]\s*[\"']?$", re.I)
-_VALUE = re.compile(r"(?:key|token|secret|passw|pwd|auth|cred|api|bearer)\w*[\"']?\s*[=:]+[ \t]*(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"'][^\s]*))", re.I)
+_SIGN = re.compile(r"[=:]+")
+_VALUE = re.compile(r"[ \t]*(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"'][^\s]*))")
 _HINTED = re.compile(r"(key|token|secret|passw|pwd|auth|cred|api|bearer)\w*[\"']?\s*[=:]+\s*[\"']?$", re.I)
 _HARMLESS = re.compile(r"[A-Za-z]+\.?|[0-9.+-]+|[A-Za-z0-9_.+-]+@[A-Za-z0-9.-]+|https?://.*")
 
@@ -118,7 +119,7 @@ def _covered(automaton, low: str) -> float:
 
 def describe(text: str, first: int, end: int, automaton, transitions: np.ndarray) -> list[float]:
     """The features of one candidate."""
-    value, before, after = text[first:end], text[max(0, first - 40):first], text[end:end + 1]
+    value, before, after = text[first:end], _context(text, first), text[end:end + 1]
     raw, low, n = value.encode("utf-8", "surrogatepass"), value.lower(), end - first
     codes = _folded(raw)
     kinds = [0 if c.isupper() else 1 if c.islower() else 2 if c.isdigit() else 3 for c in value]
@@ -136,17 +137,53 @@ def describe(text: str, first: int, end: int, automaton, transitions: np.ndarray
 
 def known_format(text: str, first: int, end: int) -> int | None:
     """1 or 0 where the format settles it, else None."""
-    value, before = text[first:end], text[max(0, first - 40):first]
+    value, before = text[first:end], _context(text, first)
     if _ISSUED.fullmatch(value) or _HEX.fullmatch(value) and _ASSIGNED.search(before):
         return 1
     # A word or number that is assigned may be a password: the forest decides.
     return 0 if _HARMLESS.fullmatch(value) and not _HINTED.search(before) else None
 
 
+def _word_before(text: str, at: int) -> tuple[int, int]:
+    """The word that ends at ``at``, but for blanks and a quote in front of it."""
+    end = at
+    while end > 0 and text[end - 1].isspace():
+        end -= 1
+    if end > 0 and text[end - 1] in "\"'":
+        end -= 1
+    first = end
+    while first > 0 and (text[first - 1].isalnum() or text[first - 1] == "_"):
+        first -= 1
+    return first, end
+
+
+def assigned_values(text: str):
+    """Places of the values behind ``=`` or ``:`` after a word that holds a hint, in order, none within another.
+
+    From each sign one word is looked back over, so the time is in proportion to the text.
+    """
+    done = 0
+    for sign in _SIGN.finditer(text):
+        if sign.start() < done:
+            continue
+        first, end = _word_before(text, sign.start())
+        if first < end and _HINTS.search(text, max(first, done), end) and (m := _VALUE.match(text, sign.end())):
+            done = m.end()
+            yield m.span(m.lastindex)
+
+
 def find(text: str) -> list[tuple[int, int]]:
     """The candidates' places in a text: runs of key characters, and whole values in an assigned or hinted context."""
     runs = {m.span() for m in _RUN.finditer(text) if len(m[0]) >= 16 or any(c.isdigit() for c in m[0])}
-    return sorted(runs | {m.span(m.lastindex) for m in _VALUE.finditer(text)})
+    return sorted(runs | set(assigned_values(text)))
+
+
+def _context(text: str, first: int) -> str:
+    """The 40 characters before a place, or more where the gap to the word before is wider."""
+    gap = first
+    while gap > 0 and (text[gap - 1].isspace() or text[gap - 1] in "\"'=:"):
+        gap -= 1
+    return text[max(0, gap - 40 if first - gap > 20 else first - 40):first]
 
 
 def candidates(docs: DataFrame, words: list[str], transitions: np.ndarray, text: str = "text") -> DataFrame:

@@ -85,3 +85,14 @@ def test_repeated_rows_each_have_their_result(spark):
         left = dc.remove(frame, bench, mode=mode)
         clean = [(d, t) for d, t in again if not brute([(d, t)], items, 10)[d][1]]
         assert left.count() == (len(clean) if mode == "document" else len(again))
+
+
+def test_a_window_that_many_items_share(spark, monkeypatch):
+    """Over the byte bound the windows are shuffled; the result is the same."""
+    shared = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(f"item-{i:06d}", shared) for i in range(20_000)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"x {shared} y"), (2, "nothing here")], "doc_id long, text string")
+    for bound in (1 << 30, 0):
+        monkeypatch.setattr(dc, "BROADCAST_BYTES", bound)
+        got = {r.doc_id: (r.n_hit, len(r["items"])) for r in dc.find_hits(docs, items).collect()}
+        assert got == {1: (10, 20_000), 2: (0, 0)}

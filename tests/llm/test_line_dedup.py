@@ -100,3 +100,12 @@ def test_edge_cases(spark, docs, want):
 def test_null_ids(spark):
     out = ld.dedup(spark.createDataFrame([(None, "a line of its own"), (None, "a line of its own"), (3, "a line of its own")], SCHEMA)).collect()
     assert sorted((r.row.doc_id is None, r.n_dropped) for r in out) == [(False, 1), (True, 0), (True, 0)]
+
+
+def test_shards_follow_the_keys_of_a_large_insert(spark):
+    one, two = corpus(1, range(10)), corpus(2, range(10, 300))
+    index = ld.build(spark.createDataFrame(one, SCHEMA), keys_per_shard=20)
+    both = ld.insert(index, spark.createDataFrame(two, SCHEMA))
+    assert both.n_shards >= both.counts.count() / 20 and kept(both, spark, one + two) == brute(one + two)
+    largest = both.counts.groupBy(ld._shard(both.n_shards)).count().agg({"count": "max"}).first()[0]
+    assert largest <= 4 * 20

@@ -89,3 +89,12 @@ def test_nulls_empty_repeats_and_further_columns(spark, tmp_dir, rows):
         docs = spark.read.parquet(out)
     assert docs.select("doc_id").distinct().count() == (3 if rows else 0)
     shutil.rmtree(tmp_dir)
+
+
+def test_built_twice_and_stages_called_apart(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rules, near = cp.quality_rules(spark, docs, SF), cp.near_dedup(spark, docs, SF)
+    a = cp.run(spark, SF)
+    b = cp.run(spark, SF)
+    assert a.count() == b.count() > 0 and sorted(r.doc_id for r in a.select("doc_id").collect()) == sorted(r.doc_id for r in b.select("doc_id").collect())
+    assert 0 < rules.count() <= docs.count() and 0 < near.count() <= docs.count()

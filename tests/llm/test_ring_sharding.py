@@ -71,3 +71,22 @@ def test_nulls_repeats_empty_and_clashing_names(spark):
     assert {r["size"] for r in got if r.doc_id is None} == {1}
     assert rs.shard(docs.limit(0)).count() == 0
     assert {r.shard for r in rs.shard(docs.limit(2), n_shards=16).collect()} == {0, 1}
+
+
+def test_hot_ids_are_ranked_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(rs, "ARC_ROWS", 50)
+    rows = [(None, f"t{i % 40}") for i in range(300)] + [(7, "same")] * 400 + [(i, "x") for i in range(200)]
+    got = rs.shard(spark.createDataFrame(rows, "doc_id long, text string"), n_shards=8).collect()
+    sizes = Counter(r.shard for r in got)
+    assert len(got) == 900 and max(sizes.values()) - min(sizes.values()) <= 1
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in sizes.items())
+
+
+def test_a_thousand_shards_are_assigned_in_seconds():
+    import time
+
+    rnd = random.Random(3)
+    counts = Counter(rnd.randrange(rs.ARCS) for _ in range(500_000))
+    began = time.time()
+    ranges = rs.assign(counts, 1000)
+    assert time.time() - began < 20 and sum(end - first for _, first, end, _, _ in ranges) == 500_000

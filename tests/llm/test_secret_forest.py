@@ -89,3 +89,52 @@ def test_copies_take_one_place_of_the_sample(spark):
             held = [r for r in got if r.label == k]
             assert len(held) == want == len({tuple(r.x) for r in held})
             assert all(r.weight == (200 if r.x[0] < 10 else 1) for r in held)
+
+
+def test_places_equal_the_plain_pattern_and_take_linear_time():
+    import re
+    import time
+
+    plain = re.compile(r"(?:key|token|secret|passw|pwd|auth|cred|api|bearer)\w*[\"']?\s*[=:]+[ \t]*(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"'][^\s]*))", re.I)
+    rnd = random.Random(4)
+    for _ in range(4000):
+        t = "".join(rnd.choice(["key", "api", "x", "_", "=", ":", " ", "\n", '"', "'", "1", "Token", "zz ", "foo="]) for _ in range(rnd.randint(1, 14)))
+        assert list(sf.assigned_values(t)) == [m.span(m.lastindex) for m in plain.finditer(t)], t
+    for piece in ("api", "key=", "key = ", "token: '", "=", " "):
+        began = time.time()
+        sf.find(piece * (1_000_000 // len(piece)))
+        assert time.time() - began < 4, piece
+    wide = "password =" + " " * 500 + "CorrectHorse"
+    assert (510, 522) in sf.find(wide) and sf.known_format(wide, 510, 522) is None
+
+
+def test_features_equal_a_plain_count():
+    import numpy as np
+
+    import ahocorasick
+
+    words = ahocorasick.Automaton()
+    for w in ("horse", "orse", "correct"):
+        words.add_word(w, len(w))
+    words.make_automaton()
+    table = np.zeros((sf.CLASSES, sf.CLASSES))
+    text = "x /password = \"CorrectHorse9\"\n"
+    first = text.index("Correct")
+    got = dict(zip(sf.FEATURES, sf.describe(text, first, first + 13, words, table)))
+    assert got["length"] == 13 and got["upper"] == 2 / 13 and got["digit"] == 1 / 13 and got["covered"] == 12 / 13
+    assert got["quoted"] == 1 and got["assigned"] == 1 and got["hint_near"] == 1 and got["hint_any"] == 1 and got["colon"] == 0
+    assert got["word_before"] == 8 and got["end_of_line"] == 0 and got["distinct"] == len(set("CorrectHorse9")) / 13
+
+
+def test_forest_finds_a_known_format_held_out_of_the_labels(spark):
+    """The driver's documents: hex tokens lose their label, and the forest finds them by what it learned of the others."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    first = [r for r in sf.scan(docs).collect() if r.label is not None]
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    held = {(r.row.doc_id, r.start) for r in first if r.label == 1 and sf._HEX.fullmatch(r.value)}
+    rest = [(r.row.doc_id, r.start, int(r.label)) for r in first if (r.row.doc_id, r.start) not in held]
+    if not held or not any(x[2] for x in rest):
+        return                       # one format alone: nothing to learn from
+    got = sf.scan(docs, findings=spark.createDataFrame(rest, "doc_id long, start long, label int")).collect()
+    found = {(r.row.doc_id, r.start) for r in got if r.is_secret}
+    assert texts and len(found & held) >= 0.9 * len(held)
