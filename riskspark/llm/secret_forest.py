@@ -167,9 +167,13 @@ def assigned_values(text: str):
         if sign.start() < done:
             continue
         first, end = _word_before(text, sign.start())
-        if first < end and _HINTS.search(text, max(first, done), end) and (m := _VALUE.match(text, sign.end())):
-            done = m.end()
-            yield m.span(m.lastindex)
+        if first < end and _HINTS.search(text, max(first, done), end):
+            m = _VALUE.match(text, sign.end())
+            if m is None and sign.end() - sign.start() > 1:       # nothing but signs: the last is the value
+                m = _VALUE.match(text, sign.end() - 1)
+            if m:
+                done = m.end()
+                yield m.span(m.lastindex)
 
 
 def find(text: str) -> list[tuple[int, int]]:
