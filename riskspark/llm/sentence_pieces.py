@@ -54,6 +54,8 @@ SHORT = 48
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Stands before a user-defined symbol, so that it is never part of a joined piece; no text holds it.
 FROZEN = "\ud800"
+FIRST_BYTE = 0xDC00
+_BYTES = re.compile("[\udc00-\udcff]+")
 #: The rank of a pair that is no piece.
 NONE = 1 << 60
 #: Symbols of more than one character are numbered above the code points.
@@ -93,7 +95,10 @@ class PieceModel:
         if self.apart:
             self._make_pairs()
         surface = {UNKNOWN: trained.unk_surface, CONTROL: ""}
-        self.surfaces = [surface.get(p.type, p.piece.replace(MARK, " ")) for p in proto.pieces]
+        # A byte piece stands as a lone surrogate, which no other piece holds, until its run is read.
+        spelled = [chr(FIRST_BYTE + self.value[i]) if p.type == BYTE else surface.get(p.type, p.piece.replace(MARK, " "))
+                   for i, p in enumerate(proto.pieces)]
+        self.surfaces, self.is_byte = np.array(spelled, object), np.array([k == BYTE for k in self.kinds])
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -103,14 +108,40 @@ class PieceModel:
         number = {p: FIRST_JOINED + k for k, p in enumerate(self.joined)}
         if FIRST_JOINED + len(number) > SYMBOLS:
             raise ValueError("too many pieces")
-        found = {-1: (NONE, 0)}
+        rows: dict[int, list[tuple[int, int, int]]] = {}
         for p, k in number.items():
             for i in range(1, len(p)):
                 a, b = (ord(x) if len(x) == 1 else number.get(x) for x in (p[:i], p[i:]))
                 if a is not None and b is not None:
-                    found[a * SYMBOLS + b] = self.ranks[p], k
-        self.pair_keys = np.array(sorted(found), np.int64)
-        self.pair_ranks, self.pair_joined = np.array([found[k] for k in self.pair_keys.tolist()], np.int64).T.copy()
+                    rows.setdefault(a, []).append((b, self.ranks[p], k))
+        size = 1 << 12
+        while size < 4 * sum(map(len, rows.values())) or not self._place(rows, size):
+            size *= 2
+
+    def _place(self, rows: dict[int, list[tuple[int, int, int]]], size: int) -> bool:
+        """Put the pairs into tables of ``size``: (a, b) stands at ``offset[a] + b``, in a free place for every b of a.
+
+        False if a row finds no offset in some thousand tries.
+        """
+        self.offset, self.mask = np.zeros(SYMBOLS, np.int64), size - 1
+        self.pair_keys = np.full(size, -1, np.int64)
+        self.pair_ranks, self.pair_joined = np.full(size, NONE, np.int64), np.zeros(size, np.int64)
+        taken: set[int] = set()
+        for a, row in sorted(rows.items(), key=lambda x: -len(x[1])):
+            rights = [b for b, _, _ in row]
+            for step in range(4096):
+                offset = (a + step) * 0x9E3779B1 & self.mask
+                places = {offset + b & self.mask for b in rights}
+                if len(places) == len(rights) and taken.isdisjoint(places):
+                    break
+            else:
+                return False
+            taken |= places
+            self.offset[a] = offset
+            for b, rank, joined in row:
+                at = offset + b & self.mask
+                self.pair_keys[at], self.pair_ranks[at], self.pair_joined[at] = a * SYMBOLS + b, rank, joined
+        return True
 
     def _symbols(self, text: str) -> list[str]:
         """The symbols that are left when the agenda is empty; an entry is rank * n + left."""
@@ -163,18 +194,17 @@ class PieceModel:
                 out.append(s)
         return out
 
-    def _found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rank, joined symbol) of pairs; the rank is NONE for those that join to no piece."""
-        key = left * SYMBOLS + right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NONE), self.pair_joined[at]
+    def _ranked(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, NONE for those that join to no piece."""
+        at = self.offset[left] + right & self.mask
+        return np.where(self.pair_keys[at] == left * SYMBOLS + right, self.pair_ranks[at], NONE)
 
     def _side_by_side(self, words: list[str]) -> list[bytes]:
         """The ids of many words. A symbol is a character's code point, or lies above them."""
         symbols = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
         word, size = np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words))
         ranks = np.full(len(symbols), NONE, np.int64)
-        ranks[:-1] = self._found(symbols[:-1], symbols[1:])[0]
+        ranks[:-1] = self._ranked(symbols[:-1], symbols[1:])
         ranks[np.cumsum(size) - 1] = NONE
         done: list[tuple[np.ndarray, np.ndarray]] = []
         while len(word):
@@ -190,16 +220,16 @@ class PieceModel:
             owner = np.repeat(np.arange(len(word)), size)
             at = np.flatnonzero(ranks == least[owner])
             at = at[np.flatnonzero(np.diff(owner[at], prepend=-1))]            # the first of every word
-            symbols[at] = self._found(symbols[at], symbols[at + 1])[1]
+            symbols[at] = self.pair_joined[self.offset[symbols[at]] + symbols[at + 1] & self.mask]
             keep = np.ones(len(symbols), bool)
             keep[at + 1] = False
             symbols, ranks = symbols[keep], ranks[keep]
             at, size = at - np.arange(len(at)), size - 1
             end = np.cumsum(size) - 1
-            right = self._found(symbols[at], symbols[np.minimum(at + 1, len(symbols) - 1)])[0]
+            right = self._ranked(symbols[at], symbols[np.minimum(at + 1, len(symbols) - 1)])
             ranks[at] = np.where(at == end, NONE, right)
             at = at[at > end - size + 1]
-            ranks[at - 1] = self._found(symbols[at - 1], symbols[at])[0]
+            ranks[at - 1] = self._ranked(symbols[at - 1], symbols[at])
         word, symbols = (np.concatenate(x) for x in zip(*done))
         order = np.argsort(word, kind="stable")
         kinds, which = np.unique(symbols[order], return_inverse=True)
@@ -239,30 +269,23 @@ class PieceModel:
         short = [w for w in new if len(w) <= SHORT]
         if short:
             known.update(zip(short, self._side_by_side(short)))
-        long = {w: self._merged(w) for w in new if len(w) > SHORT}
+        if len(short) == len(new):
+            return [b"".join(map(known.__getitem__, x)) for x in words]
+        long = {w: self._merged(w) for w in new if len(w) > SHORT}         # not kept: they may be of any length
         return [b"".join([known[w] if len(w) <= SHORT else long[w] for w in x]) for x in words]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids; the space in front of the first piece that gives one goes."""
-        surfaces, value, kinds, out, at = self.surfaces, self.value, self.kinds, [], 0
+    def decode(self, ids) -> str:
+        """The text of ids (a list or an array); the space in front of the first piece that gives one goes."""
+        kinds, surfaces, first, at = self.kinds, self.surfaces, "", 0
+        ids = np.asarray(ids, np.int64)
         if self.prefix:
             while at < len(ids) and kinds[ids[at]] == CONTROL:
                 at += 1
             if at < len(ids) and kinds[ids[at]] not in (BYTE, UNKNOWN) and surfaces[ids[at]].startswith(" "):
-                out.append(surfaces[ids[at]][1:])
-                at += 1
-        run = bytearray()
-        for i in ids[at:] if at else ids:
-            if i in value:
-                run.append(value[i])
-                continue
-            if run:
-                out.append(utf8(bytes(run)))
-                run.clear()
-            out.append(surfaces[i])
-        if run:
-            out.append(utf8(bytes(run)))
-        return "".join(out)
+                first, at = surfaces[ids[at]][1:], at + 1
+        rest = ids[at:]
+        text = first + "".join(surfaces[rest].tolist())
+        return _BYTES.sub(lambda run: utf8(bytes(ord(b) - FIRST_BYTE for b in run[0])), text) if self.is_byte[rest].any() else text
 
 
 def utf8(data: bytes) -> str:
@@ -311,16 +334,15 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", check: bool = T
                 part = batch.slice(first, end - first)
                 texts = [t or "" for t in part["text"].to_pylist()]
                 ids = m.encode(texts)
-                numbers = [np.frombuffer(x, "<i4") for x in ids]
                 back, agrees = None, [None] * len(ids)
                 if decoded:
-                    back = [m.decode(x.tolist()) for x in numbers]
+                    back = [m.decode(np.frombuffer(x, "<i4")) for x in ids]
                 if check:
-                    theirs = m.library.encode(texts)
+                    theirs = m.library.encode(texts, num_threads=1)         # a task has one core
                     agrees = [np.array(x, "<i4").tobytes() == y for x, y in zip(theirs, ids)]
                     if decoded:
-                        agrees = [x and y == z for x, y, z in zip(agrees, m.library.decode(theirs), back)]
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in numbers])]).astype(np.int32)
+                        agrees = [x and y == z for x, y, z in zip(agrees, m.library.decode(theirs, num_threads=1), back)]
+                ends = np.concatenate([[0], np.cumsum([len(x) >> 2 for x in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
                 out = {"row": part["row"], "ids": lists, "agrees": pa.array(agrees, pa.bool_())}
                 yield pa.RecordBatch.from_pydict(out | ({"decoded": pa.array(back, pa.string())} if decoded else {}))
@@ -342,7 +364,7 @@ def decode(tokens: DataFrame, model_file: str, ids: str = "ids", check: bool = T
                 part = batch.slice(first, end - first)
                 lists = [x or [] for x in part["ids"].to_pylist()]
                 texts = [m.decode(x) for x in lists]
-                agrees = [x == y for x, y in zip(m.library.decode(lists), texts)] if check else [None] * len(texts)
+                agrees = [x == y for x, y in zip(m.library.decode(lists, num_threads=1), texts)] if check else [None] * len(texts)
                 yield pa.RecordBatch.from_arrays([part["row"], pa.array(texts, pa.string()), pa.array(agrees, pa.bool_())],
                                                  names=["row", "text", "agrees"])
 
