@@ -338,8 +338,8 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", check: bool = T
                 if decoded:
                     back = [m.decode(np.frombuffer(x, "<i4")) for x in ids]
                 if check:
-                    theirs = m.library.encode(texts, num_threads=1)         # a task has one core
-                    agrees = [np.array(x, "<i4").tobytes() == y for x, y in zip(theirs, ids)]
+                    theirs = m.library.encode(texts, num_threads=1, return_type="numpy")         # a task has one core
+                    agrees = [x.astype("<i4", copy=False).tobytes() == y for x, y in zip(theirs, ids)]
                     if decoded:
                         agrees = [x and y == z for x, y, z in zip(agrees, m.library.decode(theirs, num_threads=1), back)]
                 ends = np.concatenate([[0], np.cumsum([len(x) >> 2 for x in ids])]).astype(np.int32)
