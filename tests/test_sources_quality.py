@@ -364,6 +364,16 @@ def test_audits_read_lineitem_few_times(spark):
         assert sum("FileScan" in x and "lineitem.parquet" in x for x in physical.splitlines()) <= 6, (key, physical)
 
 
+def test_null_audit_covers_declared_keys_and_columns_that_queries_read(spark, tmp_dir):
+    import __spark_entry__ as E
+    from conftest import SF001
+
+    got = {(r.table_name, r.column_name) for r in E.queries()["d03_null_audit"](spark, SF001).collect()}
+    assert got >= {(t.name, c) for t in ingest.TABLES for c in (*t.pk, *t.not_null)}
+    assert got >= {("shipments", c) for c in ("po_id", "line_no", "product_id", "origin_port_id", "line_price", "ship_date", "delay_days", "delay_reason")}
+    assert got >= {("purchase_orders", c) for c in ("po_id", "supplier_id", "product_id", "order_date", "quantity", "status")}
+
+
 # -- G4: alias table -------------------------------------------------------------------------------
 def _parts(table, n):
     """The part of the whole that each category gets from its own cell and from others."""
