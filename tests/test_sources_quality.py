@@ -374,6 +374,48 @@ def test_null_audit_covers_declared_keys_and_columns_that_queries_read(spark, tm
     assert got >= {("purchase_orders", c) for c in ("po_id", "supplier_id", "product_id", "order_date", "quantity", "status")}
 
 
+def test_null_audit_shuffles_keys_and_nulls_alone(spark):
+    """Of the lines only the order key and the return flag go through the join with the orders; values would be shuffled in full."""
+    from conftest import SF001
+
+    from riskspark.sources.bindings import Domain
+    from riskspark.sources.model import model_views, null_views
+
+    d = Domain(spark, SF001)
+    lean, full = null_views(d)[0]["lines"], model_views(d)[0]["lines"]
+    for c in ("l_suppkey", "l_partkey", "line_id", "l_quantity", "l_extendedprice", "ship_date", "order_date", "o_custkey"):
+        assert lean.select(c).distinct().count() == 1 < full.select(c).distinct().count(), c
+    assert lean.count() == full.count()
+
+
+def test_null_audit_finds_nulls_of_lines_and_of_their_orders(spark, tmp_dir):
+    """Distinct pairs with a null from the line, from its order, or both; lines and orders repeat."""
+    from conftest import SF001
+
+    import __spark_entry__ as E
+
+    for t in ("region", "nation", "customer", "supplier", "part", "events"):
+        spark.read.parquet(f"{SF001}/{t}.parquet").write.parquet(f"{tmp_dir}/{t}.parquet")
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    o = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_custkey"))).withColumn("o_orderdate", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate")))
+    o.write.parquet(f"{tmp_dir}/orders.parquet")
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    for c, m in (("l_orderkey", 97), ("l_suppkey", 11), ("l_partkey", 13), ("l_quantity", 17)):
+        li = li.withColumn(c, F.when(F.xxhash64("l_extendedprice", F.lit(c)) % m != 0, F.col(c)))
+    li.union(li.limit(50)).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    got = {(r.table_name, r.column_name): r.null_rows for r in E.queries()["d03_null_audit"](spark, tmp_dir).collect()}
+    li, o = spark.read.parquet(f"{tmp_dir}/lineitem.parquet"), spark.read.parquet(f"{tmp_dir}/orders.parquet")
+    sold = li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    pairs = sold.select("o_custkey", "l_suppkey").distinct()
+    assert got["factory_suppliers", "factory_id"] == pairs.where("o_custkey IS NULL").count() > 0
+    assert got["factory_suppliers", "factory_supplier_id"] == pairs.where("o_custkey IS NULL OR l_suppkey IS NULL").count()
+    assert got["product_factories", "product_id"] == sold.select("o_custkey", "l_partkey").distinct().where("l_partkey IS NULL").count() > 0
+    assert got["supplier_products", "supplier_id"] == li.select("l_suppkey", "l_partkey").distinct().where("l_suppkey IS NULL").count() > 0
+    assert got["customer_orders", "order_date"] == sold.where("o_orderdate IS NULL").count() > 0
+    assert got["shipments", "po_id"] == li.where("l_orderkey IS NULL").count() > 0
+    assert got["purchase_orders", "quantity"] == li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("q")).join(o, F.col("l_orderkey") == F.col("o_orderkey")).where("q IS NULL").count()
+
+
 # -- G4: alias table -------------------------------------------------------------------------------
 def _parts(table, n):
     """The part of the whole that each category gets from its own cell and from others."""
