@@ -416,6 +416,25 @@ def test_null_audit_finds_nulls_of_lines_and_of_their_orders(spark, tmp_dir):
     assert got["purchase_orders", "quantity"] == li.groupBy("l_orderkey").agg(F.sum("l_quantity").alias("q")).join(o, F.col("l_orderkey") == F.col("o_orderkey")).where("q IS NULL").count()
 
 
+def test_fk_audit_tells_apart_only_pairs_with_an_orphan(spark, tmp_dir):
+    """Orphans of distinct pairs, of repeated lines and of null keys; without orphans the result's plan reads no table of the model."""
+    views = [DQ.View("supps", "supps", {"s": F.col("s")}), DQ.View("parts", "parts", {"p": F.col("p")}),
+             DQ.View("lines", "li", {"line": F.col("line"), "p": F.col("p")}), DQ.View("stock", "li", {"p": F.col("p")}, F.col("line") > 1),
+             DQ.View("pairs", "li", {"s": F.col("s"), "p": F.col("p")}, distinct=True)]
+    fks = [DQ.ForeignKey("lines", ("p",), "parts", ("p",)), DQ.ForeignKey("stock", ("p",), "parts", ("p",)),
+           DQ.ForeignKey("pairs", ("s",), "supps", ("s",)), DQ.ForeignKey("pairs", ("p",), "parts", ("p",))]
+    rows = [(1, 1, 9), (2, 1, 9), (3, 2, 9), (4, 7, None), (5, 7, 1), (6, None, 9), (7, None, None), (8, 1, 1), (8, 1, 1), (None, 7, 1)]
+    sources = {"supps": spark.createDataFrame([(1,), (2,), (2,)], "s int"), "parts": spark.createDataFrame([(1,), (None,)], "p long")}
+    for some in (rows, [r for r in rows if r[1] in (1, 2, None) and r[2] in (1, None)]):
+        spark.createDataFrame(some, "line long, s int, p long").write.mode("overwrite").parquet(f"{tmp_dir}/li{len(some)}")
+        sources["li"] = spark.read.parquet(f"{tmp_dir}/li{len(some)}")
+        got = DQ.view_fk_audit(sources, views, fks)
+        want = DQ.fk_audit({v.name: v.frame(sources) for v in views}, fks)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        if len(some) < len(rows):
+            assert f"li{len(some)}" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 # -- G4: alias table -------------------------------------------------------------------------------
 def _parts(table, n):
     """The part of the whole that each category gets from its own cell and from others."""
