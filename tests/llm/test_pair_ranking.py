@@ -47,3 +47,22 @@ def test_nulls_repeats_empty_and_names(spark):
     assert len(out) == 5 and all(0 <= r.score <= 1 for r in out) and sorted(r.row.score for r in out) == [1, 1, 2, 3, 4]
     assert pr.score(docs.limit(0), labels).count() == 0
     assert {r.score for r in pr.score(docs, labels.limit(0)).collect()} == {0.5}
+
+
+def test_every_labelled_row_is_learned_from(spark):
+    """The table's model is that of all rows, whatever their number; each row is in a pair of either label."""
+    rnd = np.random.default_rng(2)
+    z, y = rnd.normal(size=(90, 3)), np.repeat([1, 0], [13, 77])
+    good, bad = z[y == 1], z[y == 0]
+    met = {tuple(np.round(d, 9)) for d in pr.pairs(z, y)}
+    assert all(any(tuple(np.round(g - b, 9)) in met for b in bad) for g in good) and all(any(tuple(np.round(g - b, 9)) in met for g in good) for b in bad)
+    n, width = 13_000, pr.N_FEATURES
+    x = rnd.normal(size=(n, width)).round(4)
+    y = (x[:, 0] + 0.1 * rnd.normal(size=n) > 0).astype(int)
+    x[12_500:, 1] += 1000       # only a mean of all rows tells of these
+    rows = spark.createDataFrame([(i, int(q), r.tolist()) for i, (q, r) in enumerate(zip(y, x))], "doc_id long, quality int, x array<double>")
+    model = pr.fit_table(rows, pr.Scratch(spark, "test-pairs"))
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.scale, x.std(axis=0))
+    assert ((model.score(x) >= 0.3) == y).mean() > 0.95
+    other = pr.fit(x, y)
+    assert np.corrcoef(model.rank(x), other.rank(x))[0, 1] > 0.999
