@@ -435,6 +435,22 @@ def test_fk_audit_tells_apart_only_pairs_with_an_orphan(spark, tmp_dir):
             assert f"li{len(some)}" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_key_audit_deals_rows_to_more_tasks_as_they_grow(spark, monkeypatch):
+    """With 500 lines a task, the 6,000 lines of sf0.001 go to 12 or 13 tasks, and the duplicates stay the same."""
+    from conftest import SF001
+
+    import __spark_entry__ as E
+    from riskspark.sources import model
+
+    want = sorted(map(tuple, E.queries()["d01_pk_duplicates"](spark, SF001).collect()))
+    monkeypatch.setattr(model, "ROWS_A_TASK", 500)
+    tasks = -(-spark.read.parquet(f"{SF001}/lineitem.parquet").count() // 500)
+    got = E.queries()["d01_pk_duplicates"](spark, SF001)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert tasks > 8 and plan.count(f", {tasks})") >= 4
+    assert sorted(map(tuple, got.collect())) == want
+
+
 # -- G4: alias table -------------------------------------------------------------------------------
 def _parts(table, n):
     """The part of the whole that each category gets from its own cell and from others."""
