@@ -3,7 +3,9 @@
 Spark's reader takes a file whole when records may span lines, as a line end
 can only be told from one inside a field by the quotes before it. Here the file
 is read as lines, in blocks as Spark deals them out. Every quote turns
-"inside a field" to "outside" and back (a doubled quote twice), so:
+"inside a field" to "outside" and back (a doubled quote twice).
+
+Files without such fields need none of this (``lines_are_records``). For the others:
 
 1. one aggregate counts the quotes of each block, by parity;
 2. a running sum over a file's blocks tells which blocks begin inside a field;
@@ -42,6 +44,16 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
+def lines_are_records(spark: SparkSession, path: str, names: Sequence[str]) -> bool:
+    """Whether every line is a record to Spark's line reader as it is to ``records``: its quotes are in pairs, it is not of blanks
+    alone (that reader drops these), and a header in other letter case, which that reader takes, does not occur."""
+    line, header = F.col("value"), ",".join(names)
+    odd = (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+    blank = (F.length(line) > 0) & ~line.rlike(r"[^\x00-\x20]")
+    cased = (F.lower(line) == header.lower()) & (line != header)
+    return spark.read.option("lineSep", "\n").text(path).where(odd | blank | cased).isEmpty()
+
+
 def _blocks(lines: DataFrame) -> DataFrame:
     """(file, block, inside, inside_after): whether a block begins, and ends, inside a field."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from riskspark.operators.snapshots import Check, Snapshot, SnapshotStore
 from riskspark.session import scratch_path
-from riskspark.sources.csv_records import records
+from riskspark.sources.csv_records import lines_are_records, records
 from riskspark.sources.schema import BY_NAME, TABLES, TableSpec
 
 CORRUPT = "_corrupt_record"
@@ -44,9 +44,12 @@ READ_OPTIONS = CSV_OPTIONS | {"emptyValue": _EMPTY, "mode": "PERMISSIVE",
 def read_staged(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """Headered UTF-8 CSV with the staging schema, by as many tasks as its size asks for. "None" stays a string; swapped header columns raise.
 
-    The files are cut into records first (``csv_records``), as a field may hold line ends; each record is then parsed by itself.
+    A pass over the lines tells whether a field may hold line ends. If none does, Spark's own reader takes the files by lines. Else
+    they are cut into records first (``csv_records``), and each record is then parsed by itself.
     """
     schema = spec.staging_schema.add(T.StructField(CORRUPT, T.StringType(), True))
+    if lines_are_records(spark, path, [c for c, _ in spec.columns]):
+        return spark.read.schema(schema).options(**READ_OPTIONS, enforceSchema=False).csv(path)
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in READ_OPTIONS.items()}
     found = records(spark, path, [c for c, _ in spec.columns])

@@ -543,6 +543,25 @@ def test_one_quoted_file_is_read_by_many_tasks(spark, tmp_dir, block):
             spark.conf.set(k, v)
 
 
+def test_files_without_line_ends_in_fields_are_read_by_lines_in_the_jvm(spark, tmp_dir):
+    spec = ingest.TableSpec("o", (("id", T.IntegerType()), ("text", T.StringType())), ("id",))
+    plain = 'id,text\n1,fine\n\n2,"a, ""b"""\n3,""\n4,\n5,  \nx,bad\n'
+    _write(f"{tmp_dir}/plain.csv", plain)
+    _write(f"{tmp_dir}/open.csv", plain + '6,"two\nlines"\n')
+    by_lines, by_records = (ingest.read_staged(spark, f"{tmp_dir}/{f}.csv", spec) for f in ("plain", "open"))
+    assert "MapInArrow" not in by_lines._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in by_records._jdf.queryExecution().executedPlan().toString()
+    rows = lambda f: [sorted(map(str, part.collect())) for part in ingest.load_table(spark, f"{tmp_dir}/{f}.csv", spec)]
+    (good, bad), (more, same) = rows("plain"), rows("open")
+    assert bad == same and len(bad) == 1 and len(good) == 5 and sorted([*good, "Row(id=6, text='two\\nlines')"]) == more
+    _write(f"{tmp_dir}/one.csv", "text\n  \nb\n")
+    one = ingest.TableSpec("one", (("text", T.StringType()),), ())
+    assert sorted(r.text for r in ingest.load_table(spark, f"{tmp_dir}/one.csv", one)[0].collect()) == ["  ", "b"]
+    _write(f"{tmp_dir}/cased.csv", "ID,text\n1,a\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest.load_table(spark, f"{tmp_dir}/cased.csv", spec)[0].collect()
+
+
 def test_open_quote_at_the_end_is_one_bad_or_whole_record(spark, tmp_dir):
     _write(f"{tmp_dir}/o.csv", 'id,text\n1,fine\n2,"open\n3,lost\n')
     spec = ingest.TableSpec("o", (("id", T.IntegerType()), ("text", T.StringType())), ("id",))
