@@ -10,9 +10,10 @@ back to bytes, else unknown (a run of them counts once). Pieces marked
 unused are taken apart again along their merges.
 
 Where no piece has a mark behind another character and none is user-defined,
-no pair ever joins across the start of a word, so words are encoded apart and
-the worker keeps what words became, up to a bound. The agenda of a text or a
-long word is a heap. The short words of an Arrow batch that are not known yet go
+no pair ever joins across the start of a word, nor between two characters that
+no chain of pieces connects (a letter and a full stop, say). There texts are
+cut into words, which are encoded apart, and the worker keeps what words
+became, up to a bound. The agenda of a text or a long word is a heap. The short words of an Arrow batch that are not known yet go
 through theirs side by side: their pairs' ranks stand in one array, and each
 step joins the first least pair of every word.
 
@@ -51,7 +52,6 @@ CACHED_WORDS = 250_000
 #: Characters of text, or ids, that a worker holds as Python objects at a time (one longer text is still taken whole).
 CHUNK = 1 << 18
 SHORT = 48
-_WORDS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Stands before a user-defined symbol, so that it is never part of a joined piece; no text holds it.
 FROZEN = "\ud800"
 FIRST_BYTE = 0xDC00
@@ -94,17 +94,26 @@ class PieceModel:
         self.apart = not fixed and not self.unused and self.fallback and not any(MARK in p.lstrip(MARK) for p in self.ranks)
         if self.apart:
             self._make_pairs()
+            self.cut = self._cut()
         surface = {UNKNOWN: trained.unk_surface, CONTROL: ""}
         # A byte piece stands as a lone surrogate, which no other piece holds, until its run is read.
         spelled = [chr(FIRST_BYTE + self.value[i]) if p.type == BYTE else surface.get(p.type, p.piece.replace(MARK, " "))
                    for i, p in enumerate(proto.pieces)]
         self.surfaces, self.is_byte = np.array(spelled, object), np.array([k == BYTE for k in self.kinds])
+        self.spelled = pa.array([bytes([self.value[i]]) if i in self.value else x.encode("utf-8") for i, x in enumerate(spelled)], pa.large_binary())
+        self.spaced = [bool(self.prefix) and k not in (BYTE, UNKNOWN) and x.startswith(" ") for k, x in zip(self.kinds, spelled)]
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _make_pairs(self):
         """All pairs of symbols that join to a piece, by ``left * SYMBOLS + right``."""
         self.joined = [p for p in self.ranks if len(p) > 1]
+        self.id_of = np.full(FIRST_JOINED + len(self.joined), -1, "<i4")        # -1: no piece, bytes stand for it
+        for k, p in enumerate(self.joined, FIRST_JOINED):
+            self.id_of[k] = int.from_bytes(self.bytes_of[p], "little")
+        for p in self.ranks:
+            if len(p) == 1:
+                self.id_of[ord(p)] = int.from_bytes(self.bytes_of[p], "little")
         number = {p: FIRST_JOINED + k for k, p in enumerate(self.joined)}
         if FIRST_JOINED + len(number) > SYMBOLS:
             raise ValueError("too many pieces")
@@ -143,6 +152,25 @@ class PieceModel:
                 self.pair_keys[at], self.pair_ranks[at], self.pair_joined[at] = a * SYMBOLS + b, rank, joined
         return True
 
+    def _cut(self) -> re.Pattern:
+        """Words: marks and the characters behind them that pieces connect with each other, or one that none connects."""
+        above: dict[str, str] = {}
+
+        def top(c: str) -> str:
+            while above.setdefault(c, c) != c:
+                above[c] = c = above[above[c]]
+            return c
+
+        for p in self.joined:
+            rest = p.lstrip(MARK)
+            for a, b in zip(rest, rest[1:]):
+                above[top(a)] = top(b)
+        together: dict[str, list[str]] = {}
+        for c in above:
+            together.setdefault(top(c), []).append(c)
+        runs = ["[" + re.escape("".join(c)) + "]+" for c in sorted(together.values(), key=len, reverse=True)]
+        return re.compile(f"{MARK}*(?:{'|'.join([*runs, '.'])})", re.DOTALL)
+
     def _symbols(self, text: str) -> list[str]:
         """The symbols that are left when the agenda is empty; an entry is rank * n + left."""
         symbols = [FROZEN + s if s in self.fixed else s for s in self.start.findall(text)] if self.start else list(text)
@@ -232,11 +260,12 @@ class PieceModel:
             ranks[at - 1] = self._ranked(symbols[at - 1], symbols[at])
         word, symbols = (np.concatenate(x) for x in zip(*done))
         order = np.argsort(word, kind="stable")
-        kinds, which = np.unique(symbols[order], return_inverse=True)
-        spelled = [self.bytes_of.get(t) or self._as_bytes(t) for t in (chr(k) if k < FIRST_JOINED else self.joined[k - FIRST_JOINED] for k in kinds.tolist())]
-        each = [spelled[k] for k in which.tolist()]
-        ends = np.searchsorted(word[order], np.arange(len(words) + 1)).tolist()
-        return [b"".join(each[i:j]) for i, j in zip(ends, ends[1:])]
+        word, ids = word[order], self.id_of[symbols[order]]
+        data, ends = ids.tobytes(), (4 * np.searchsorted(word, np.arange(len(words) + 1))).tolist()
+        out = [data[i:j] for i, j in zip(ends, ends[1:])]
+        for k in np.unique(word[ids < 0]).tolist():         # words with characters that are no pieces
+            out[k] = self._merged(words[k])
+        return out
 
     def _as_bytes(self, symbol: str) -> bytes:
         return b"".join([self.bytes_of_byte[b] for b in symbol.encode("utf-8")])
@@ -262,16 +291,17 @@ class PieceModel:
             return [self._merged(t) for t in prepared]
         if len(self.words) > CACHED_WORDS:
             self.words, self.older = {}, self.words
-        words, known = [_WORDS.findall(t) for t in prepared], self.words
-        new = [w for w in set().union(*words) if w not in known]
-        known.update((w, x) for w in new if (x := self.older.get(w)) is not None)
-        new = [w for w in new if w not in known]
-        short = [w for w in new if len(w) <= SHORT]
+        words, known = [self.cut.findall(t) for t in prepared], self.words
+        new = set().union(*words).difference(known)
+        fresh = new.difference(self.older)
+        back = list(new - fresh)
+        known.update(zip(back, map(self.older.__getitem__, back)))
+        short = [w for w in fresh if len(w) <= SHORT]
         if short:
             known.update(zip(short, self._side_by_side(short)))
-        if len(short) == len(new):
+        if len(short) == len(fresh):
             return [b"".join(map(known.__getitem__, x)) for x in words]
-        long = {w: self._merged(w) for w in new if len(w) > SHORT}         # not kept: they may be of any length
+        long = {w: self._merged(w) for w in fresh if len(w) > SHORT}       # not kept: they may be of any length
         return [b"".join([known[w] if len(w) <= SHORT else long[w] for w in x]) for x in words]
 
     def decode(self, ids) -> str:
@@ -287,6 +317,33 @@ class PieceModel:
         text = first + "".join(surfaces[rest].tolist())
         return _BYTES.sub(lambda run: utf8(bytes(ord(b) - FIRST_BYTE for b in run[0])), text) if self.is_byte[rest].any() else text
 
+    def decode_all(self, lists: list[bytes]) -> list[str]:
+        """The texts of many lists of ids, as ``encode`` gives them: their pieces' bytes end to end. Lists that begin with
+        a control piece, or whose bytes are no text, are decoded piece by piece."""
+        ids, out = np.frombuffer(b"".join(lists), "<i4"), []
+        for x, spelled in zip(lists, _joined(self.spelled, pa.array(ids), np.cumsum([0] + [len(x) >> 2 for x in lists]))):
+            first = int.from_bytes(x[:4], "little")
+            try:
+                text = None if x and self.kinds[first] == CONTROL else spelled.decode("utf-8")
+            except UnicodeDecodeError:
+                text = None
+            if text is None:
+                text = self.decode(np.frombuffer(x, "<i4"))
+            elif x and self.spaced[first]:
+                text = text[1:]
+            out.append(text)
+        return out
+
+
+def _joined(values: pa.LargeBinaryArray, which: pa.Array, ends: np.ndarray) -> list[bytes]:
+    """The values at ``which`` end to end, cut at ``ends``."""
+    if not len(which):
+        return [b""] * (len(ends) - 1)
+    taken = values.take(which)
+    _, offsets, data = taken.buffers()
+    at, data = np.frombuffer(offsets, np.int64)[ends].tolist(), memoryview(data) if data else b""
+    return [bytes(data[i:j]) for i, j in zip(at, at[1:])]
+
 
 def utf8(data: bytes) -> str:
     """``data`` as text; every byte that is not part of a character becomes U+FFFD."""
@@ -336,10 +393,10 @@ def encode(docs: DataFrame, model_file: str, text: str = "text", check: bool = T
                 ids = m.encode(texts)
                 back, agrees = None, [None] * len(ids)
                 if decoded:
-                    back = [m.decode(np.frombuffer(x, "<i4")) for x in ids]
+                    back = m.decode_all(ids)
                 if check:
                     theirs = m.library.encode(texts, num_threads=1)         # a task has one core
-                    agrees = [np.array(x, "<i4").tobytes() == y for x, y in zip(theirs, ids)]
+                    agrees = [np.fromiter(x, "<i4", len(x)).tobytes() == y for x, y in zip(theirs, ids)]
                     if decoded:
                         agrees = [x and y == z for x, y, z in zip(agrees, m.library.decode(theirs, num_threads=1), back)]
                 ends = np.concatenate([[0], np.cumsum([len(x) >> 2 for x in ids])]).astype(np.int32)

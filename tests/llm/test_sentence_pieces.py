@@ -67,6 +67,23 @@ def test_odd_texts_and_any_ids():
     assert m.decode(long_run) == m.library.decode(long_run)
 
 
+def test_words_end_where_no_piece_goes_on():
+    m = sp.PieceModel(PATH)
+    texts = ["the.\nAnd (so) on\n\n", "the, and-so...  on", "  даthe\tx 数据1 a"]
+    assert [np.frombuffer(x, "<i4").tolist() for x in m.encode(texts)] == m.library.encode(texts)
+    assert {f"{sp.MARK}the", "\n", "And", "...", f"{sp.MARK}(", "so"} <= set(m.words)
+    assert not any("the" in w and w.strip(sp.MARK) != "the" for w in m.words)
+
+
+def test_many_texts_decode_as_the_library_does():
+    m, rng = sp.PieceModel(PATH), random.Random(5)
+    lists = [[], [1], [1, 300], [m.unknown, 500], m.library.encode("  two spaces \n é"), [m.kinds.index(sp.BYTE) + 200, 400]]
+    lists += [[rng.randrange(len(m.kinds)) for _ in range(rng.randrange(12))] for _ in range(400)]
+    expected = m.library.decode(lists)
+    assert m.decode_all([np.array(x, "<i4").tobytes() for x in lists]) == expected == [m.decode(x) for x in lists]
+    assert m.decode_all([]) == [] and m.decode_all([b""]) == [""]
+
+
 @pytest.mark.parametrize("fallback", [True, False])
 def test_small_vocabularies_with_ties_unused_and_user_defined(fallback, tmp_path):
     rnd, split = random.Random(9), 0
