@@ -291,18 +291,25 @@ class PieceModel:
             return [self._merged(t) for t in prepared]
         if len(self.words) > CACHED_WORDS:
             self.words, self.older = {}, self.words
-        words, known = [self.cut.findall(t) for t in prepared], self.words
-        new = set().union(*words).difference(known)
+        words, known, new = [self.cut.findall(t) for t in prepared], self.words, set()
+        found, gaps = [], []                 # what is known of each text's words, and where nothing is
+        for x in words:
+            ids = list(map(known.get, x))
+            at = [i for i, y in enumerate(ids) if y is None] if None in ids else []
+            new.update([x[i] for i in at])
+            found.append(ids)
+            gaps.append(at)
         fresh = new.difference(self.older)
         back = list(new - fresh)
         known.update(zip(back, map(self.older.__getitem__, back)))
         short = [w for w in fresh if len(w) <= SHORT]
         if short:
             known.update(zip(short, self._side_by_side(short)))
-        if len(short) == len(fresh):
-            return [b"".join(map(known.__getitem__, x)) for x in words]
         long = {w: self._merged(w) for w in fresh if len(w) > SHORT}       # not kept: they may be of any length
-        return [b"".join([known[w] if len(w) <= SHORT else long[w] for w in x]) for x in words]
+        for x, ids, at in zip(words, found, gaps):
+            for i in at:
+                ids[i] = known[x[i]] if len(x[i]) <= SHORT else long[x[i]]
+        return [b"".join(ids) for ids in found]
 
     def decode(self, ids) -> str:
         """The text of ids (a list or an array); the space in front of the first piece that gives one goes."""
